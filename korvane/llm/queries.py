@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from korvane.llm import chat, dedup, mixing
+from korvane.llm import chat, dedup, jaccard, mixing
 from korvane.session import table
 
 
@@ -15,6 +15,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_report(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -27,7 +31,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_mix_sources, op5_exact_dedup, op7_chat_format)
+    own = (op1_mix_sources, op4_ngram_jaccard, op5_exact_dedup, op7_chat_format)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
