@@ -187,7 +187,7 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, wei
     ends = {s: int(min((k + 1) * block, r.source_size)) for s, (r, (n, m, t)) in enumerate(zip(by, plan, strict=True)) if t for k in [int(permute(np.array([(m - 1) % n]), n, seed, s, (m - 1) // n)[0])]}
     end = spark.createDataFrame([(s, e) for s, e in ends.items()] or [(-1, 0)], "e_s int, e_end long")
     taken = (
-        drawn.join(pieces, (F.col("m_s") == F.col("s")) & (F.col("m_block") == F.col("block")))
+        drawn.join(pieces.hint("merge"), (F.col("m_s") == F.col("s")) & (F.col("m_block") == F.col("block")))
         .join(F.broadcast(end), F.col("s") == F.col("e_s"), "left")
         .withColumn("word_to", F.when(F.col("trim") > 0, F.least(F.col("word_to"), F.col("e_end") - F.col("trim") - F.col("p_first"))).otherwise(F.col("word_to")))
         .where("word_to > word_from")

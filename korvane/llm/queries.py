@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from korvane.llm import chat, dedup, jaccard, mixing
+from korvane.llm import chat, dedup, jaccard, langid, lines, mixing, pii, toxicity
 from korvane.session import table
 
 
@@ -30,13 +30,29 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(turns.unionByName(own))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup_report(table(spark, sf_dir, "documents"))
+
+
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_mix_sources, op4_ngram_jaccard, op5_exact_dedup, op7_chat_format)
+    own = (op1_mix_sources, op4_ngram_jaccard, op5_exact_dedup, op6_line_dedup, op7_chat_format, op8_pii_pseudonyms, op9_language_id, op10_toxicity)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op5_exact_dedup": dedup.ORACLE}
+    found = {"op5_exact_dedup": dedup.ORACLE, "op6_line_dedup": lines.ORACLE}
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
