@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from korvane.llm import chat, dedup, jaccard, langid, lines, mixing, pii, toxicity
+from korvane.llm import bpe, chat, dedup, jaccard, langid, lines, mixing, pii, toxicity
 from korvane.session import table
 
 
@@ -15,6 +15,13 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_report(table(spark, sf_dir, "documents"))
 
@@ -47,7 +54,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_mix_sources, op4_ngram_jaccard, op5_exact_dedup, op6_line_dedup, op7_chat_format, op8_pii_pseudonyms, op9_language_id, op10_toxicity)
+    own = (op1_mix_sources, op2_byte_bpe, op4_ngram_jaccard, op5_exact_dedup, op6_line_dedup, op7_chat_format, op8_pii_pseudonyms, op9_language_id, op10_toxicity)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
