@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from korvane.llm import bpe, chat, dedup, jaccard, langid, lines, mixing, pii, toxicity
+from korvane.llm import ann, bpe, chat, dedup, jaccard, langid, lines, mixing, pii, toxicity
 from korvane.session import table
 
 
@@ -22,6 +22,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op3_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_report(table(spark, sf_dir, "embeddings"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_report(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_mix_sources, op2_byte_bpe, op4_ngram_jaccard, op5_exact_dedup, op6_line_dedup, op7_chat_format, op8_pii_pseudonyms, op9_language_id, op10_toxicity)
+    own = (op1_mix_sources, op2_byte_bpe, op3_additive_ann, op4_ngram_jaccard, op5_exact_dedup, op6_line_dedup, op7_chat_format, op8_pii_pseudonyms, op9_language_id, op10_toxicity)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
