@@ -133,3 +133,33 @@ def chat_report(turns: DataFrame) -> DataFrame:
         "conv_id", F.col("n_turns").cast("long").alias("n_turns"), F.sha2(F.array_join(F.col("w.turns"), ""), 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.col("formatted_chars").cast("long").alias("formatted_chars"), "n_windows",
     )
+
+
+_ESC = "replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '[', '&lsb;')"
+#: The report over `conversations` and conversation -7.
+ORACLE = f"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) AS x(conv_id, turn, role, text)),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i, CAST(ceil(octet_length(encode(text)) / 4) AS BIGINT) + {MARKS} AS tok,
+    {len(OPEN) + len(CLOSE) + 1} + length({_ESC.format('role')}) + length({_ESC.format('text')}) AS chars FROM c),
+p AS (
+  SELECT *, sum(tok) OVER (PARTITION BY conv_id ORDER BY i) AS e, CASE WHEN first_value(role) OVER (PARTITION BY conv_id ORDER BY i) = 'system' THEN 1 ELSE 0 END AS sys,
+    first_value(tok) OVER (PARTITION BY conv_id ORDER BY i) AS s_tok, first_value(chars) OVER (PARTITION BY conv_id ORDER BY i) AS s_chars FROM r),
+w AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, CAST(0 AS HUGEINT) AS base, 0 AS win, CAST(0 AS BIGINT) AS first FROM p WHERE i = 0
+  UNION ALL
+  SELECT conv_id, i, CASE WHEN full_ THEN e - tok ELSE base END, CASE WHEN full_ THEN win + 1 ELSE win END, CASE WHEN full_ THEN i ELSE first END
+  FROM (SELECT p.conv_id, p.i, p.e, p.tok, w.base, w.win, w.first, p.e - w.base > greatest({BUDGET - HISTORY} - p.sys * p.s_tok, 1) AND NOT (p.sys = 1 AND p.i = 1) AS full_
+    FROM w JOIN p ON p.conv_id = w.conv_id AND p.i = w.i + 1)),
+again AS (
+  SELECT a.conv_id, a.win, max(p.sys * p.s_chars) + coalesce(sum(CASE WHEN p.i >= p.sys AND a.base - (p.e - p.tok) <= {HISTORY} THEN p.chars END), 0) AS chars
+  FROM (SELECT DISTINCT conv_id, win, first, base FROM w WHERE win > 0) a JOIN p ON p.conv_id = a.conv_id AND p.i < a.first GROUP BY a.conv_id, a.win),
+n AS (SELECT conv_id, CAST(max(win) + 1 AS BIGINT) AS n_windows FROM w GROUP BY conv_id),
+m AS (SELECT conv_id, sum(chars) AS chars FROM again GROUP BY conv_id)
+SELECT p.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  coalesce(length(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant')), 0) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(p.chars) + coalesce(max(m.chars), 0) AS BIGINT) AS formatted_chars, max(n_windows) AS n_windows
+FROM p JOIN n ON n.conv_id = p.conv_id LEFT JOIN m ON m.conv_id = p.conv_id GROUP BY p.conv_id
+"""

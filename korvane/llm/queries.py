@@ -63,7 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op5_exact_dedup": dedup.ORACLE, "op6_line_dedup": lines.ORACLE}
+    found = {"op5_exact_dedup": dedup.ORACLE, "op6_line_dedup": lines.ORACLE, "op7_chat_format": chat.ORACLE}
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
