@@ -66,3 +66,9 @@ def training_pairs(s1: DataFrame, pool: DataFrame, truth: DataFrame, retrieved:
     drawn = hard.unionByName(same).persist()
     rest = random_negatives(s1.select("entity_id"), pool.select("entity_id"), barred.unionByName(same), n - drawn.count(), seed)
     return pos.unionByName(drawn.unionByName(rest).withColumn("label", F.lit(0)))
+
+
+def text_pairs(pairs: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
+    """pairs with text_a and text_b, both records' combined texts: what training an encoder on pairs reads."""
+    side = lambda df, k, v: df.select(F.col("entity_id").alias(k), F.col("combined").alias(v))
+    return pairs.join(side(s1, "s1_id", "text_a"), "s1_id").join(side(pool, "cand_id", "text_b"), "cand_id").select(*pairs.columns, "text_a", "text_b")
