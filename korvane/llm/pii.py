@@ -1,8 +1,8 @@
 """Format-preserving pseudonyms for private values, by keyed Feistel permutations.
 
 Found and validated: card numbers (Luhn), IBANs (mod 97), US social security numbers,
-phone numbers, IPv4 addresses, calendar dates, e-mail addresses and secrets (keys and
-passwords). Each value is a number within its format's domain, and a Feistel network
+phone numbers, IPv4 addresses, calendar dates, e-mail addresses and secrets (keys by their
+marks, and what is said to be a password, token or key). Each value is a number within its format's domain, and a Feistel network
 under KEY, walked until it falls back into the domain, permutes that domain. So a card
 stays a card with a right check digit, a date a date, separators stay, equal values get
 equal pseudonyms in every document and no two values share one; with the key,
@@ -30,13 +30,13 @@ _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 3
 
 _FOUND = re.compile(
     r"(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
-    r"|(?P<secret>\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{16,})\b"
-    r"|(?i:(?<=password=)|(?<=passwd=)|(?<=secret=)|(?<=token=)|(?<=api_key=)|(?<=apikey=))[^\s,;\"']{6,})"
+    r"|(?P<secret>\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{16,})\b)"
+    r"|(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[ \t]*[=:][ \t]*[\"']?(?P<named>[^\s,;\"']{6,})"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<date>\b(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})\b)"
     r"|(?P<ip>(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d.]*\d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
-    r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-]*\d))"
+    r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\.?\d)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-]*\d))"
     r"|(?P<card>(?<![\d.])\d(?:[ -]?\d){12,18}(?![\d]))"
 )
 
@@ -139,12 +139,14 @@ def pseudonym(kind: str, value: str, key: str = KEY, back: bool = False) -> str
     if kind == "email":
         local, _, domain = value.rpartition("@")
         return f"{_classes(local, key, 'email', back)}@{domain}"
+    if re.fullmatch("[0-9a-f]{8,}", value):
+        return f"{feistel(int(value, 16), 16 ** len(value), key, f'hex{len(value)}', back):0{len(value)}x}"
     fixed = re.match(r"AKIA|gh[pousr]_|sk-|", value)[0]  # the mark of its issuer is part of the format
     return fixed + _classes(value[len(fixed) :], key, "secret", back)
 
 
 #: What a line must hold to have any private value.
-_HINT = re.compile("[0-9@=_]")
+_HINT = re.compile("[0-9@=:_]")
 
 
 def mask(text: str, key: str = KEY, back: bool = False) -> tuple[str, list[tuple[int, int, str]]]:
@@ -156,12 +158,13 @@ def mask(text: str, key: str = KEY, back: bool = False) -> tuple[str, list[tuple
         at = 0
         if _HINT.search(line) or "AKIA" in line or "sk-" in line:
             for m in _FOUND.finditer(line):
-                new = pseudonym(m.lastgroup, m[0], key, back)
+                kind, start, stop = m.lastgroup, *m.span(m.lastgroup)
+                new = pseudonym(kind, line[start:stop], key, back)
                 if new is not None:
-                    out += [line[at : m.start()], new]
-                    size += m.start() - at
-                    spans.append((size, size + len(new), m.lastgroup))
-                    size, at = size + len(new), m.end()
+                    out += [line[at:start], new]
+                    size += start - at
+                    spans.append((size, size + len(new), kind))
+                    size, at = size + len(new), stop
         out.append(line[at:])
         size += len(line) - at
     return "".join(out), spans
