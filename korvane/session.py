@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,20 @@ def local_session(cores: int | str = 8, app: str = "korvane") -> SparkSession:
     )
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to the executors, once for each application, so that their Python workers can import it."""
+    done = getattr(ship_code, "done", None)
+    if done == (app := spark.sparkContext.applicationId):
+        return
+    ship_code.done = app
+    top = Path(__file__).resolve().parent
+    path = f"{tempfile.mkdtemp(prefix='korvane-code-')}/korvane.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    spark.sparkContext.addPyFile(path)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
@@ -47,6 +63,7 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """df written once to the shared folder and read again: its lineage ends there."""
     spark = df.sparkSession
+    ship_code(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -54,6 +71,7 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Columns by exact name, safe where other columns differ only by case."""
+    ship_code(df.sparkSession)
     own = list(df.columns)
     flat = df.toDF(*[f"__c{i}" for i in range(len(own))])
     return flat.select(*[F.col(f"__c{own.index(n)}").alias(n) for n in names])
@@ -61,4 +79,5 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
