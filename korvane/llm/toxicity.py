@@ -5,7 +5,8 @@ The lexicon comes from a bounded sample of labelled rows, near copies counted on
 do. It forms a trie. The Levenshtein automata of all terms are intersected with the trie
 by a subset construction that is made as words call for it: a state is a set of (node,
 edits) pairs, transitions are remembered, and most words leave the automaton after a few
-letters. So misspelled terms are caught at about the price of exact lookups.
+letters. So misspelled terms are caught at about the price of exact lookups. Words near a
+term that clean rows hold too are no misspellings and are spared.
 
 Each hit then gets the weight of its term, less for edits, and is put to one of two
 sides by a score of its window: quotation (quote marks around it, words of reporting) or
@@ -159,13 +160,16 @@ class Automaton:
 class Model:
     """The lexicon's automaton and the weights of the logistic regression."""
 
-    def __init__(self, weights: dict[str, float], beta: np.ndarray = PRIOR):
-        self.automaton, self.beta = Automaton(weights), beta
+    def __init__(self, weights: dict[str, float], beta: np.ndarray = PRIOR, spared: frozenset[str] = frozenset()):
+        """spared: words near a term that are words of clean texts."""
+        self.automaton, self.beta, self.spared = Automaton(weights), beta, spared
 
     def __reduce__(self):
-        return Model, (self.automaton.weights, self.beta)
+        return Model, (self.automaton.weights, self.beta, self.spared)
 
     def word(self, token: str) -> tuple[str, int] | None:
+        if token in self.spared:
+            return None
         got = self.automaton.match(token)
         if got is None and not token.isalpha():
             plain = token.translate(SIGNS).replace("*", "").replace("'", "").replace("’", "")
@@ -225,8 +229,8 @@ def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return beta
 
 
-def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, float]:
-    """Terms and weights from labelled rows (text, toxic)."""
+def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> tuple[dict[str, float], frozenset[str]]:
+    """Terms and weights from labelled rows (text, toxic), and words near a term that clean rows hold as often."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,11 +254,22 @@ def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, float]:
     stems = stems.groupBy("stem").agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count_if(F.col("t") > 0).alias("words"))
     stems = stems.where((F.col("t") >= 2 * SUPPORT) & (F.col("words") >= STEM_WORDS) & (F.col("t") >= 0.97 * (F.col("t") + F.col("c"))))
     some = {r.stem: (r.t, r.c) for r in stems.orderBy(F.desc("t"), "stem").limit(terms).collect()}
-    words.unpersist()
-    for s in sorted(some, key=len):  # the shortest beginning says it; it stands for its words too
-        if not any(s[:n] in some and n < len(s) for n in STEMS):
+    for s in sorted(some, key=len):  # of nested beginnings the longest that says as much; it stands for its words too
+        longer = [x for x in some if x.startswith(s) and len(x) > len(s) and some[x][0] >= 0.9 * some[s][0]]
+        if not longer and not any(f"{s[:n]}*" in found for n in STEMS if n < len(s)):
             found = {w: v for w, v in found.items() if not w.startswith(s)} | {s + "*": some[s]}
-    return {w: min(1.0, 0.25 * math.log((t + 0.5) / (c + 0.5))) for w, (t, c) in found.items()}
+    weights = {w: min(1.0, 0.25 * math.log((t + 0.5) / (c + 0.5))) for w, (t, c) in found.items()}
+    shared = rows.sparkSession.sparkContext.broadcast(Model(weights))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = [(h := shared.value.word(w.as_py())) is not None and h[1] > 0 for w in batch.column(0)]
+            yield batch.filter(pa.array(hit, pa.bool_()))
+
+    clean = words.where((F.col("c") > 0) & (F.col("t") <= F.col("c"))).select("word", "c").mapInArrow(near, "word string, c long")
+    spared = frozenset(r.word for r in clean.orderBy(F.desc("c"), "word").limit(10 * terms).collect())
+    words.unpersist()
+    return weights, spared
 
 
 def train(labelled: DataFrame, most: int = TRAIN_ROWS, seed: int = 5) -> Model:
@@ -262,8 +277,8 @@ def train(labelled: DataFrame, most: int = TRAIN_ROWS, seed: int = 5) -> Model:
     total = labelled.count()
     draw = F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1_000_000)) / 1e6
     rows = labelled.where(draw < min(1.0, most / max(1, total))).select("text", "toxic")
-    weights = learn_lexicon(rows)
-    prior = Model(weights)
+    weights, spared = learn_lexicon(rows)
+    prior = Model(weights, spared=spared)
     shared = rows.sparkSession.sparkContext.broadcast(prior)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +288,7 @@ def train(labelled: DataFrame, most: int = TRAIN_ROWS, seed: int = 5) -> Model:
 
     got = rows.select("text", F.col("toxic").cast("double").alias("y")).mapInArrow(features, "f1 double, f2 double, f3 double, f4 double, y double").toArrow()  # `most` rows of numbers
     x = np.column_stack([np.ones(got.num_rows), *(got.column(i).to_numpy() for i in range(4))])
-    return Model(weights, fit(x, got.column("y").to_numpy()))
+    return Model(weights, fit(x, got.column("y").to_numpy()), spared)
 
 
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
