@@ -13,10 +13,12 @@ Jaccard similarity is at least THRESHOLD per cent. Steps:
 4. Classes that meet under a token are candidates. Runs of at most SHORT classes give
    all pairs within the length bound, at most SHORT / 2 for a posting. With the count c
    of shared prefix tokens, overlap is at most c + n - prefix for one side or the other,
-   which prunes. Longer runs are resolved in rounds: a few hubs a run (by a hash of the
-   class) meet the others, verified links merge components, and only pairs of different
-   components go to the next round with four times the hubs, until a run is in one
-   component or all its pairs are done. No link between components is lost.
+   which prunes; tokens of longer runs count as shared as far as either side has them.
+   Longer runs need only give the pairs that share no token of a short run, so both sides
+   must have enough tokens of long runs. They are resolved in rounds: a few hubs a run (by
+   a hash of the class) meet the others, verified links merge components, and only pairs
+   of different components go to the next round with four times the hubs, until a run is
+   in one component or all its pairs are done. No link between components is lost.
 5. A candidate must also share enough prefix tokens under orders 2 and 3 (other hashes)
    before its intersection is counted on the whole sets.
 6. Verified links and classes give components; a document's is the least doc_id.
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from korvane.llm.common import doc_id_of, keyed, mix64
@@ -74,9 +76,11 @@ def frequent_tokens(docs: DataFrame, width: int, most: int) -> tuple[np.ndarray,
         sets: list[np.ndarray] = []
 
         def out():
-            u, c = np.unique(np.concatenate(sets), return_counts=True)
+            all_ = np.sort(np.concatenate(sets))
             sets.clear()
-            return pa.record_batch([pa.array(u[c > 1].view(np.int64)), pa.array(c[c > 1])], names=["token", "n"])
+            first = np.flatnonzero(np.append(True, all_[1:] != all_[:-1])) if len(all_) else np.empty(0, np.int64)
+            c = np.diff(np.append(first, len(all_)))
+            return pa.record_batch([pa.array(all_[first[c > 1]].view(np.int64)), pa.array(c[c > 1])], names=["token", "n"])
 
         tokens = 0
         for batch in batches:
@@ -89,7 +93,6 @@ def frequent_tokens(docs: DataFrame, width: int, most: int) -> tuple[np.ndarray,
         if sets:
             yield out()
 
-    spark = docs.sparkSession
     sums = cut(docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "frequent")
     steps = {r.step: r["count"] for r in sums.groupBy(F.floor(F.log2("n") * 4).cast("int").alias("step")).count().collect()}  # some dozens
     least, room = 0, most
@@ -101,7 +104,6 @@ def frequent_tokens(docs: DataFrame, width: int, most: int) -> tuple[np.ndarray,
     top = sums.where(F.floor(F.log2("n") * 4) >= least).toArrow()
     tokens = top.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
-    del spark
     return tokens[order], top.column("n").to_numpy()[order]
 
 
@@ -195,79 +197,83 @@ def class_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     return cut(one.join(classes.withColumnRenamed("digest", "c_digest"), F.col("digest") == F.col("c_digest")).select("c", "set"), "sets")
 
 
-def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, classes, links).
+def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """(rows, links).
 
     rows: rid, k_id, k_hash, n, c, comp: a row per document row with its class and component (ids of classes).
-    classes: c, n, digest. links: a, b, the verified pairs of classes.
+    links: a, b, verified pairs of classes that span the components.
     """
     own = keyed(pick(docs, "doc_id", "text"))
     hot = frequent_tokens(own, width, HOT_MAX)
     rows = cut(describe(own, width, percent, hot), "described")
 
-    first = Window.partitionBy("digest").orderBy("rid")
-    classes = rows.where("n > 0").select("rid", "n", "digest", "prefix").withColumn("nth", F.row_number().over(first)).where("nth = 1")
+    # One row of a class goes on; the others are taken out by a table that is broadcast only if it is small.
+    leads = cut(rows.where("n > 0").groupBy("digest").agg(F.min("rid").alias("c")), "leads")
+    slim = rows.where("n > 0").select("rid", F.col("digest").alias("r_digest"))
+    copies = cut(slim.join(leads, F.col("r_digest") == F.col("digest")).where("rid <> c").select("rid"), "copies")
+    classes = rows.where("n > 0").select("rid", "n", "prefix").join(F.broadcast(copies) if _few(copies) else copies, "rid", "left_anti")
     postings = classes.select(F.explode("prefix").alias("token"), F.col("rid").alias("c"), "n").repartition("token").sortWithinPartitions("token")
     runs = cut(postings.mapInArrow(_shared_runs, "token long, c long, n int"), "runs")
 
     length = runs.groupBy("token").agg(F.count("*").alias("k"))
     long_tokens = cut(length.where(F.col("k") > SHORT), "long")
     in_short = runs.join(F.broadcast(long_tokens) if _few(long_tokens) else long_tokens, "token", "left_anti")
-    in_long = cut(runs.join(long_tokens, "token"), "long-runs")
+    in_long = runs.join(long_tokens, "token")
+    extra = cut(in_long.groupBy("c").agg(F.count("*").alias("more")), "extra")  # long runs that a class is in
+    in_long = cut(in_long.join(extra.withColumnRenamed("c", "e_c"), F.col("c") == F.col("e_c")).drop("e_c"), "long-runs")
 
     near = lambda n, m: (F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m))
+
+    def enough(common: Column, n: Column, m: Column) -> Column:
+        """Whether sets of n and m that share so many prefix tokens, at most, can be similar."""
+        size = lambda x: x - F.ceil(F.lit(percent) * x / 100) + 1
+        need = F.ceil(F.lit(percent) * (n + m) / (100 + percent))
+        return common >= F.least(need - n + size(n), need - m + size(m))
+
     x, y = in_short.toDF("token", "a", "a_n"), in_short.toDF("token", "b", "b_n")
     shared = x.join(y, "token").where((F.col("a") < F.col("b")) & near(F.col("a_n"), F.col("b_n"))).groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("common"))
-    extra = in_long.groupBy("c").agg(F.count("*").alias("more"))
     shared = shared.join(extra.toDF("e_a", "a_more"), F.col("a") == F.col("e_a"), "left").join(extra.toDF("e_b", "b_more"), F.col("b") == F.col("e_b"), "left")
-    size = lambda n: n - F.ceil(F.lit(percent) * n / 100) + 1
-    need = F.ceil(F.lit(percent) * (F.col("a_n") + F.col("b_n")) / (100 + percent))
     most = F.col("common") + F.least(F.coalesce("a_more", F.lit(0)), F.coalesce("b_more", F.lit(0)))
-    pairs = shared.where(most >= F.least(need - F.col("a_n") + size(F.col("a_n")), need - F.col("b_n") + size(F.col("b_n")))).select("a", "b")
+    pairs = cut(shared.where(enough(most, F.col("a_n"), F.col("b_n"))).select("a", "b"), "pairs")
+
+    members = pairs.select(F.col("a").alias("p")).union(pairs.select("b")).union(extra.select("c")).distinct()
+    sets = class_sets(own, leads.join(members, F.col("c") == F.col("p"), "left_semi"), width)
 
     # Longer runs: a hub and the others; u orders the classes, so that each pair is met once, from its hub of smaller u.
     u = lambda c: F.pmod(F.xxhash64(c, F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
     longest = in_long.agg(F.max("k")).first()[0] or 0
 
     def hub_pairs(low: float, high: float, labels: DataFrame | None) -> DataFrame:
-        all_ = in_long
+        open_ = in_long.withColumn("comp", F.col("c"))
         if labels is not None:
-            all_ = all_.join(labels, F.col("c") == F.col("id"), "left").withColumn("comp", F.coalesce("comp", "c"))
-            mixed = cut(all_.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token"), "mixed")
-            all_ = cut(all_.select("token", "c", "n", "k", "comp").join(mixed, "token"), "open-runs")
-        else:
-            all_ = all_.withColumn("comp", F.col("c"))
-        hubs = all_.where((u(F.col("c")) >= F.lit(low) / F.col("k")) & (u(F.col("c")) < F.lit(high) / F.col("k"))).select("token", F.col("c").alias("h"), F.col("n").alias("h_n"), F.col("comp").alias("h_comp"))
-        met = hubs.join(all_, "token").where((F.col("comp") != F.col("h_comp")) & near(F.col("n"), F.col("h_n")))
+            open_ = in_long.join(labels, F.col("c") == F.col("id"), "left").withColumn("comp", F.coalesce("comp", "c"))
+            mixed = cut(open_.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token"), "mixed")
+            open_ = cut(open_.select("token", "c", "n", "k", "more", "comp").join(mixed, "token"), "open-runs")
+        hubs = open_.where((u(F.col("c")) >= F.lit(low) / F.col("k")) & (u(F.col("c")) < F.lit(high) / F.col("k")))
+        hubs = hubs.select("token", F.col("c").alias("h"), F.col("n").alias("h_n"), F.col("more").alias("h_more"), F.col("comp").alias("h_comp"))
+        met = hubs.join(open_, "token").where((F.col("comp") != F.col("h_comp")) & near(F.col("n"), F.col("h_n")) & enough(F.least("more", "h_more"), F.col("n"), F.col("h_n")))
         met = met.where((u(F.col("c")) > u(F.col("h"))) | ((u(F.col("c")) == u(F.col("h"))) & (F.col("c") > F.col("h"))))
         return met.select(F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")).distinct()
 
-    high, labels, links = 2.0, None, None
-    pairs = pairs.union(hub_pairs(0.0, high, None)).distinct() if longest else pairs
-    names = classes.select(F.col("rid").alias("c"), "n", "digest")
-    sets = None
+    high, labels, links = 2.0, None, pairs.limit(0)
+    if longest:
+        pairs = cut(pairs.union(hub_pairs(0.0, high, None)).distinct(), "pairs")
     while True:
-        pairs = cut(pairs, "pairs")
         if not pairs.isEmpty():
-            members = pairs.select(F.col("a").alias("p")).union(pairs.select("b")).distinct()
-            sets = class_sets(own, rows.select(F.col("rid").alias("c"), "digest").join(members, F.col("c") == F.col("p"), "left_semi"), width)
-            found = cut(verified(pairs, sets, percent), "links")
-            links = found if links is None else links.union(found)
+            links = cut(links.union(verified(pairs, sets, percent)), "links")
             labels = components(links)
-        elif labels is None:
-            links = pairs
-            labels = pairs.select(F.col("a").alias("id"), F.col("a").alias("comp"))
         if high >= longest:
             break
         low, high = high, high * 4
-        pairs = hub_pairs(low, high, labels)
+        pairs = cut(hub_pairs(low, high, labels), "pairs")
+    if labels is None:
+        labels = links.select(F.col("a").alias("id"), F.col("a").alias("comp"))
 
-    leads = rows.groupBy("digest").agg(F.min("rid").alias("c"))
-    leads = cut(leads.join(labels, F.col("c") == F.col("id"), "left").select("digest", "c", F.coalesce("comp", "c").alias("comp")), "leads")
+    leads = cut(leads.join(labels, F.col("c") == F.col("id"), "left").select("digest", "c", F.coalesce("comp", "c").alias("comp")), "labelled")
     mine = rows.select("rid", "k_id", "k_hash", "n", "digest")
     worded = mine.where("n > 0").join(leads.withColumnRenamed("digest", "l_digest"), F.col("digest") == F.col("l_digest"))
     wordless = mine.where("n = 0").select("rid", "k_id", "k_hash", "n", F.col("rid").alias("c"), F.col("rid").alias("comp"))
-    return worded.select("rid", "k_id", "k_hash", "n", "c", "comp").unionByName(wordless), names, links
+    return worded.select("rid", "k_id", "k_hash", "n", "c", "comp").unionByName(wordless), links
 
 
 def _few(df: DataFrame, most: int = 100_000) -> bool:
@@ -282,7 +288,7 @@ def _least(rows: DataFrame) -> DataFrame:
 
 def jaccard_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, and the number of verified links of the row's class."""
-    rows, _, links = jaccard_groups(docs)
+    rows, links = jaccard_groups(docs)
     rows = cut(rows, "grouped")
     ends = links.select(F.col("a").alias("d_c")).union(links.select("b")).groupBy("d_c").agg(F.count("*").alias("n_links"))
     out = rows.join(cut(_least(rows), "least"), F.col("comp") == F.col("l_comp")).join(ends, F.col("c") == F.col("d_c"), "left")
@@ -294,7 +300,7 @@ def jaccard_report(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """docs with one row of each component, that of the least doc_id; wordless rows all stay."""
-    rows, _, _ = jaccard_groups(docs)
+    rows, _ = jaccard_groups(docs)
     rows = cut(rows, "grouped")
     best = _least(rows).select("least.k_id", "least.rid")
     keep = rows.join(best.toDF("b_id", "b_rid"), F.col("rid") == F.col("b_rid"), "left_semi")

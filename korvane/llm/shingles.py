@@ -65,6 +65,12 @@ def lowered(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted distinct values of an array that it may sort in place."""
+    values.sort()
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
     """Sorted distinct hashes of all runs of width words; of the whole sequence where there are fewer; empty without words."""
     words = word_hashes(lowered(text))
@@ -75,7 +81,7 @@ def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
     total = np.full(runs, take, np.uint64)
     for j, q in enumerate(_powers(_Q, take).tolist()):
         total += words[j : j + runs] * np.uint64(q)
-    return np.unique(mix64(total))
+    return distinct(mix64(total))
 
 
 def set_digest(values: np.ndarray) -> bytes:
