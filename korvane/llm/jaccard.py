@@ -15,7 +15,7 @@ Jaccard similarity is at least THRESHOLD per cent. Steps:
    of shared prefix tokens, overlap is at most c + n - prefix for one side or the other,
    which prunes; tokens of longer runs count as shared as far as either side has them.
    Longer runs need only give the pairs that share no token of a short run, so both sides
-   must have enough tokens of long runs. They are resolved in rounds: a few hubs a run (by
+   must have enough tokens of long runs, from the one they meet under onwards. They are resolved in rounds: a few hubs a run (by
    a hash of the class) meet the others, verified links merge components, and only pairs
    of different components go to the next round with four times the hubs, until a run is
    in one component or all its pairs are done. No link between components is lost.
@@ -220,21 +220,23 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD
     in_short = runs.join(F.broadcast(long_tokens) if _few(long_tokens) else long_tokens, "token", "left_anti")
     in_long = runs.join(long_tokens, "token")
     extra = cut(in_long.groupBy("c").agg(F.count("*").alias("more")), "extra")  # long runs that a class is in
-    in_long = cut(in_long.join(extra.withColumnRenamed("c", "e_c"), F.col("c") == F.col("e_c")).drop("e_c"), "long-runs")
+    # nth: where a class's tokens of long runs come in one order of them all.
+    nth = F.row_number().over(Window.partitionBy("c").orderBy("k", "token"))
+    in_long = cut(in_long.join(extra.withColumnRenamed("c", "e_c"), F.col("c") == F.col("e_c")).drop("e_c").withColumn("nth", nth), "long-runs")
 
     near = lambda n, m: (F.lit(100) * F.least(n, m) >= F.lit(percent) * F.greatest(n, m))
 
-    def enough(common: Column, n: Column, m: Column) -> Column:
-        """Whether sets of n and m that share so many prefix tokens, at most, can be similar."""
+    def need(n: Column, m: Column) -> Column:
+        """How many prefix tokens similar sets of n and m share, at least."""
         size = lambda x: x - F.ceil(F.lit(percent) * x / 100) + 1
-        need = F.ceil(F.lit(percent) * (n + m) / (100 + percent))
-        return common >= F.least(need - n + size(n), need - m + size(m))
+        both = F.ceil(F.lit(percent) * (n + m) / (100 + percent))
+        return F.least(both - n + size(n), both - m + size(m))
 
     x, y = in_short.toDF("token", "a", "a_n"), in_short.toDF("token", "b", "b_n")
     shared = x.join(y, "token").where((F.col("a") < F.col("b")) & near(F.col("a_n"), F.col("b_n"))).groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("common"))
     shared = shared.join(extra.toDF("e_a", "a_more"), F.col("a") == F.col("e_a"), "left").join(extra.toDF("e_b", "b_more"), F.col("b") == F.col("e_b"), "left")
     most = F.col("common") + F.least(F.coalesce("a_more", F.lit(0)), F.coalesce("b_more", F.lit(0)))
-    pairs = cut(shared.where(enough(most, F.col("a_n"), F.col("b_n"))).select("a", "b"), "pairs")
+    pairs = cut(shared.where(most >= need(F.col("a_n"), F.col("b_n"))).select("a", "b"), "pairs")
 
     members = pairs.select(F.col("a").alias("p")).union(pairs.select("b")).union(extra.select("c")).distinct()
     sets = class_sets(own, leads.join(members, F.col("c") == F.col("p"), "left_semi"), width)
@@ -248,14 +250,16 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD
         if labels is not None:
             open_ = in_long.join(labels, F.col("c") == F.col("id"), "left").withColumn("comp", F.coalesce("comp", "c"))
             mixed = cut(open_.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token"), "mixed")
-            open_ = cut(open_.select("token", "c", "n", "k", "more", "comp").join(mixed, "token"), "open-runs")
+            open_ = cut(open_.select("token", "c", "n", "k", "more", "nth", "comp").join(mixed, "token"), "open-runs")
         hubs = open_.where((u(F.col("c")) >= F.lit(low) / F.col("k")) & (u(F.col("c")) < F.lit(high) / F.col("k")))
-        hubs = hubs.select("token", F.col("c").alias("h"), F.col("n").alias("h_n"), F.col("more").alias("h_more"), F.col("comp").alias("h_comp"))
-        met = hubs.join(open_, "token").where((F.col("comp") != F.col("h_comp")) & near(F.col("n"), F.col("h_n")) & enough(F.least("more", "h_more"), F.col("n"), F.col("h_n")))
+        hubs = hubs.select("token", F.col("c").alias("h"), F.col("n").alias("h_n"), F.col("more").alias("h_more"), F.col("nth").alias("h_nth"), F.col("comp").alias("h_comp"))
+        # The first token that both share has need - 1 more after it, in either class.
+        room = F.least(F.col("more") - F.col("nth"), F.col("h_more") - F.col("h_nth")) + 1 >= need(F.col("n"), F.col("h_n"))
+        met = hubs.join(open_, "token").where((F.col("comp") != F.col("h_comp")) & near(F.col("n"), F.col("h_n")) & room)
         met = met.where((u(F.col("c")) > u(F.col("h"))) | ((u(F.col("c")) == u(F.col("h"))) & (F.col("c") > F.col("h"))))
         return met.select(F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")).distinct()
 
-    high, labels, links = 2.0, None, pairs.limit(0)
+    high, labels, links = 1.5, None, pairs.limit(0)
     if longest:
         pairs = cut(pairs.union(hub_pairs(0.0, high, None)).distinct(), "pairs")
     while True:
