@@ -1,16 +1,21 @@
 """Byte-level BPE: ranked merges folded over the distinct words of blocks of texts.
 
 1. Texts are split by the vocabulary's pattern; a block of texts (BLOCK_CHARS) becomes one
-   row with its distinct words and, for every text, the indices of its words. Nothing is
+   row with its distinct words and, for every text, the indices of its words. No text is
    shuffled, so encoding costs no disk and no word can be a hot key.
-2. Spark higher-order functions fold the merges over the bytes of every distinct word:
-   pieces and the ranks of neighbouring pairs are two arrays; each step joins the pair of
-   least rank (the leftmost of equals) and looks up the two ranks beside it. The rank map
-   is a literal, an array of small maps by hash, since a map's keys are searched in order.
-   Words longer than FOLD bytes, for which the fold's work would grow with the square of
-   the length, are merged with a heap in step 1 instead, by the same rule.
+2. Spark higher-order functions fold the merges over the bytes of every distinct word: the
+   state is the array of the pieces' borders and the array of the ranks of neighbouring
+   pairs; each step takes out the border within the pair of least rank (the leftmost of
+   equals) and looks up the two ranks beside it. The rank map is a literal, an array of
+   small maps by hash, since a map's keys are searched in order. Words longer than FOLD
+   bytes, for which the fold's work would grow with the square of the length, are merged
+   with a heap in step 1 instead, by the same rule.
 3. A text's ids are the ids of its words in order.
 
+The words of a bounded sample of texts go through the fold first; their ids, at most
+CACHE_WORDS words, are broadcast, so that blocks fold only what is not among them. Which
+words those are changes the work, never the ids.
+
 Decoding concatenates the binary pieces of ids.
 
 Defined cases: null text is empty and gives no ids; texts of any length are read whole;
@@ -29,14 +34,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from korvane.session import pick
+from korvane.session import cut, pick
 
 #: Characters of a block, about; longest word for the fold; small maps of the rank map.
 BLOCK_CHARS, FOLD, BUCKETS = 16_000_000, 64, 1 << 14
-_NONE = 2**31 - 1
+#: Texts whose words are folded beforehand, about; words kept of them, at most (some 40 bytes each).
+CACHE_TEXTS, CACHE_WORDS = 40_000, 1_000_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -80,8 +87,6 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def rank_map(ranks: dict[bytes, int]) -> Column:
     """The ranks as a literal: BUCKETS maps from tokens (a character for each byte) to ranks, by the tokens' hash."""
-    import xxhash
-
     maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for token, rank in ranks.items():
         text = token.decode("latin-1")
@@ -96,95 +101,153 @@ def _let(value: Column, body) -> Column:
 
 def fold(word: Column, table: Column) -> Column:
     """Ids of a word, a string with a character for each byte, by the rank map."""
-    rank = lambda s: F.coalesce(F.try_element_at(F.get(table, F.pmod(F.xxhash64(s), F.lit(BUCKETS)).cast("int")), s), F.lit(_NONE))
+    rank = lambda s: F.try_element_at(F.get(table, F.xxhash64(s).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), s)
+    span = lambda a, b: rank(F.substring(word, a + 1, b - a))
     n = F.length(word)
-    pieces = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(1)))
+    borders = F.sequence(F.lit(0), n)
     ranks = F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.substring(word, i, F.lit(2))))
-    none = F.array().cast("array<int>")
 
     def step(s: Column, _: Column) -> Column:
-        p, rk = s["p"], s["r"]
+        b, rk = s["b"], s["r"]
+        least = F.array_min(rk)
+
+        def joined(i: Column) -> Column:  # i: the left piece, from 0
+            new = lambda x, j: F.when(j == i - 1, span(F.get(b, i - 1), F.get(b, i + 2))).when(j == i, span(F.get(b, i), F.get(b, i + 3))).otherwise(x)
+            return F.struct(F.array_remove(b, F.get(b, i + 1)).alias("b"), F.transform(F.filter(rk, lambda _, j: j != i), new).alias("r"))
+
+        return F.when(least.isNotNull(), _let((F.array_position(rk, least) - 1).cast("int"), joined)).otherwise(s)
+
+    merged = F.aggregate(F.sequence(F.lit(2), n), F.struct(borders.alias("b"), ranks.alias("r")), step, lambda s: s["b"])
+    pieces = lambda b: F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda x, j: span(x, F.get(b, j + 1)))
+    return _let(rank(word), lambda r: F.when(r.isNotNull() | (n < 2), F.array(r)).otherwise(_let(merged, pieces)))
+
 
-        def joined(i: Column) -> Column:  # i: the left piece's index, from 1
-            def put(new: Column) -> Column:
-                left = F.when(i > 1, F.array(rank(F.concat(F.get(p, i - 2), new)))).otherwise(none)
-                right = F.when(i + 1 < F.size(p), F.array(rank(F.concat(new, F.get(p, i + 1))))).otherwise(none)
-                return F.struct(
-                    F.concat(F.slice(p, F.lit(1), i - 1), F.array(new), F.slice(p, i + 2, F.size(p))).alias("p"),
-                    F.concat(F.slice(rk, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(rk, i + 2, F.size(p))).alias("r"),
-                )
+class Cache:
+    """Ids of words by the words' 128-bit hashes, in sorted arrays."""
 
-            return _let(F.concat(F.get(p, i - 1), F.get(p, i)), put)
+    def __init__(self, words: list[bytes], flat: np.ndarray, n: np.ndarray):
+        h = self.hashes(words)
+        order = np.argsort(h[:, 0], kind="stable")
+        self.h, self.flat, self.n = h[order], flat, n[order]
+        self.at = (np.cumsum(n) - n)[order]
 
-        found = lambda m: F.when(m < _NONE, _let(F.array_position(rk, m).cast("int"), joined)).otherwise(s)
-        return _let(F.array_min(rk), found)
+    @staticmethod
+    def hashes(words: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
 
-    start = F.struct(pieces.alias("p"), ranks.alias("r"))
-    merged = F.aggregate(F.sequence(F.lit(2), n), start, step, lambda s: F.transform(s["p"], rank))
-    whole = lambda r: F.when((r < _NONE) | (n < 2), F.array(r)).otherwise(merged)
-    return _let(rank(word), whole)
+    def find(self, words: list[bytes]) -> np.ndarray:
+        """The place of each word, or -1."""
+        h = self.hashes(words)
+        if not len(self.h) or not len(h):
+            return np.full(len(words), -1, np.int32)
+        i = np.minimum(np.searchsorted(self.h[:, 0], h[:, 0]), len(self.h) - 1)
+        return np.where((self.h[i] == h).all(1), i, -1).astype(np.int32)
 
 
-def _blocks(pattern: str, ranks, chars: int):
-    """doc_id, text batches to rows of blocks: doc_ids, sizes, index, words, long_at, long_ids."""
+def build_cache(docs: DataFrame, ranks: dict[bytes, int], pattern: str, texts: int = CACHE_TEXTS, most: int = CACHE_WORDS) -> Cache:
+    """Folds the words of about `texts` of the rows (doc_id, text); of too many words the rarer ones are left to the blocks."""
+    total = docs.count()
+    some = docs if total <= texts else docs.where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000)) < int(1e6 * texts / total) + 1)
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = splitter(pattern).findall
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2000):
+                got = pa.chunked_array([pa.array(split(t.as_py() or ""), pa.string()) for t in batch.column(0).slice(lo, 2000)], pa.string()).value_counts()
+                own = [(w.encode(), n) for w, n in zip(got.field(0).to_pylist(), got.field(1).to_pylist(), strict=True)]
+                own = [(w, n) for w, n in own if len(w) <= FOLD]
+                yield pa.record_batch([pa.array([w.decode("latin-1") for w, _ in own], pa.string()), pa.array([n for _, n in own], pa.int64())], names=["word", "n"])
+
+    counts = cut(some.select("text").mapInArrow(words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    steps = {r.step: r["count"] for r in counts.groupBy(F.floor(F.log2("n") * 4).cast("int").alias("step")).count().collect()}  # some dozens
+    least, room = 0, most
+    for step in sorted(steps, reverse=True):
+        if steps[step] > room:
+            least = step + 1
+            break
+        room -= steps[step]
+    kept = counts.where(F.floor(F.log2("n") * 4) >= least).groupBy(F.spark_partition_id(), F.pmod(F.xxhash64("word"), F.lit(16))).agg(F.collect_list("word").alias("words"))
+    got = kept.select("words", _let(rank_map(ranks), lambda table: F.transform("words", lambda w: fold(w, table))).alias("ids")).toArrow()
+    flat_words = got.column("words").combine_chunks().flatten().to_pylist() if got.num_rows else []
+    ids = pa.chunked_array([c.flatten() for c in got.column("ids").chunks], pa.list_(pa.int32())).combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
+    n = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int32)
+    return Cache([w.encode("latin-1") for w in flat_words], ids.flatten().to_numpy(), n)
+
+
+def _blocks(pattern: str, ranks, cache, chars: int):
+    """doc_id, text batches to rows of blocks: doc_ids, sizes, index, known, words, long_at, long_ids.
+
+    known: for each distinct word its place in the cache, or -1; words: those without one.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter(pattern).findall
         ids: list = []
         sizes: list[int] = []
-        index: list[np.ndarray] = []
-        words: dict[str, int] = {}
+        found: list[str] = []
+        chunks: list[pa.Array] = []
         size = 0
 
         def row() -> pa.RecordBatch:
-            raw = [w.encode("utf-8", "surrogatepass") for w in words]
-            far = [i for i, w in enumerate(raw) if len(w) > FOLD]
+            coded = pa.chunked_array([*chunks, pa.array(found, pa.string())], pa.string()).dictionary_encode().unify_dictionaries()
+            index = pa.concat_arrays([c.indices for c in coded.chunks])
+            raw = [w.encode() for w in coded.chunk(0).dictionary.to_pylist()]
+            known = cache.value.find(raw)
+            new = [w for w, k in zip(raw, known.tolist(), strict=True) if k < 0]
+            far = [i for i, w in enumerate(new) if len(w) > FOLD]
             one = lambda v, t: pa.array([v], pa.list_(t))
-            flat = np.concatenate(index) if index else np.empty(0, np.int32)
+            whole = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
             out = [
-                one(ids, pa.int64()), one(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat)),
-                one(["" if len(w) > FOLD else w.decode("latin-1") for w in raw], pa.string()), one(far, pa.int32()),
-                pa.array([[merge(raw[i], ranks.value) for i in far]], pa.list_(pa.list_(pa.int32()))),
+                one(ids, pa.int64()), one(sizes, pa.int32()), whole(index), whole(pa.array(known)),
+                one(["" if len(w) > FOLD else w.decode("latin-1") for w in new], pa.string()), one(far, pa.int32()),
+                pa.array([[merge(new[i], ranks.value) for i in far]], pa.list_(pa.list_(pa.int32()))),
             ]
-            return pa.record_batch(out, names=["doc_ids", "sizes", "index", "words", "long_at", "long_ids"])
+            return pa.record_batch(out, names=["doc_ids", "sizes", "index", "known", "words", "long_at", "long_ids"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 t = text.as_py() or ""
                 got = split(t)
-                put = words.setdefault
-                index.append(np.fromiter((put(w, len(words)) for w in got), np.int32, len(got)))
+                found += got
                 ids.append(doc_id.as_py())
                 sizes.append(len(got))
                 size += len(t) + 16
+                if len(found) >= 200_000:
+                    chunks.append(pa.array(found, pa.string()))
+                    found = []
                 if size >= chars:
                     yield row()
-                    ids, sizes, index, words, size = [], [], [], {}, 0
+                    ids, sizes, found, chunks, size = [], [], [], [], 0
         if ids:
             yield row()
 
     return each
 
 
-def _texts(each_text, names: list[str], schema: list[pa.DataType]):
-    """Rows of blocks to a row per text: doc_id and what each_text(ids of words, their places, index) gives."""
+def _texts(each_text, cache, names: list[str], schema: list[pa.DataType]):
+    """Rows of blocks to a row per text: doc_id and what each_text(ids of words, their places, their numbers) gives."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = cache.value
         for batch in batches:
             for b in range(batch.num_rows):
                 own = lambda name, b=b, batch=batch: batch.column(name)[b].values
-                coded = own("coded")
-                starts, flat = coded.offsets.to_numpy().astype(np.int64), coded.values.to_numpy()
-                n = np.diff(starts)
+                known = own("known").to_numpy()
+                coded = own("coded")  # of the words that the cache lacks
+                new_n = coded.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                new_at, flat = np.cumsum(new_n) - new_n, coded.flatten().to_numpy()
                 far = own("long_at").to_numpy()
-                if len(far):  # long words' ids go to the end
+                if len(far):  # ids of long words go to the end
                     more = own("long_ids")
-                    off = more.offsets.to_numpy().astype(np.int64)
-                    at = starts[:-1].copy()
-                    at[far], n[far] = len(flat) + off[:-1] - off[0], np.diff(off)
-                    flat = np.concatenate([flat, more.values.to_numpy()[: off[-1] - off[0]] if off[0] == 0 else more.values.to_numpy()[off[0] : off[-1]]])
-                else:
-                    at = starts[:-1]
+                    k = more.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+                    new_at[far], new_n[far] = len(flat) + np.cumsum(k) - k, k
+                    flat = np.concatenate([flat, more.flatten().to_numpy()])
+                old = known >= 0
+                at, n = np.empty(len(known), np.int64), np.empty(len(known), np.int64)
+                at[~old], n[~old] = new_at, new_n
+                n[old] = kept.n[known[old]]
+                at[old] = len(flat) + np.cumsum(n[old]) - n[old]
+                flat = np.concatenate([flat, _gather(kept.flat, kept.at, kept.n, known[old])])
                 sizes, index = own("sizes").to_numpy(), own("index").to_numpy()
                 ends = np.cumsum(sizes)
                 doc_ids = own("doc_ids")
@@ -197,12 +260,18 @@ def _texts(each_text, names: list[str], schema: list[pa.DataType]):
     return each
 
 
-def _coded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    blocks = pick(docs, "doc_id", "text").mapInArrow(_blocks(pattern, shared, chars), "doc_ids array<long>, sizes array<int>, index array<int>, words array<string>, long_at array<int>, long_ids array<array<int>>")
+_BLOCK = "doc_ids array<long>, sizes array<int>, index array<int>, known array<int>, words array<string>, long_at array<int>, long_ids array<array<int>>"
+
+
+def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int, each_text, schema: dict[str, tuple[str, pa.DataType]]) -> DataFrame:
+    own = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    context = docs.sparkSession.sparkContext
+    shared, cache = context.broadcast(ranks), context.broadcast(build_cache(own, ranks, pattern))
+    blocks = own.mapInArrow(_blocks(pattern, shared, cache, chars), _BLOCK)
     one = F.array(F.lit(0))  # stands for words that step 1 has merged
     coded = _let(rank_map(ranks), lambda table: F.transform("words", lambda w: F.when(w == "", one).otherwise(fold(w, table))))
-    return blocks.withColumn("coded", coded).drop("words")
+    made = _texts(each_text, cache, list(schema), [t for _, t in schema.values()])
+    return blocks.withColumn("coded", coded).drop("words").mapInArrow(made, ", ".join(["doc_id long", *(f"{k} {t}" for k, (t, _) in schema.items())]))
 
 
 def _gather(flat: np.ndarray, at: np.ndarray, n: np.ndarray, index: np.ndarray) -> np.ndarray:
@@ -217,7 +286,7 @@ def _gather(flat: np.ndarray, at: np.ndarray, n: np.ndarray, index: np.ndarray)
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, ids of every text."""
     make = lambda flat, at, n: lambda index: (_gather(flat, at, n, index),)
-    return _coded(docs, ranks, pattern, chars).mapInArrow(_texts(make, ["ids"], [pa.list_(pa.int32())]), "doc_id long, ids array<int>")
+    return _encoded(docs, ranks, pattern, chars, make, {"ids": ("array<int>", pa.list_(pa.int32()))})
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
@@ -236,7 +305,8 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int =
     def make(flat: np.ndarray, at: np.ndarray, n: np.ndarray):
         back, ids = pieces.value, flat.tolist()
         own = [ids[a : a + k] for a, k in zip(at.tolist(), n.tolist(), strict=True)]
-        said = [" ".join(map(str, w)) for w in own]
+        digits = {i: str(i) for i in set(ids)}
+        said = [" ".join([digits[i] for i in w]) for w in own]
         meant = [b"".join([back[i] for i in w]) for w in own]
 
         def text(index: np.ndarray) -> tuple[int, str, str]:
@@ -247,5 +317,23 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int =
 
         return text
 
-    names, types = ["n_tokens", "ids_sha256", "decoded_sha256"], [pa.int64(), pa.string(), pa.string()]
-    return _coded(docs, ranks, pattern, chars).mapInArrow(_texts(make, names, types), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = {"n_tokens": ("long", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
+    return _encoded(docs, ranks, pattern, chars, make, schema)
+
+
+def tokenise(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, n_tokens, ids, decoded_sha256 of every text."""
+    pieces = docs.sparkSession.sparkContext.broadcast({i: t for t, i in ranks.items()})
+
+    def make(flat: np.ndarray, at: np.ndarray, n: np.ndarray):
+        back, ids = pieces.value, flat.tolist()
+        meant = [b"".join([back[i] for i in ids[a : a + k]]) for a, k in zip(at.tolist(), n.tolist(), strict=True)]
+
+        def text(index: np.ndarray) -> tuple[int, np.ndarray, str]:
+            own = _gather(flat, at, n, index)
+            return len(own), own, hashlib.sha256(b"".join([meant[w] for w in index.tolist()])).hexdigest()
+
+        return text
+
+    schema = {"n_tokens": ("long", pa.int64()), "ids": ("array<int>", pa.list_(pa.int32())), "decoded_sha256": ("string", pa.string())}
+    return _encoded(docs, ranks, pattern, chars, make, schema)
