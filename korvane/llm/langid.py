@@ -4,9 +4,7 @@ Learned from a bounded sample of labelled rows: how often each language uses eac
 script, and the relative frequency of character 1- to 3-grams of its words. The script
 of a word's letters narrows its candidates to languages that use it; the n-grams score
 those. A path through the document's words maximises the summed scores less SWITCH for
-each change of language (Viterbi), which labels spans of mixed text. Where no other
-language gains more than SWITCH / 2 over any run of words, the path is constant and is
-not searched for: that is exact. The document's language is the one with most letters.
+each change of language (Viterbi), which labels spans of mixed text. The document's language is the one with most letters.
 
 Defined cases: null text and text without letters are `und` with score 0 and no spans;
 words in scripts that no learned language uses are left out, and a text with only such
@@ -28,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of a language to learn from, at most about; n-grams kept, at most; words whose scores a worker remembers.
-TRAIN_ROWS, GRAMS, CACHE = 3000, 200_000, 400_000
+TRAIN_ROWS, GRAMS, CACHE = 3000, 200_000, 800_000
 #: Cost of a change of language, in nats; most that one word can speak against a language.
 SWITCH, CLIP = 14.0, 10.0
 #: A language uses a script that has at least this share of its letters.
@@ -80,62 +78,79 @@ class Model:
         for k in (1, 2, 3):  # shares within n-grams of one length
             part = raw[size == k] + 0.5
             self.logs[size == k] = np.log(part / part.sum(0)) if len(part) else part
-        self.cache: dict[str, np.ndarray | None] = {}
-
-    def words(self, words: list[str]) -> None:
-        """Puts the scores of words into the cache: 0 for the best language, less for others; None where no language has the script."""
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.cache]
-        ids, ends = [], [0]
-        for w in new:
-            ids += [g for g in map(self.grams.get, _grams(w[:40])) if g is not None]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.table = np.zeros((1024, len(self.langs)), np.float32)  # row 0: words that are not scored
+        self.used = 1
+
+    def learn(self, words: set[str]) -> None:
+        """Puts rows of scores for words into the table: 0 for the best language, less for others."""
+        if len(self.rows) > CACHE:
+            self._forget()
+        new = [w for w in words if w not in self.rows]
+        if not new:
+            return
+        can = [self.scripts.get("latin" if w[0] < "\u0250" else script_of(w)) for w in new]
+        self.rows.update((w, 0) for w, c in zip(new, can, strict=True) if c is None)
+        pairs = [(w, c) for w, c in zip(new, can, strict=True) if c is not None]
+        if not pairs:
+            return
+        ids, ends, get = [], [], self.grams.get
+        for w, _ in pairs:
+            ids += [g for g in map(get, _grams(w[:40])) if g is not None]
             ends.append(len(ids))
-        sums = np.vstack([np.zeros(len(self.langs)), np.cumsum(self.logs[ids], 0)]) if ids else np.zeros((1, len(self.langs)))
-        for i, w in enumerate(new):
-            can = self.scripts.get(script_of(w))
-            if can is None:
-                self.cache[w] = None
-                continue
-            s = sums[ends[i + 1]] - sums[ends[i]]
-            s = np.where(can, s, -np.inf)
-            self.cache[w] = np.maximum(s - s.max(), -CLIP)
+        sums = np.vstack([np.zeros((1, len(self.langs))), np.cumsum(self.logs[ids], 0)])
+        ends = np.array(ends)
+        s = np.where(np.array([c for _, c in pairs]), np.diff(sums[np.append(0, ends)], axis=0), -np.inf)
+        s = np.maximum(s - s.max(1, keepdims=True), -CLIP)
+        while self.used + len(s) > len(self.table):
+            self.table = np.vstack([self.table, np.zeros_like(self.table)])
+        self.table[self.used : self.used + len(s)] = s
+        self.rows.update((w, self.used + i) for i, (w, _) in enumerate(pairs))
+        self.used += len(s)
 
     def spans(self, text: str) -> list[tuple[int, int, str, int]]:
         """(first word, last word, language, letters) of the spans of a text; words are runs of letters, from 0."""
         words = _WORD.findall(text.lower())
-        self.words(words)
-        cache = self.cache
-        at = [i for i, w in enumerate(words) if cache[w] is not None]
-        if not at:
+        self.learn(set(words))
+        row = np.fromiter(map(self.rows.__getitem__, words), np.int32, len(words))
+        at = np.flatnonzero(row)
+        if not len(at):
             return []
-        s = np.array([cache[words[i]] for i in at])
-        path = viterbi(s, SWITCH)
+        path = viterbi(self.table[row[at]].astype(float), SWITCH)
+        size = np.fromiter(map(len, words), np.int64, len(words))[at]
         cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(at)]
-        return [(at[a], at[b - 1], self.langs[path[a]], sum(len(words[i]) for i in at[a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
+        return [(int(at[a]), int(at[b - 1]), self.langs[path[a]], int(size[a:b].sum())) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def viterbi(s: np.ndarray, switch: float) -> np.ndarray:
-    """The row of languages, one a word, with the greatest sum of scores less switch for each change; ties to the lesser index, and to staying."""
+    """The languages, one a word, with the greatest sum of scores less switch for each change, among paths that change only where the words' best language does.
+
+    A constant path is given without a search where that is exact: with G the most that another
+    language gains over a run of words, and P and E the most over runs at the start and the end,
+    G <= switch covers paths that leave it and come back, P + E <= switch those that never take it.
+    """
     best = int(s.sum(0).argmax())
-    gain = np.cumsum(s - s[:, [best]], 0)
-    low = np.minimum.accumulate(np.vstack([np.zeros(s.shape[1]), gain[:-1]]), 0)
-    if (gain - low).max() <= switch / 2:
+    gain = np.zeros((len(s) + 1, s.shape[1]))
+    np.cumsum(s - s[:, [best]], 0, out=gain[1:])
+    low = np.minimum.accumulate(gain, 0)
+    if (gain - low).max() <= switch and gain.max() + (gain[-1] - low[-1]).max() <= switch:
         return np.full(len(s), best)
-    n, k = s.shape
-    back = np.empty((n, k), np.int32)
-    stay, v = list(range(k)), s[0].tolist()
-    back[0] = stay
-    for i, row in enumerate(s[1:].tolist(), 1):
-        top = max(v)
-        j, out = v.index(top), top - switch
-        back[i] = [x if v[x] >= out else j for x in stay]
+    top = s.argmax(1)
+    first = np.append(0, np.flatnonzero(np.diff(top)) + 1)  # words of one best language in a row are one step
+    sums, k = np.add.reduceat(s, first, axis=0), s.shape[1]
+    back, stay, v = [], list(range(k)), sums[0].tolist()
+    for row in sums[1:].tolist():
+        high = max(v)
+        j, out = v.index(high), high - switch
+        back.append([x if v[x] >= out else j for x in stay])
         v = [(a if a >= out else out) + b for a, b in zip(v, row, strict=True)]
-    path = np.empty(n, np.int64)
-    path[-1] = v.index(max(v))
-    for i in range(n - 1, 0, -1):
-        path[i - 1] = back[i, path[i]]
-    return path
+    path = [v.index(max(v))]
+    for b in reversed(back):
+        path.append(b[path[-1]])
+    return np.repeat(np.array(path[::-1]), np.diff(np.append(first, len(s))))
 
 
 def train(rows: DataFrame, most: int = TRAIN_ROWS, seed: int = 11) -> Model:
