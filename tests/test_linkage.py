@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from korvane.operators import decision, evaluate, features, fusion, lexical, negatives, profile, stress, vector
 from korvane.plans import linkage
 from korvane.sources import records
+from korvane.streaming.arrivals import match_arrivals
 
 
 def test_features_of_the_golden_pair(spark):
@@ -198,5 +199,10 @@ def test_pipelines_end_to_end(spark, folder, tmp_path):
     records.write_candidates(candidates, str(tmp_path / "cand"))
     lines = next((tmp_path / "out").glob("part-*")).read_text().splitlines()
     assert lines[0] == "source1_entity_id\tmatched_entity_ids" and len(lines) == 61
+    records.load_records(spark, str(folder / "test_source1.tsv")).write.parquet(str(tmp_path / "arrivals"))
+    arriving = spark.readStream.schema(records.RECORD).parquet(str(tmp_path / "arrivals"))
+    _, s2, s3 = records.load_test(spark, str(folder))
+    match_arrivals(arriving, s2, s3, again, str(tmp_path / "matched"), str(tmp_path / "state"), settings, once=True).awaitTermination()
+    assert {(r.s1_id, tuple(r.matches)) for r in spark.read.parquet(str(tmp_path / "matched")).collect()} == {(r.s1_id, tuple(r.matches)) for r in pred.collect()}
     claimed = [c for x in lines[1:] for c in x.split("\t")[1].split(",") if c]
     assert len(claimed) == len(set(claimed)) > 20
