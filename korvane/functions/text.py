@@ -52,9 +52,9 @@ def fold_accents(c: Column) -> Column:
 
 
 def drop_websites(c: Column) -> Column:
-    c = F.regexp_replace(c, r"(?U)https?://\S+", "")
-    c = F.regexp_replace(c, r"(?U)www\.\S+", "")
-    return strip(F.regexp_replace(c, r"(?iU)\b\w+\.(com|org|net|co\.in|in|edu)\b", ""))
+    for pattern, flags in zip(vocab.WEBSITES, ("(?U)", "(?U)", "(?iU)"), strict=True):
+        c = F.regexp_replace(c, flags + pattern, "")
+    return strip(c)
 
 
 def split_dba(c: Column) -> Column:
@@ -68,8 +68,7 @@ def split_dba(c: Column) -> Column:
 
 
 def clean_name(c: Column) -> Column:
-    c = F.regexp_replace(c, r"[/\\|,;:]+", " ")
-    c = F.regexp_replace(c, r"[\"'\[\]{}()*#]+", " ")
+    c = F.regexp_replace(F.regexp_replace(c, vocab.NAME_SEPARATORS, " "), vocab.NAME_QUOTES, " ")
     return strip(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
@@ -117,18 +116,18 @@ def name_parts(name: Column, fold: bool = True) -> Column:
 
 
 def numbers(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(r"(?U)\b\d+(?:[/-]\d+)*\b"), F.lit(0))
+    return F.regexp_extract_all(c, F.lit("(?U)" + vocab.NUMBER), F.lit(0))
 
 
 def pin_zip(c: Column) -> Column:
     """The first number of six digits, else the first of five (before any -dddd), else empty."""
     got = lambda p: F.nullif(F.regexp_extract(c, p, 1), F.lit(""))
-    return F.coalesce(got(r"(?U)\b(\d{6})\b"), got(r"(?U)\b(\d{5})(?:-\d{4})?\b"), F.lit(""))
+    return F.coalesce(got("(?U)" + vocab.PIN), got("(?U)" + vocab.ZIP), F.lit(""))
 
 
 def clean_address(c: Column) -> Column:
-    c = F.regexp_replace(c, r"[\"'\[\]{}()*]+", " ")
-    c = F.regexp_replace(F.regexp_replace(c, "#+", "#"), "[,;]+", ", ")
+    c = F.regexp_replace(c, vocab.ADDRESS_QUOTES, " ")
+    c = F.regexp_replace(F.regexp_replace(c, vocab.ADDRESS_HASHES, "#"), vocab.ADDRESS_COMMAS, ", ")
     return strip(F.regexp_replace(c, r"(?U)\s+", " "))
 
 

@@ -58,6 +58,12 @@ ADDRESS_TOKENS = ADDRESS_US | ADDRESS_INDIA | ADDRESS_FRANCE
 
 # Marks of a second trading name, tried in this order.
 DBA_MARKS = (r"\bdba\b", r"\bd/b/a\b", r"\bdoing business as\b", r"\baka\b", r"\ba\.k\.a\.\b", r"\btrading as\b", r"\bt/a\b")
+# Patterns of what is taken out of names, of separators, quotes and brackets, and of numbers.
+WEBSITES = (r"https?://\S+", r"www\.\S+", r"\b\w+\.(com|org|net|co\.in|in|edu)\b")
+NAME_SEPARATORS, NAME_QUOTES = r"[/\\|,;:]+", r"[\"'\[\]{}()*#]+"
+ADDRESS_QUOTES, ADDRESS_HASHES, ADDRESS_COMMAS = r"[\"'\[\]{}()*]+", "#+", "[,;]+"
+NUMBER = r"\b\d+(?:[/-]\d+)*\b"
+PIN, ZIP = r"\b(\d{6})\b", r"\b(\d{5})(?:-\d{4})?\b"
 # Words that open a landmark.
 LANDMARK_WORDS = "near|opp|opposite|behind|beside|next to|adjacent to|in front of"
 # Texts that a missing value is written as in delimited files.
