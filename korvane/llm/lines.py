@@ -1,7 +1,8 @@
 """Line dedup over overlapping windows of three lines.
 
 A text is cut into lines: the stretches up to and with a run of line ends or sentence
-ends ([\\n.!?]), since one physical line may hold a whole passage. Lines are compared
+ends ([\\n.!?]) and the white space after it, since one physical line may hold a whole
+passage, and words must not run together where a line goes. Lines are compared
 without white space at their ends. Every three consecutive lines with at least MIN_WORDS
 words are a window (a text of one or two lines is one window). A window's first
 occurrence, by (doc_id, position), stays; the lines that its later occurrences cover are
@@ -36,7 +37,7 @@ from korvane.session import cut, pick
 WINDOW, MIN_WORDS = 3, 8
 #: Bits of the bitmap of repeated windows (2 MB).
 BITMAP = 1 << 24
-_LINE = r"[^\n.!?]*[\n.!?]+|[^\n.!?]+"
+_LINE = r"[^\n.!?]*[\n.!?][\n.!? \t\r]*|[^\n.!?]+"
 _ENDS = " \t\n\r\x0b\x0c"
 _Q = [np.uint64(q) for q in (1, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -141,7 +142,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 WITH u AS (
-  SELECT doc_id, text, coalesce(regexp_extract_all(text, '[^\n.!?]*[\n.!?]+|[^\n.!?]+'), []) AS x FROM documents),
+  SELECT doc_id, text, coalesce(regexp_extract_all(text, '[^\n.!?]*[\n.!?][\n.!? \t\r]*|[^\n.!?]+'), []) AS x FROM documents),
 t AS (
   SELECT doc_id, text, x, len(x) AS n, list_transform(x, lambda s: trim(s, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS y FROM u),
 w AS (
