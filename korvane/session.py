@@ -35,6 +35,9 @@ def ship_code(spark: SparkSession) -> None:
     if done == (app := spark.sparkContext.applicationId):
         return
     ship_code.done = app
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":  # unless it was set: batches of whole texts, held by the JVM and by Python, stay small
+        spark.conf.set(rows, "2000")
     top = Path(__file__).resolve().parent
     path = f"{tempfile.mkdtemp(prefix='korvane-code-')}/korvane.zip"
     with zipfile.ZipFile(path, "w") as z:
