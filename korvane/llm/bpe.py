@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -191,17 +192,16 @@ def _blocks(pattern: str, ranks, cache, chars: int):
         def row() -> pa.RecordBatch:
             coded = pa.chunked_array([*chunks, pa.array(found, pa.string())], pa.string()).dictionary_encode().unify_dictionaries()
             index = pa.concat_arrays([c.indices for c in coded.chunks])
-            raw = [w.encode() for w in coded.chunk(0).dictionary.to_pylist()]
-            known = cache.value.find(raw)
-            new = [w for w, k in zip(raw, known.tolist(), strict=True) if k < 0]
-            far = [i for i, w in enumerate(new) if len(w) > FOLD]
+            every = coded.chunk(0).dictionary.cast(pa.binary())
+            known = cache.value.find(every.to_pylist())
+            new = every.take(pa.array(np.flatnonzero(known < 0)))
+            far = np.flatnonzero(pc.binary_length(new).to_numpy(zero_copy_only=False) > FOLD)
+            merged = [merge(new[i].as_py(), ranks.value) for i in far.tolist()]
+            if len(far):
+                new = pc.if_else(pc.greater(pc.binary_length(new), FOLD), pa.scalar(b"", pa.binary()), new)
             one = lambda v, t: pa.array([v], pa.list_(t))
             whole = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
-            out = [
-                one(ids, pa.int64()), one(sizes, pa.int32()), whole(index), whole(pa.array(known)),
-                one(["" if len(w) > FOLD else w.decode("latin-1") for w in new], pa.string()), one(far, pa.int32()),
-                pa.array([[merge(new[i], ranks.value) for i in far]], pa.list_(pa.list_(pa.int32()))),
-            ]
+            out = [one(ids, pa.int64()), one(sizes, pa.int32()), whole(index), whole(pa.array(known)), whole(new), one(far, pa.int32()), pa.array([merged], pa.list_(pa.list_(pa.int32())))]
             return pa.record_batch(out, names=["doc_ids", "sizes", "index", "known", "words", "long_at", "long_ids"])
 
         for batch in batches:
@@ -224,11 +224,11 @@ def _blocks(pattern: str, ranks, cache, chars: int):
     return each
 
 
-def _texts(each_text, cache, names: list[str], schema: list[pa.DataType]):
-    """Rows of blocks to a row per text: doc_id and what each_text(ids of words, their places, their numbers) gives."""
+def _texts(start, cache, names: list[str]):
+    """Rows of blocks to a row per text: doc_id and the columns that start()(ids of some texts, where each text's begin) gives."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = cache.value
+        kept, finish = cache.value, start()
         for batch in batches:
             for b in range(batch.num_rows):
                 own = lambda name, b=b, batch=batch: batch.column(name)[b].values
@@ -248,30 +248,31 @@ def _texts(each_text, cache, names: list[str], schema: list[pa.DataType]):
                 n[old] = kept.n[known[old]]
                 at[old] = len(flat) + np.cumsum(n[old]) - n[old]
                 flat = np.concatenate([flat, _gather(kept.flat, kept.at, kept.n, known[old])])
-                sizes, index = own("sizes").to_numpy(), own("index").to_numpy()
-                ends = np.cumsum(sizes)
-                doc_ids = own("doc_ids")
-                make = each_text(flat, at, n)
-                for lo in range(0, len(sizes), 500):
-                    hi = min(lo + 500, len(sizes))
-                    rows = [make(index[e - s : e]) for s, e in zip(sizes[lo:hi].tolist(), ends[lo:hi].tolist(), strict=True)]
-                    yield pa.record_batch([doc_ids.slice(lo, hi - lo), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(schema))], names=["doc_id", *names])
+                index, doc_ids = own("index").to_numpy(), own("doc_ids")
+                ends = np.append(0, np.cumsum(own("sizes").to_numpy()))
+                for lo in range(0, len(doc_ids), 500):
+                    hi = min(lo + 500, len(doc_ids))
+                    words = index[ends[lo] : ends[hi]]
+                    tokens = np.append(0, np.cumsum(n[words]))
+                    yield pa.record_batch([doc_ids.slice(lo, hi - lo), *finish(_gather(flat, at, n, words), tokens[ends[lo : hi + 1] - ends[lo]])], names=["doc_id", *names])
 
     return each
 
 
-_BLOCK = "doc_ids array<long>, sizes array<int>, index array<int>, known array<int>, words array<string>, long_at array<int>, long_ids array<array<int>>"
+_BLOCK = "doc_ids array<long>, sizes array<int>, index array<int>, known array<int>, words array<binary>, long_at array<int>, long_ids array<array<int>>"
 
 
-def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int, each_text, schema: dict[str, tuple[str, pa.DataType]]) -> DataFrame:
+def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int, start, schema: dict[str, str]) -> DataFrame:
     own = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     context = docs.sparkSession.sparkContext
     shared, cache = context.broadcast(ranks), context.broadcast(build_cache(own, ranks, pattern))
     blocks = own.mapInArrow(_blocks(pattern, shared, cache, chars), _BLOCK)
     one = F.array(F.lit(0))  # stands for words that step 1 has merged
-    coded = _let(rank_map(ranks), lambda table: F.transform("words", lambda w: F.when(w == "", one).otherwise(fold(w, table))))
-    made = _texts(each_text, cache, list(schema), [t for _, t in schema.values()])
-    return blocks.withColumn("coded", coded).drop("words").mapInArrow(made, ", ".join(["doc_id long", *(f"{k} {t}" for k, (t, _) in schema.items())]))
+
+    def coded(table: Column) -> Column:
+        return F.transform("words", lambda w: F.when(F.octet_length(w) == 0, one).otherwise(_let(F.decode(w, "ISO-8859-1"), lambda c: fold(c, table))))
+
+    return blocks.withColumn("coded", _let(rank_map(ranks), coded)).drop("words").mapInArrow(_texts(start, cache, list(schema)), ", ".join(["doc_id long", *(f"{k} {t}" for k, t in schema.items())]))
 
 
 def _gather(flat: np.ndarray, at: np.ndarray, n: np.ndarray, index: np.ndarray) -> np.ndarray:
@@ -283,10 +284,30 @@ def _gather(flat: np.ndarray, at: np.ndarray, n: np.ndarray, index: np.ndarray)
     return flat[np.repeat(at[index] - (ends - size), size) + np.arange(ends[-1])]
 
 
+def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _hashed(pieces: pa.Array, ids: np.ndarray, ends: np.ndarray, less: int) -> list[str]:
+    """The digest of each text's pieces, concatenated, without the last `less` bytes."""
+    got = pieces.take(pa.array(ids))
+    _, offsets, data = got.buffers()
+    at = np.frombuffer(offsets, np.int32)[ends].tolist() if len(ids) else [0] * len(ends)
+    view = memoryview(data) if data is not None else memoryview(b"")
+    return [hashlib.sha256(view[a : max(a, b - less)]).hexdigest() for a, b in zip(at, at[1:], strict=False)]
+
+
+def _meanings(ranks: dict[bytes, int]) -> pa.Array:
+    """The piece of every id."""
+    out = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return pa.array(out, pa.binary())
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, ids of every text."""
-    make = lambda flat, at, n: lambda index: (_gather(flat, at, n, index),)
-    return _encoded(docs, ranks, pattern, chars, make, {"ids": ("array<int>", pa.list_(pa.int32()))})
+    return _encoded(docs, ranks, pattern, chars, lambda: lambda ids, ends: (_lists(ids, ends),), {"ids": "array<int>"})
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
@@ -300,40 +321,22 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text: encoded as by encode(), the ids then written out and decoded."""
-    pieces = docs.sparkSession.sparkContext.broadcast({i: t for t, i in ranks.items()})
-
-    def make(flat: np.ndarray, at: np.ndarray, n: np.ndarray):
-        back, ids = pieces.value, flat.tolist()
-        own = [ids[a : a + k] for a, k in zip(at.tolist(), n.tolist(), strict=True)]
-        digits = {i: str(i) for i in set(ids)}
-        said = [" ".join([digits[i] for i in w]) for w in own]
-        meant = [b"".join([back[i] for i in w]) for w in own]
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
-        def text(index: np.ndarray) -> tuple[int, str, str]:
-            words = index.tolist()
-            a = hashlib.sha256(" ".join([said[w] for w in words]).encode()).hexdigest()
-            b = hashlib.sha256(b"".join([meant[w] for w in words])).hexdigest()
-            return int(n[index].sum()), a, b
+    def start():
+        meant = _meanings(shared.value)
+        said = pa.array([f"{i} ".encode() for i in range(len(meant))], pa.binary())
+        return lambda ids, ends: (pa.array(np.diff(ends), pa.int64()), pa.array(_hashed(said, ids, ends, 1)), pa.array(_hashed(meant, ids, ends, 0)))
 
-        return text
-
-    schema = {"n_tokens": ("long", pa.int64()), "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
-    return _encoded(docs, ranks, pattern, chars, make, schema)
+    return _encoded(docs, ranks, pattern, chars, start, {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"})
 
 
 def tokenise(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, n_tokens, ids, decoded_sha256 of every text."""
-    pieces = docs.sparkSession.sparkContext.broadcast({i: t for t, i in ranks.items()})
-
-    def make(flat: np.ndarray, at: np.ndarray, n: np.ndarray):
-        back, ids = pieces.value, flat.tolist()
-        meant = [b"".join([back[i] for i in ids[a : a + k]]) for a, k in zip(at.tolist(), n.tolist(), strict=True)]
-
-        def text(index: np.ndarray) -> tuple[int, np.ndarray, str]:
-            own = _gather(flat, at, n, index)
-            return len(own), own, hashlib.sha256(b"".join([meant[w] for w in index.tolist()])).hexdigest()
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
-        return text
+    def start():
+        meant = _meanings(shared.value)
+        return lambda ids, ends: (pa.array(np.diff(ends), pa.int64()), _lists(ids, ends), pa.array(_hashed(meant, ids, ends, 0)))
 
-    schema = {"n_tokens": ("long", pa.int64()), "ids": ("array<int>", pa.list_(pa.int32())), "decoded_sha256": ("string", pa.string())}
-    return _encoded(docs, ranks, pattern, chars, make, schema)
+    return _encoded(docs, ranks, pattern, chars, start, {"n_tokens": "long", "ids": "array<int>", "decoded_sha256": "string"})
