@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from korvane.session import cut, pick
 
 #: Characters of a block, about; longest word for the fold; small maps of the rank map.
-BLOCK_CHARS, FOLD, BUCKETS = 16_000_000, 64, 1 << 14
+BLOCK_CHARS, FOLD, BUCKETS = 12_000_000, 64, 1 << 14
 #: Texts whose words are folded beforehand, about; words kept of them, at most (some 40 bytes each).
 CACHE_TEXTS, CACHE_WORDS = 40_000, 1_000_000
 
@@ -123,30 +123,21 @@ def fold(word: Column, table: Column) -> Column:
     return _let(rank(word), lambda r: F.when(r.isNotNull() | (n < 2), F.array(r)).otherwise(_let(merged, pieces)))
 
 
-class Cache:
-    """Ids of words by the words' 128-bit hashes, in sorted arrays."""
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
 
-    def __init__(self, words: list[bytes], flat: np.ndarray, n: np.ndarray):
-        h = self.hashes(words)
-        order = np.argsort(h[:, 0], kind="stable")
-        self.h, self.flat, self.n = h[order], flat, n[order]
-        self.at = (np.cumsum(n) - n)[order]
 
-    @staticmethod
-    def hashes(words: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64).reshape(-1, 2)
+def _places(words: list[bytes], known: np.ndarray) -> np.ndarray:
+    """The place of each word among the sorted hashes of known words, or -1."""
+    h = _hashes(words)
+    if not len(known) or not len(h):
+        return np.full(len(words), -1, np.int32)
+    i = np.minimum(np.searchsorted(known[:, 0], h[:, 0]), len(known) - 1)
+    return np.where((known[i] == h).all(1), i, -1).astype(np.int32)
 
-    def find(self, words: list[bytes]) -> np.ndarray:
-        """The place of each word, or -1."""
-        h = self.hashes(words)
-        if not len(self.h) or not len(h):
-            return np.full(len(words), -1, np.int32)
-        i = np.minimum(np.searchsorted(self.h[:, 0], h[:, 0]), len(self.h) - 1)
-        return np.where((self.h[i] == h).all(1), i, -1).astype(np.int32)
 
-
-def build_cache(docs: DataFrame, ranks: dict[bytes, int], pattern: str, texts: int = CACHE_TEXTS, most: int = CACHE_WORDS) -> Cache:
-    """Folds the words of about `texts` of the rows (doc_id, text); of too many words the rarer ones are left to the blocks."""
+def build_cache(docs: DataFrame, ranks: dict[bytes, int], pattern: str, texts: int = CACHE_TEXTS, most: int = CACHE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted 128-bit hashes, ids one word after the other, ids of each) of the words of about `texts` of the rows (doc_id, text); of too many words the rarer ones are left to the blocks."""
     total = docs.count()
     some = docs if total <= texts else docs.where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000)) < int(1e6 * texts / total) + 1)
 
@@ -172,10 +163,13 @@ def build_cache(docs: DataFrame, ranks: dict[bytes, int], pattern: str, texts: i
     flat_words = got.column("words").combine_chunks().flatten().to_pylist() if got.num_rows else []
     ids = pa.chunked_array([c.flatten() for c in got.column("ids").chunks], pa.list_(pa.int32())).combine_chunks() if got.num_rows else pa.array([], pa.list_(pa.int32()))
     n = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int32)
-    return Cache([w.encode("latin-1") for w in flat_words], ids.flatten().to_numpy(), n)
+    h = _hashes([w.encode("latin-1") for w in flat_words])
+    order = np.argsort(h[:, 0], kind="stable")
+    at = np.cumsum(n) - n
+    return h[order], _gather(ids.flatten().to_numpy(), at, n, order), n[order]
 
 
-def _blocks(pattern: str, ranks, cache, chars: int):
+def _blocks(pattern: str, ranks, hashes, chars: int):
     """doc_id, text batches to rows of blocks: doc_ids, sizes, index, known, words, long_at, long_ids.
 
     known: for each distinct word its place in the cache, or -1; words: those without one.
@@ -190,10 +184,10 @@ def _blocks(pattern: str, ranks, cache, chars: int):
         size = 0
 
         def row() -> pa.RecordBatch:
-            coded = pa.chunked_array([*chunks, pa.array(found, pa.string())], pa.string()).dictionary_encode().unify_dictionaries()
+            coded = pa.chunked_array([*chunks, pa.array(found, pa.string()).dictionary_encode()]).unify_dictionaries()
             index = pa.concat_arrays([c.indices for c in coded.chunks])
             every = coded.chunk(0).dictionary.cast(pa.binary())
-            known = cache.value.find(every.to_pylist())
+            known = _places(every.to_pylist(), hashes.value)
             new = every.take(pa.array(np.flatnonzero(known < 0)))
             far = np.flatnonzero(pc.binary_length(new).to_numpy(zero_copy_only=False) > FOLD)
             merged = [merge(new[i].as_py(), ranks.value) for i in far.tolist()]
@@ -213,11 +207,14 @@ def _blocks(pattern: str, ranks, cache, chars: int):
                 sizes.append(len(got))
                 size += len(t) + 16
                 if len(found) >= 200_000:
-                    chunks.append(pa.array(found, pa.string()))
+                    chunks.append(pa.array(found, pa.string()).dictionary_encode())
                     found = []
                 if size >= chars:
-                    yield row()
+                    out = row()
                     ids, sizes, found, chunks, size = [], [], [], [], 0
+                    yield out
+                    del out
+                    pa.default_memory_pool().release_unused()
         if ids:
             yield row()
 
@@ -228,7 +225,8 @@ def _texts(start, cache, names: list[str]):
     """Rows of blocks to a row per text: doc_id and the columns that start()(ids of some texts, where each text's begin) gives."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, finish = cache.value, start()
+        (kept, kept_n), finish = cache.value, start()
+        kept_at = np.cumsum(kept_n) - kept_n
         for batch in batches:
             for b in range(batch.num_rows):
                 own = lambda name, b=b, batch=batch: batch.column(name)[b].values
@@ -245,9 +243,9 @@ def _texts(start, cache, names: list[str]):
                 old = known >= 0
                 at, n = np.empty(len(known), np.int64), np.empty(len(known), np.int64)
                 at[~old], n[~old] = new_at, new_n
-                n[old] = kept.n[known[old]]
+                n[old] = kept_n[known[old]]
                 at[old] = len(flat) + np.cumsum(n[old]) - n[old]
-                flat = np.concatenate([flat, _gather(kept.flat, kept.at, kept.n, known[old])])
+                flat = np.concatenate([flat, _gather(kept, kept_at, kept_n, known[old])])
                 index, doc_ids = own("index").to_numpy(), own("doc_ids")
                 ends = np.append(0, np.cumsum(own("sizes").to_numpy()))
                 for lo in range(0, len(doc_ids), 500):
@@ -265,8 +263,9 @@ _BLOCK = "doc_ids array<long>, sizes array<int>, index array<int>, known array<i
 def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chars: int, start, schema: dict[str, str]) -> DataFrame:
     own = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     context = docs.sparkSession.sparkContext
-    shared, cache = context.broadcast(ranks), context.broadcast(build_cache(own, ranks, pattern))
-    blocks = own.mapInArrow(_blocks(pattern, shared, cache, chars), _BLOCK)
+    hashes, ids, n = build_cache(own, ranks, pattern)
+    cache = context.broadcast((ids, n))
+    blocks = own.mapInArrow(_blocks(pattern, context.broadcast(ranks), context.broadcast(hashes), chars), _BLOCK)
     one = F.array(F.lit(0))  # stands for words that step 1 has merged
 
     def coded(table: Column) -> Column:
