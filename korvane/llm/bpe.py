@@ -39,6 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from korvane.llm.common import trim, trimming
 from korvane.session import cut, pick
 
 #: Characters of a block, about; longest word for the fold; small maps of the rank map.
@@ -214,11 +215,11 @@ def _blocks(pattern: str, ranks, hashes, chars: int):
                     ids, sizes, found, chunks, size = [], [], [], [], 0
                     yield out
                     del out
-                    pa.default_memory_pool().release_unused()
+                    trim()
         if ids:
             yield row()
 
-    return each
+    return trimming(each)
 
 
 def _texts(start, cache, names: list[str]):
@@ -254,7 +255,7 @@ def _texts(start, cache, names: list[str]):
                     tokens = np.append(0, np.cumsum(n[words]))
                     yield pa.record_batch([doc_ids.slice(lo, hi - lo), *finish(_gather(flat, at, n, words), tokens[ends[lo : hi + 1] - ends[lo]])], names=["doc_id", *names])
 
-    return each
+    return trimming(each)
 
 
 _BLOCK = "doc_ids array<long>, sizes array<int>, index array<int>, known array<int>, words array<binary>, long_at array<int>, long_ids array<array<int>>"

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from functools import cache
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +40,27 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+@cache
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda _: 0
+
+
+def trim() -> None:
+    """Gives memory that is no longer used back to the system: Python workers stay alive after their task."""
+    pa.default_memory_pool().release_unused()
+    _libc()(0)
+
+
+def trimming(f):
+    """f, a function from batches to batches, with trim() when it ends."""
+
+    def each(batches):
+        yield from f(batches)
+        trim()
+
+    return each

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from korvane.llm.common import doc_id_of, keyed, mix64
+from korvane.llm.common import doc_id_of, keyed, mix64, trimming
 from korvane.llm.components import components
 from korvane.llm.shingles import set_digest, shingle_set
 from korvane.session import cut, pick
@@ -93,7 +93,7 @@ def frequent_tokens(docs: DataFrame, width: int, most: int) -> tuple[np.ndarray,
         if sets:
             yield out()
 
-    sums = cut(docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "frequent")
+    sums = cut(docs.select("text").mapInArrow(trimming(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "frequent")
     steps = {r.step: r["count"] for r in sums.groupBy(F.floor(F.log2("n") * 4).cast("int").alias("step")).count().collect()}  # some dozens
     least, room = 0, most
     for step in sorted(steps, reverse=True):
@@ -125,7 +125,7 @@ def describe(docs: DataFrame, width: int, percent: int, hot: tuple[np.ndarray, n
                 prefix.append(s[: prefix_size(len(s), percent)] if len(s) else s)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(digest, pa.binary()), _lists(prefix)], names=["k_id", "k_hash", "n", "digest", "prefix"])
 
-    rows = docs.select("k_id", "k_hash", "text").mapInArrow(each, "k_id long, k_hash long, n int, digest binary, prefix array<long>")
+    rows = docs.select("k_id", "k_hash", "text").mapInArrow(trimming(each), "k_id long, k_hash long, n int, digest binary, prefix array<long>")
     return rows.withColumn("rid", F.monotonically_increasing_id())
 
 
@@ -169,7 +169,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     x, y = sets.toDF("x_c", "x_set"), sets.toDF("y_c", "y_set")
     both = pairs.join(x, F.col("a") == F.col("x_c")).join(y, F.col("b") == F.col("y_c"))
-    return both.select("a", "b", "x_set", "y_set").mapInArrow(each, "a long, b long")
+    return both.select("a", "b", "x_set", "y_set").mapInArrow(trimming(each), "a long, b long")
 
 
 def class_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
@@ -192,7 +192,7 @@ def class_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
                     sets.append(s)
             yield pa.record_batch([pa.array(digest, pa.binary()), _lists(sets)], names=["digest", "set"])
 
-    found = docs.select("text").mapInArrow(each, "digest binary, set array<long>")
+    found = docs.select("text").mapInArrow(trimming(each), "digest binary, set array<long>")
     one = found.withColumn("nth", F.row_number().over(Window.partitionBy("digest").orderBy("digest"))).where("nth = 1")
     return cut(one.join(classes.withColumnRenamed("digest", "c_digest"), F.col("digest") == F.col("c_digest")).select("c", "set"), "sets")
 
@@ -213,7 +213,7 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD
     copies = cut(slim.join(leads, F.col("r_digest") == F.col("digest")).where("rid <> c").select("rid"), "copies")
     classes = rows.where("n > 0").select("rid", "n", "prefix").join(F.broadcast(copies) if _few(copies) else copies, "rid", "left_anti")
     postings = classes.select(F.explode("prefix").alias("token"), F.col("rid").alias("c"), "n").repartition("token").sortWithinPartitions("token")
-    runs = cut(postings.mapInArrow(_shared_runs, "token long, c long, n int"), "runs")
+    runs = cut(postings.mapInArrow(trimming(_shared_runs), "token long, c long, n int"), "runs")
 
     length = runs.groupBy("token").agg(F.count("*").alias("k"))
     long_tokens = cut(length.where(F.col("k") > SHORT), "long")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from korvane.llm.common import keyed, mix64
+from korvane.llm.common import keyed, mix64, trimming
 from korvane.session import cut, pick
 
 #: Lines in a window; least words in a window.
@@ -84,7 +84,7 @@ def _occurrences(docs: DataFrame, wanted=None) -> DataFrame:
                 ids = [np.repeat(batch.column(i).to_numpy(), n) for i in (0, 1)]
                 yield pa.record_batch([np.concatenate(h).view(np.int64), np.concatenate(h2), *ids, np.concatenate(pos)], names=["h", "h2", "k_id", "k_hash", "pos"])
 
-    return docs.select("k_id", "k_hash", "text").mapInArrow(each, "h long, h2 int, k_id long, k_hash long, pos int")
+    return docs.select("k_id", "k_hash", "text").mapInArrow(trimming(each), "h long, h2 int, k_id long, k_hash long, pos int")
 
 
 def covered(docs: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
     flat = joined.select(*[F.col(c).alias(f"o_{i}") for i, c in enumerate(others)], F.col("text").alias("l_text"), "c_starts")
     schema = ", ".join([*(f"o_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(others)), "text string", "n_lines int", "n_removed int"])
-    got = flat.mapInArrow(rebuild, schema)
+    got = flat.mapInArrow(trimming(rebuild), schema)
     names = {c: F.col(f"o_{i}") for i, c in enumerate(others)} | {"text": F.col("text")}
     return got.select(*[names[c].alias(c) for c in docs.columns], "n_lines", "n_removed")
 

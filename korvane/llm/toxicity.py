@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from korvane.llm.common import trim, trimming
 from korvane.llm.langid import held_out
 from korvane.llm.shingles import shingle_set
 from korvane.session import pick
@@ -46,7 +47,7 @@ AROUND = 8
 #: Edits that a term of this length or more allows.
 EDITS = ((9, 2), (5, 1))
 #: States and words that a worker remembers.
-CACHE = 400_000
+CACHE = 100_000
 _TOKEN = re.compile(r"[^\W_]+(?:[@$*!'’][^\W_]+)*")
 #: Signs written for letters; quotation marks; words of reporting; words of address.
 SIGNS = str.maketrans("013457@$!", "oieastasi")
@@ -243,7 +244,7 @@ def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> tuple[dict[str, float]
             yield pa.record_batch([pa.array(sign, pa.int64()), pa.array(words, pa.list_(pa.string())), batch.column(1)], names=["sign", "words", "toxic"])
 
     # The least shingle is alike in near copies: one row for each.
-    one = rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(tokens, "sign long, words array<string>, toxic int").where("sign is not null")
+    one = rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(trimming(tokens), "sign long, words array<string>, toxic int").where("sign is not null")
     one = one.groupBy("sign", "toxic").agg(F.max("words").alias("words"))
     words = one.select(F.explode("words").alias("word"), "toxic").where("length(word) between 3 and 40").groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     words = words.where("t > 0 or c > 0").persist()
@@ -266,7 +267,7 @@ def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> tuple[dict[str, float]
             hit = [(h := shared.value.word(w.as_py())) is not None and h[1] > 0 for w in batch.column(0)]
             yield batch.filter(pa.array(hit, pa.bool_()))
 
-    clean = words.where((F.col("c") > 0) & (F.col("t") <= F.col("c"))).select("word", "c").mapInArrow(near, "word string, c long")
+    clean = words.where((F.col("c") > 0) & (F.col("t") <= F.col("c"))).select("word", "c").mapInArrow(trimming(near), "word string, c long")
     spared = frozenset(r.word for r in clean.orderBy(F.desc("c"), "word").limit(10 * terms).collect())
     words.unpersist()
     return weights, spared
@@ -286,7 +287,7 @@ def train(labelled: DataFrame, most: int = TRAIN_ROWS, seed: int = 5) -> Model:
             f = np.array([shared.value.features(shared.value.hits(t.as_py() or "")) for t in batch.column(0)]).reshape(-1, 5)
             yield pa.record_batch([pa.array(f[:, i]) for i in range(1, 5)] + [batch.column(1)], names=["f1", "f2", "f3", "f4", "y"])
 
-    got = rows.select("text", F.col("toxic").cast("double").alias("y")).mapInArrow(features, "f1 double, f2 double, f3 double, f4 double, y double").toArrow()  # `most` rows of numbers
+    got = rows.select("text", F.col("toxic").cast("double").alias("y")).mapInArrow(trimming(features), "f1 double, f2 double, f3 double, f4 double, y double").toArrow()  # `most` rows of numbers
     x = np.column_stack([np.ones(got.num_rows), *(got.column(i).to_numpy() for i in range(4))])
     return Model(weights, fit(x, got.column("y").to_numpy()), spared)
 
@@ -299,6 +300,7 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     def each(texts: pd.Series) -> pd.DataFrame:
         m = shared.value
         all_ = [m.hits(t) if t else [] for t in texts]
+        trim()
         return pd.DataFrame({"score": [m.score(h) for h in all_], "hits": [[dict(zip(("start", "stop", "term", "edits", "quotation"), x, strict=True)) for x in h] for h in all_]})
 
     return docs.withColumn("t_got", each(F.col("text"))).select(*docs.columns, "t_got.*")
