@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from korvane.llm.common import keyed, mix64, trimming
+from korvane.llm.passages import passage_dedup
 from korvane.session import cut, pick
 
 #: Lines in a window; least words in a window.
@@ -134,9 +135,11 @@ def line_dedup_report(docs: DataFrame) -> DataFrame:
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
-    """docs without repeated windows; documents of which nothing but white space is left go, n_chars is counted anew."""
-    got = line_dedup(docs).where((F.col("n_removed") == 0) | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
-    out = {"n_chars": F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast("long")} if "n_chars" in docs.columns else {}
+    """docs without repeated windows, then without repeated passages (see passages); documents of which nothing but white space is left go, n_chars is counted anew."""
+    got = passage_dedup(cut(line_dedup(docs), "lines"))
+    same = (F.col("n_removed") == 0) & (F.col("n_cut") == 0)
+    got = got.where(same | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    out = {"n_chars": F.when(same, F.col("n_chars")).otherwise(F.length("text")).cast("long")} if "n_chars" in docs.columns else {}
     return got.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("korvane.llm")
 
-from korvane.llm import ann, bpe, chat, dedup, jaccard, langid, lines, mixing, pii, shingles, toxicity  # noqa: E402
+from korvane.llm import ann, bpe, chat, dedup, jaccard, langid, lines, mixing, passages, pii, shingles, toxicity  # noqa: E402
 from korvane.llm import components as cc  # noqa: E402
 from korvane.llm import queries as q  # noqa: E402
 from korvane.session import table  # noqa: E402
@@ -370,6 +370,39 @@ def test_repeated_passage_on_one_line_goes(spark):
     assert passage in got[0] and not any(passage in got[i] for i in range(1, 5)) and all(len(got[i].split()) >= 58 for i in range(1, 5))
 
 
+def _passages_brute(docs):
+    """(doc_id, words left) by the rule: every window of LEAST words, one document after the other."""
+    seen, out = set(), []
+    for d, t in docs:
+        w = WORD.findall(t)
+        gone = set()
+        for p in range(len(w) - passages.LEAST + 1):
+            win = tuple(w[p : p + passages.LEAST])
+            gone |= set(range(p, p + passages.LEAST)) if win in seen else set()
+            seen.add(win)
+        out.append((d, " ".join(x for i, x in enumerate(w) if i not in gone)))
+    return Counter(out)
+
+
+def test_passages_of_one_and_two_sentences_inside_other_text_go(spark, odd, none):
+    rng = random.Random(5)
+    one, two = prose(rng, 60, 10**6), f"{prose(rng, 30, 10**6)}. {prose(rng, 28, 10**6)}"
+    docs = []
+    for i in range(6):
+        docs.append((len(docs), f"{prose(rng, 20, 10**6)} {one} {prose(rng, 20, 10**6)}."))  # cut at both ends
+        docs.append((len(docs), f"{prose(rng, 20, 10**6)}. {two}.  {prose(rng, 25, 10**6)}\n"))
+        docs.append((len(docs), f"{two}."))  # a short text copied inside longer ones
+        docs.append((len(docs), f"{prose(rng, 30, 10**6)} {' '.join(one.split()[: 48 + i])} {prose(rng, 30, 10**6)}"))
+    docs += [(100, "on and on " * 200), (101, "on and on " * 300)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = passages.passage_dedup(frame).collect()
+    assert Counter((r.doc_id, " ".join(WORD.findall(r.text))) for r in got) == _passages_brute(docs)
+    assert all(r.n_cut == len(docs_w) - len(WORD.findall(r.text)) for r in got for docs_w in [WORD.findall(dict(docs)[r.doc_id])])
+    left = {r.doc_id: r.text for r in lines.drop_repeated_lines(frame).collect()}
+    assert one in left[0] and two in left[1] and not any(one in t for d, t in left.items() if d) and not any(two in t for d, t in left.items() if d != 1)
+    assert passages.passage_dedup(odd).columns == [*odd.columns, "n_cut"] and passages.passage_dedup(none).count() == 0
+
+
 # ---- 7 chat
 
 
