@@ -48,8 +48,8 @@ def split_lines(text: str) -> list[str]:
     return re.findall(_LINE, text)
 
 
-def windows(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, further 32 bits, position) of a text's windows that have enough words."""
+def windows(lines: list[str], least: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, further 32 bits, position) of a text's windows that have at least so many words."""
     own = [x.strip(_ENDS).encode("utf-8", "surrogatepass") for x in lines]
     words = np.array([len(x.split()) for x in own], np.int64)
     both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in own), np.uint64).reshape(-1, 2)
@@ -61,11 +61,11 @@ def windows(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for j in range(width):
         total += words[j : j + n]
         sums += both[j : j + n] * _Q[j]
-    at = np.flatnonzero(total >= MIN_WORDS)
+    at = np.flatnonzero(total >= least)
     return mix64(sums[at, 0]), (mix64(sums[at, 1]) >> np.uint64(32)).astype(np.uint32).view(np.int32), at.astype(np.int32)
 
 
-def _occurrences(docs: DataFrame, wanted=None) -> DataFrame:
+def _occurrences(docs: DataFrame, least: int, wanted=None) -> DataFrame:
     """h, h2, k_id, k_hash, pos of all windows, or of those whose hash is in the bitmap."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +73,7 @@ def _occurrences(docs: DataFrame, wanted=None) -> DataFrame:
         for batch in batches:
             h, h2, pos, n = [], [], [], []
             for text in batch.column(2):
-                a, b, p = windows(split_lines(text.as_py() or ""))
+                a, b, p = windows(split_lines(text.as_py() or ""), least)
                 if have is not None and len(a):
                     some = have[a % np.uint64(BITMAP)]
                     a, b, p = a[some], b[some], p[some]
@@ -88,25 +88,25 @@ def _occurrences(docs: DataFrame, wanted=None) -> DataFrame:
     return docs.select("k_id", "k_hash", "text").mapInArrow(trimming(each), "h long, h2 int, k_id long, k_hash long, pos int")
 
 
-def covered(docs: DataFrame) -> DataFrame:
+def covered(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """k_id, k_hash, lines: the positions of the lines to remove, ascending, of documents that have any."""
     own = keyed(pick(docs, "doc_id", "text"))
     # Rows that are one document must not count as each other's copies: occurrences are told apart by (k_id, k_hash, pos).
     place = F.struct("k_id", "k_hash", "pos")
-    seen = _occurrences(own).groupBy("h", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    seen = _occurrences(own, least).groupBy("h", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = cut(seen.where("first < last").select(F.col("h").alias("r_h"), F.col("h2").alias("r_h2"), "first"), "repeated")
     buckets = repeated.select(F.pmod("r_h", F.lit(BITMAP)).cast("int").alias("at")).distinct().toArrow().column("at").to_numpy()  # BITMAP at most
     bits = np.zeros(BITMAP, bool)
     bits[buckets] = True
-    again = _occurrences(own, docs.sparkSession.sparkContext.broadcast(np.packbits(bits)))
+    again = _occurrences(own, least, docs.sparkSession.sparkContext.broadcast(np.packbits(bits)))
     later = again.join(repeated, (F.col("h") == F.col("r_h")) & (F.col("h2") == F.col("r_h2"))).where(F.struct("k_id", "k_hash", "pos") > F.col("first"))
     starts = later.select("k_id", "k_hash", "pos").distinct()
     return starts.groupBy("k_id", "k_hash").agg(F.array_sort(F.collect_list("pos")).alias("starts"))
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
-    """docs with text rebuilt, and the columns n_lines and n_removed after its own."""
-    hit = covered(docs).toDF("c_id", "c_hash", "c_starts")
+def line_dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """docs with text rebuilt, and the columns n_lines and n_removed after its own; windows of fewer words than least do not count."""
+    hit = covered(docs, least).toDF("c_id", "c_hash", "c_starts")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,8 +135,8 @@ def line_dedup_report(docs: DataFrame) -> DataFrame:
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
-    """docs without repeated windows, then without repeated passages (see passages); documents of which nothing but white space is left go, n_chars is counted anew."""
-    got = passage_dedup(cut(line_dedup(docs), "lines"))
+    """docs without repeated windows that have any word, then without repeated passages (see passages); documents of which nothing but white space is left go, n_chars is counted anew."""
+    got = passage_dedup(cut(line_dedup(docs, 1), "lines"))
     same = (F.col("n_removed") == 0) & (F.col("n_cut") == 0)
     got = got.where(same | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
     out = {"n_chars": F.when(same, F.col("n_chars")).otherwise(F.length("text")).cast("long")} if "n_chars" in docs.columns else {}

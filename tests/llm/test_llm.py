@@ -403,6 +403,15 @@ def test_passages_of_one_and_two_sentences_inside_other_text_go(spark, odd, none
     assert passages.passage_dedup(odd).columns == [*odd.columns, "n_cut"] and passages.passage_dedup(none).count() == 0
 
 
+def test_pipeline_drops_repeated_short_lines(spark):
+    rng = random.Random(6)
+    menu = "Home\nAbout us\nPlans\n"
+    docs = [(i, f"{menu}{prose(rng, 30, 10**6)}.\n") for i in range(4)] + [(9, f"{prose(rng, 9, 10**6)}.\n" + "of. " * 300 + prose(rng, 9, 10**6))]
+    got = {r.doc_id: r.text for r in lines.drop_repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert menu in got[0] and not any("About us" in got[i] for i in (1, 2, 3)) and got[9].count("of. ") == 1
+    assert all(t.split()[-5:] == dict(docs)[d].split()[-5:] for d, t in got.items())
+
+
 # ---- 7 chat
 
 
