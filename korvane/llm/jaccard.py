@@ -22,6 +22,10 @@ Jaccard similarity is at least THRESHOLD per cent. Steps:
 5. A candidate must also share enough prefix tokens under orders 2 and 3 (other hashes)
    before its intersection is counted on the whole sets.
 6. Verified links and classes give components; a document's is the least doc_id.
+7. The report counts every class's links, also those within components that 4 leaves out:
+   a component's classes are dealt to blocks, and each pair of blocks counts its common
+   tokens as products of 0/1 matrices and hands on a number for each class, no links.
+   This is work with the square of a component's classes; the pipeline does not need it.
 
 Defined cases: null, empty or wordless texts have the empty set and link with nothing;
 null doc_ids take part and are never the least unless alone (then null); rows that
@@ -50,6 +54,10 @@ HOT_MAX, BLOCK_DOCS, BLOCK_TOKENS = 1 << 20, 4000, 1 << 22
 SHORT = 32
 #: Buckets of the bitmap that says whose sets are needed.
 BITMAP = 1 << 22
+#: Classes, and tokens of their sets, in a block of a component (about).
+SIDE, SIDE_TOKENS = 256, 1 << 20
+#: Tokens in a piece of a block's 0/1 matrix.
+COLUMNS = 4096
 #: Salts of the further token orders.
 ORDERS = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
@@ -197,12 +205,69 @@ def class_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     return cut(one.join(classes.withColumnRenamed("digest", "c_digest"), F.col("digest") == F.col("c_digest")).select("c", "set"), "sets")
 
 
+def _degrees(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """How many of the sets right each of left is similar to, and the other way round; a set is not met with itself."""
+    size = np.array([len(x) for x in sets], np.int64)
+    row = np.repeat(np.arange(len(sets)), size)
+    _, col, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = n > 1
+    keep = shared[col]
+    row, col = row[keep], (np.cumsum(shared) - 1)[col[keep]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    common = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(col, (at, at + COLUMNS))
+        m = np.zeros((len(sets), min(COLUMNS, int(shared.sum()) - at)), np.float32)
+        m[row[a:b], col[a:b] - at] = 1
+        common += np.rint(m[left] @ m[right].T).astype(np.int64)
+    hit = (common * (100 + percent) >= percent * (size[left][:, None] + size[right][None, :])) & (left[:, None] != right[None, :])
+    out = np.zeros(len(sets), np.int64)
+    out[left] += hit.sum(1)
+    if not np.array_equal(left, right):
+        out[right] += hit.sum(0)
+    return out
+
+
+def link_counts(leads: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """d_c, n_links: how many other classes each class (c, comp) of components of several is similar to."""
+    own = sets.join(leads.select(F.col("c").alias("l_c"), "comp"), F.col("c") == F.col("l_c")).select("comp", "c", "set")
+    blocks = F.ceil(F.greatest(F.col("m") / SIDE, F.col("t") / SIDE_TOKENS)).cast("int")
+    sums = cut(own.groupBy(F.col("comp").alias("s_comp")).agg(F.count("*").alias("m"), F.sum(F.size("set")).alias("t")).where("m > 1").withColumn("blocks", blocks), "blocks")
+    two = leads.join(sums.where("m = 2"), F.col("comp") == F.col("s_comp")).select(F.col("c").alias("d_c"), F.lit(1).cast("long").alias("n_links"))
+    b, o = F.pmod(F.xxhash64("c", F.lit(11)), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = own.join(sums.where("m > 2"), F.col("comp") == F.col("s_comp")).withColumn("b", b).withColumn("o", o)
+    dealt = dealt.select("comp", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "c", "set")
+
+    def each(group: pa.Table) -> pa.Table:
+        side = group.column("b").to_numpy()
+        lists = [x for chunk in group.column("set").chunks for x in np.split(chunk.flatten().to_numpy(), np.cumsum(chunk.value_lengths().to_numpy())[:-1])]
+        left = np.flatnonzero(side == side.min())
+        right = np.flatnonzero(side == side.max())
+        alone = group.column("i")[0].as_py() != group.column("j")[0].as_py() and side.min() == side.max()  # the other block is empty
+        n = np.zeros(len(side), np.int64) if alone else _degrees(lists, left, right, percent)
+        return pa.table({"c": group.column("c"), "n": pa.array(n)})
+
+    counted = dealt.groupBy("comp", "i", "j").applyInArrow(each, "c long, n long")
+    return counted.groupBy(F.col("c").alias("d_c")).agg(F.sum("n").alias("n_links")).union(two)
+
+
 def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(rows, links).
 
     rows: rid, k_id, k_hash, n, c, comp: a row per document row with its class and component (ids of classes).
     links: a, b, verified pairs of classes that span the components.
     """
+    return _grouped(docs, width, percent)[:2]
+
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows, links, leads, sets).
+
+    rows: rid, k_id, k_hash, n, c, comp: a row per document row with its class and component (ids of classes).
+    links: a, b, verified pairs of classes that span the components.
+    leads: digest, c, comp, a row per class; sets: c, set of at least those that have links.
+    """
     own = keyed(pick(docs, "doc_id", "text"))
     hot = frequent_tokens(own, width, HOT_MAX)
     rows = cut(describe(own, width, percent, hot), "described")
@@ -277,7 +342,7 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = THRESHOLD
     mine = rows.select("rid", "k_id", "k_hash", "n", "digest")
     worded = mine.where("n > 0").join(leads.withColumnRenamed("digest", "l_digest"), F.col("digest") == F.col("l_digest"))
     wordless = mine.where("n = 0").select("rid", "k_id", "k_hash", "n", F.col("rid").alias("c"), F.col("rid").alias("comp"))
-    return worded.select("rid", "k_id", "k_hash", "n", "c", "comp").unionByName(wordless), links
+    return worded.select("rid", "k_id", "k_hash", "n", "c", "comp").unionByName(wordless), links, leads, sets
 
 
 def _few(df: DataFrame, most: int = 100_000) -> bool:
@@ -291,10 +356,10 @@ def _least(rows: DataFrame) -> DataFrame:
 
 
 def jaccard_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, and the number of verified links of the row's class."""
-    rows, links = jaccard_groups(docs)
+    """doc_id, n_shingles, component_id, and the number of other classes that link with the row's class."""
+    rows, _, leads, sets = _grouped(docs, WIDTH, THRESHOLD)
     rows = cut(rows, "grouped")
-    ends = links.select(F.col("a").alias("d_c")).union(links.select("b")).groupBy("d_c").agg(F.count("*").alias("n_links"))
+    ends = link_counts(leads, sets, THRESHOLD)
     out = rows.join(cut(_least(rows), "least"), F.col("comp") == F.col("l_comp")).join(ends, F.col("c") == F.col("d_c"), "left")
     return out.select(
         doc_id_of(F.col("k_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), doc_id_of(F.col("least.k_id")).alias("component_id"),

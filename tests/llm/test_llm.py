@@ -262,6 +262,28 @@ def test_jaccard_large_groups_chains_and_shared_passages(spark, monkeypatch, sho
     assert _report(spark.createDataFrame(docs, "doc_id long, text string")) == _brute(docs)
 
 
+@pytest.mark.parametrize("side", [7, 256])
+def test_jaccard_counts_every_link_within_components(spark, monkeypatch, side):
+    monkeypatch.setattr(jaccard, "SIDE", side)
+    monkeypatch.setattr(jaccard, "COLUMNS", 50)
+    rng = random.Random(9)
+    texts = []
+    for size in (120, 80):
+        base = prose(rng, size).split()
+        for _ in range(70):
+            w = list(base)
+            for _ in range(rng.randint(0, 4)):
+                w[rng.randrange(len(w))] = f"new{rng.randint(0, 10**6)}"
+            texts.append(" ".join(w))
+    pair = prose(rng, 200)
+    texts += [pair, pair + " x", pair, prose(rng, 50), "", None]
+    sets = [_shingles(t) for t in texts]
+    classes = set(sets)
+    links = {a: sum(100 * len(a & b) >= 75 * len(a | b) for b in classes if b and b != a) if a else 0 for a in classes}
+    got = jaccard.jaccard_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_class_links) for r in got) == Counter((i, links[x]) for i, x in enumerate(sets)) and max(links.values()) > 30
+
+
 def test_jaccard_odd_rows(odd, none):
     assert _report(odd) == _brute([(r.doc_id, r.text) for r in odd.collect()])
     assert jaccard.jaccard_report(none).count() == 0
