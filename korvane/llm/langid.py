@@ -5,6 +5,8 @@ script, and the relative frequency of character 1- to 3-grams of its words. The
 of a word's letters narrows its candidates to languages that use it; the n-grams score
 those. A path through the document's words maximises the summed scores less SWITCH for
 each change of language (Viterbi), which labels spans of mixed text. The document's language is the one with most letters.
+A run of letters is cut where the script changes and after every PIECE letters, and each
+piece is a word to all of this, so that every letter of unspaced scripts counts.
 
 Defined cases: null text and text without letters are `und` with score 0 and no spans;
 words in scripts that no learned language uses are left out, and a text with only such
@@ -18,6 +20,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,7 +34,12 @@ TRAIN_ROWS, GRAMS, CACHE = 3000, 200_000, 800_000
 SWITCH, CLIP = 14.0, 10.0
 #: A language uses a script that has at least this share of its letters.
 SCRIPT_SHARE = 0.02
+#: Most letters in a word; longer runs of letters are several.
+PIECE = 40
 _WORD = re.compile(r"[^\W\d_]+")
+#: All that can be part of a run after U+024F, and some signs; what lies below is latin to script_of.
+_FAR = re.compile(r"[ɐ-῿⁰-↏①-⓿❶-➓Ⰰ-\U0010ffff]")
+_LONG = re.compile(r"[^\W\d_]{%d}" % (PIECE + 1))
 #: First and last code point of the letters of scripts.
 SCRIPTS = (
     ("latin", 0x41, 0x24F), ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x52F), ("armenian", 0x530, 0x58F), ("hebrew", 0x590, 0x5FF), ("arabic", 0x600, 0x77F),
@@ -45,6 +53,30 @@ def script_of(word: str) -> str:
     return next((s for s, a, b in SCRIPTS if a <= c <= b), "other")
 
 
+@lru_cache(1 << 16)
+def pieces(run: str) -> tuple[str, ...]:
+    """The words of a run of letters; joined they are the run. Letters of no listed script stay with those before them."""
+    cuts, now = [0], script_of(run)
+    if not run.isascii():
+        for i, c in enumerate(run):
+            script = script_of(c)
+            if script not in (now, "other"):
+                cuts.append(i)
+                now = script
+    cuts.append(len(run))
+    return tuple(run[i : min(i + PIECE, b)] for a, b in zip(cuts, cuts[1:], strict=False) for i in range(a, b, PIECE))
+
+
+def words_of(text: str) -> tuple[list[str], np.ndarray | None]:
+    """The words of a lower-cased text, and the run of letters that each comes from (None: each is a run)."""
+    runs = _WORD.findall(text)
+    if not _FAR.search(text) and not _LONG.search(text):
+        return runs, None
+    cut = [pieces(x) for x in runs]
+    words = [w for x in cut for w in x]
+    return words, None if len(words) == len(runs) else np.repeat(np.arange(len(runs)), [len(x) for x in cut])
+
+
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text leaves this remainder; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts == part
@@ -99,7 +131,7 @@ class Model:
             return
         ids, ends, get = [], [], self.grams.get
         for w, _ in pairs:
-            ids += [g for g in map(get, _grams(w[:40])) if g is not None]
+            ids += [g for g in map(get, _grams(w)) if g is not None]
             ends.append(len(ids))
         sums = np.vstack([np.zeros((1, len(self.langs))), np.cumsum(self.logs[ids], 0)])
         ends = np.array(ends)
@@ -112,8 +144,8 @@ class Model:
         self.used += len(s)
 
     def spans(self, text: str) -> list[tuple[int, int, str, int]]:
-        """(first word, last word, language, letters) of the spans of a text; words are runs of letters, from 0."""
-        words = _WORD.findall(text.lower())
+        """(first word, last word, language, letters) of the spans of a text; first and last are runs of letters, from 0; spans may share a run."""
+        words, run = words_of(text.lower())
         self.learn(set(words))
         row = np.fromiter(map(self.rows.__getitem__, words), np.int32, len(words))
         at = np.flatnonzero(row)
@@ -121,6 +153,7 @@ class Model:
             return []
         path = viterbi(self.table[row[at]].astype(float), SWITCH)
         size = np.fromiter(map(len, words), np.int64, len(words))[at]
+        at = at if run is None else run[at]
         cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(at)]
         return [(int(at[a]), int(at[b - 1]), self.langs[path[a]], int(size[a:b].sum())) for a, b in zip(cuts, cuts[1:], strict=False)]
 
@@ -170,10 +203,10 @@ def train(rows: DataFrame, most: int = TRAIN_ROWS, seed: int = 11) -> Model:
             words: Counter = Counter()
             for text, lang in zip(batch.column(0), batch.column(1), strict=True):
                 lang = lang.as_py()
-                words.update((lang, w) for w in _WORD.findall(text.as_py().lower()))
+                words.update((lang, w) for w in words_of(text.as_py().lower())[0])
             for (lang, w), c in words.items():
                 got[lang, "#" + script_of(w)] += c * len(w)
-                for g in _grams(w[:40]):
+                for g in _grams(w):
                     got[lang, g] += c
         if got:
             yield pa.record_batch([pa.array([k[0] for k in got]), pa.array([k[1] for k in got]), pa.array(list(got.values()), pa.int64())], names=["lang", "gram", "n"])

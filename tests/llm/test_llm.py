@@ -537,6 +537,25 @@ def test_language_spans_and_odd_rows(spark, odd, none):
     assert langid.language_report(none).count() == 0
 
 
+def test_language_scores_every_letter_of_long_runs():
+    counts = Counter()
+    said = {"en": "the house and the water were there when this thing with that ", "de": "das haus und der mann nicht mit einer frau zwischen ", "ja": "これはわたしのいえです漢字", "zh": "這是我的房子漢字"}
+    for lang, text in said.items():
+        for w in langid.words_of(text)[0]:
+            counts[lang, "#" + langid.script_of(w)] += 9 * len(w)
+            for g in langid._grams(w):
+                counts[lang, g] += 9
+    model = langid.Model(pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["lang", "gram", "n"]))
+    joined = {x: said[x].replace(" ", "") for x in ("en", "de")}
+    runs = ["the" + joined["de"] * 5, joined["en"] * 3 + joined["de"] * 3, "房" + said["ja"] * 9, "漢" * 41]
+    for r in runs:
+        assert "".join(langid.pieces(r)) == r and max(map(len, langid.pieces(r))) <= langid.PIECE
+        assert sum(n for *_, n in model.spans(r)) == len(r)
+    assert model.spans(runs[0])[-1][2] == "de" and [x[2] for x in model.spans(runs[1])] == ["en", "de"] and "ja" in {x[2] for x in model.spans(runs[2])}
+    assert model.spans(f"1 {runs[1]} haus")[-1][:2] == (0, 1)
+    assert langid.pieces("домhouse") == ("дом", "house") and langid.pieces("water") == ("water",)
+
+
 def test_viterbi_equals_plain_search():
     rng = np.random.default_rng(0)
     for _ in range(200):
