@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from korvane.llm import bpe, jaccard, lines, mixing, toxicity
-from korvane.session import cut, table
+from korvane.session import cut, release, scratch, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed corpus: a row for each pass over a document, with the words taken in it."""
+    """The mixed corpus, shard by shard: a row for each piece of a document in a slot."""
     return mixing.mix_documents(docs)
 
 
@@ -47,8 +47,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents through all stages."""
+    """documents through all stages; what a stage has put aside goes when the next has read its result."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        before = docs
+        with scratch() as keep:
+            docs = keep(cut(stage(spark, before, sf_dir), name))
+        release(before)
     return docs

@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,15 +31,23 @@ def local_session(cores: int | str = 8, app: str = "korvane") -> SparkSession:
     )
 
 
+#: Most rows and bytes of a batch that goes to a Python worker; an application that sets either keeps its own.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for each application, so that their Python workers can import it."""
+    """Makes an application ready, once: this package goes to the executors, so that their Python workers can import it.
+
+    Texts can be long, and a batch is held by the JVM and by Python at once, so batches are
+    bounded by BATCH too, unless the application has set a bound itself.
+    """
     done = getattr(ship_code, "done", None)
     if done == (app := spark.sparkContext.applicationId):
         return
     ship_code.done = app
-    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(rows) == "10000":  # unless it was set: batches of whole texts, held by the JVM and by Python, stay small
-        spark.conf.set(rows, "2000")
+    for name, most in BATCH.items():
+        if spark.sparkContext.getConf().get(name, None) is None and spark.conf.get(name) == _defaults(spark, name):
+            spark.conf.set(name, most)
     top = Path(__file__).resolve().parent
     path = f"{tempfile.mkdtemp(prefix='korvane-code-')}/korvane.zip"
     with zipfile.ZipFile(path, "w") as z:
@@ -46,6 +56,11 @@ def ship_code(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(path)
 
 
+def _defaults(spark: SparkSession, name: str) -> str:
+    """The value of a setting in a session that has set nothing."""
+    return spark.newSession().conf.get(name)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
@@ -63,13 +78,69 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application's cuts, within the shared one."""
+    return f"{shared_dir(spark)}/korvane-{spark.sparkContext.applicationId}"
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """df written once to the shared folder and read again: its lineage ends there."""
     spark = df.sparkSession
     ship_code(spark)
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    got = spark.read.schema(df.schema).parquet(path)
+    got.cut_path = path
+    if _scopes:
+        _scopes[-1].append(got)
+    return got
+
+
+_scopes: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Within it, cuts are for the time being: at its end all are deleted but those given to the function it yields.
+
+    What outlives it must not read the others.
+    """
+    own: list[DataFrame] = []
+    _scopes.append(own)
+
+    def keep(df: DataFrame) -> DataFrame:
+        own[:] = [x for x in own if x is not df]
+        if len(_scopes) > 1:
+            _scopes[-2].append(df)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _scopes[:] = [x for x in _scopes if x is not own]
+        release(*own)
+
+
+def few(df: DataFrame, most: int = 100_000) -> bool:
+    """Whether a table has at most so many rows and may be broadcast."""
+    return df.limit(most + 1).count() <= most
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(*cuts: DataFrame) -> None:
+    """Deletes the files of cuts that nothing will read again; frames that are no cuts are left alone."""
+    for df in cuts:
+        if path := getattr(df, "cut_path", None):
+            _delete(df.sparkSession, path)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Deletes all cuts of this application: to be called when its results are written."""
+    _delete(spark, run_dir(spark))
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
