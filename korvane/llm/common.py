@@ -1,4 +1,4 @@
-"""Keys and text pieces shared by the corpus operators."""
+"""Keys, foreign columns and text pieces shared by the corpus operators."""
 
 from __future__ import annotations
 
@@ -9,6 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from korvane.session import ship_code
 
 #: Stands for a null doc_id inside keys.
 NULL_ID = -(2**63)
@@ -16,6 +19,43 @@ NULL_ID = -(2**63)
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+class Hidden:
+    """docs with every foreign column under a private name, so that none can clash with a column an operator makes.
+
+    df: the columns own under their names, all others as o_0, o_1, ... by position. Names
+    are taken exactly: beside `text`, a column `Text` is foreign.
+    """
+
+    def __init__(self, docs: DataFrame, *own: str):
+        ship_code(docs.sparkSession)
+        self.names = list(docs.columns)
+        at = {self.names.index(n): n for n in own}
+        self.private = [at.get(i, f"o_{i}") for i in range(len(self.names))]
+        self.df = docs.toDF(*self.private)
+        self.others = [c for c in self.private if c not in own]
+
+    def shown(self, df: DataFrame, *added: str, changed: dict[str, Column] | None = None) -> DataFrame:
+        """df with the columns of docs in their order and under their names, then the added ones.
+
+        changed: columns to stand in for those of docs, by name. An added name that docs has
+        already, but for case, gets underscores after it; so no column is lost or doubled.
+        """
+        new, taken = changed or {}, {n.lower() for n in self.names}
+        out = [new.get(n, F.col(c)).alias(n) for n, c in zip(self.names, self.private, strict=True)]
+        for n in added:
+            name = n
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+            out.append(F.col(n).alias(name))
+        return df.select(*out)
+
+    def schema(self, *names: str, **added: str) -> StructType:
+        """These private columns of df, then added ones by name and type."""
+        new = StructType.fromDDL(", ".join(f"{n} {kind}" for n, kind in added.items()))
+        return StructType([self.df.schema[c] for c in names] + new.fields)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """docs plus k_id and k_hash, which name a row without a global counter.
 

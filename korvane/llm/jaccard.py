@@ -41,10 +41,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from korvane.llm.common import doc_id_of, keyed, mix64, trimming
+from korvane.llm.common import Hidden, doc_id_of, keyed, mix64, trimming
 from korvane.llm.components import components
 from korvane.llm.shingles import set_digest, shingle_set
-from korvane.session import cut, pick
+from korvane.session import cut, few, pick, scratch
 
 #: Words in a shingle; per cent of similarity.
 WIDTH, THRESHOLD = 5, 75
@@ -276,13 +276,13 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     leads = cut(rows.where("n > 0").groupBy("digest").agg(F.min("rid").alias("c")), "leads")
     slim = rows.where("n > 0").select("rid", F.col("digest").alias("r_digest"))
     copies = cut(slim.join(leads, F.col("r_digest") == F.col("digest")).where("rid <> c").select("rid"), "copies")
-    classes = rows.where("n > 0").select("rid", "n", "prefix").join(F.broadcast(copies) if _few(copies) else copies, "rid", "left_anti")
+    classes = rows.where("n > 0").select("rid", "n", "prefix").join(F.broadcast(copies) if few(copies) else copies, "rid", "left_anti")
     postings = classes.select(F.explode("prefix").alias("token"), F.col("rid").alias("c"), "n").repartition("token").sortWithinPartitions("token")
     runs = cut(postings.mapInArrow(trimming(_shared_runs), "token long, c long, n int"), "runs")
 
     length = runs.groupBy("token").agg(F.count("*").alias("k"))
     long_tokens = cut(length.where(F.col("k") > SHORT), "long")
-    in_short = runs.join(F.broadcast(long_tokens) if _few(long_tokens) else long_tokens, "token", "left_anti")
+    in_short = runs.join(F.broadcast(long_tokens) if few(long_tokens) else long_tokens, "token", "left_anti")
     in_long = runs.join(long_tokens, "token")
     extra = cut(in_long.groupBy("c").agg(F.count("*").alias("more")), "extra")  # long runs that a class is in
     # nth: where a class's tokens of long runs come in one order of them all.
@@ -345,11 +345,6 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     return worded.select("rid", "k_id", "k_hash", "n", "c", "comp").unionByName(wordless), links, leads, sets
 
 
-def _few(df: DataFrame, most: int = 100_000) -> bool:
-    """Whether a table is small enough to broadcast."""
-    return df.limit(most + 1).count() <= most
-
-
 def _least(rows: DataFrame) -> DataFrame:
     """comp with its first row: the least doc_id (null last), then the least rid."""
     return rows.groupBy("comp").agg(F.min(F.struct((F.col("k_id") == F.lit(-(2**63))).alias("none"), "k_id", "rid")).alias("least")).withColumnRenamed("comp", "l_comp")
@@ -357,23 +352,27 @@ def _least(rows: DataFrame) -> DataFrame:
 
 def jaccard_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, and the number of other classes that link with the row's class."""
-    rows, _, leads, sets = _grouped(docs, WIDTH, THRESHOLD)
-    rows = cut(rows, "grouped")
-    ends = link_counts(leads, sets, THRESHOLD)
-    out = rows.join(cut(_least(rows), "least"), F.col("comp") == F.col("l_comp")).join(ends, F.col("c") == F.col("d_c"), "left")
-    return out.select(
-        doc_id_of(F.col("k_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), doc_id_of(F.col("least.k_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_class_links"),
-    )
+    with scratch() as keep:
+        rows, _, leads, sets = _grouped(docs, WIDTH, THRESHOLD)
+        rows = cut(rows, "grouped")
+        ends = link_counts(leads, sets, THRESHOLD)
+        out = rows.join(cut(_least(rows), "least"), F.col("comp") == F.col("l_comp")).join(ends, F.col("c") == F.col("d_c"), "left")
+        out = out.select(
+            doc_id_of(F.col("k_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), doc_id_of(F.col("least.k_id")).alias("component_id"),
+            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_class_links"),
+        )
+        return keep(cut(out, "report"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """docs with one row of each component, that of the least doc_id; wordless rows all stay."""
-    rows, _ = jaccard_groups(docs)
-    rows = cut(rows, "grouped")
-    best = _least(rows).select("least.k_id", "least.rid")
-    keep = rows.join(best.toDF("b_id", "b_rid"), F.col("rid") == F.col("b_rid"), "left_semi")
-    keys = cut(keep.groupBy(F.col("k_id").alias("g_id"), F.col("k_hash").alias("g_hash")).agg(F.count("*").alias("copies")), "kept")
+    own = Hidden(docs, "doc_id", "text")
+    with scratch() as keep:
+        rows, _ = jaccard_groups(own.df)
+        rows = cut(rows, "grouped")
+        best = _least(rows).select("least.k_id", "least.rid")
+        first = rows.join(best.toDF("b_id", "b_rid"), F.col("rid") == F.col("b_rid"), "left_semi")
+        keys = keep(cut(first.groupBy(F.col("k_id").alias("g_id"), F.col("k_hash").alias("g_hash")).agg(F.count("*").alias("copies")), "kept"))
     nth = F.row_number().over(Window.partitionBy("k_id", "k_hash").orderBy("k_id"))
-    left = keyed(docs).join(keys, (F.col("k_id") == F.col("g_id")) & (F.col("k_hash") == F.col("g_hash")))
-    return left.withColumn("g_nth", nth).where("g_nth <= copies").select(*docs.columns)
+    left = keyed(own.df).join(keys, (F.col("k_id") == F.col("g_id")) & (F.col("k_hash") == F.col("g_hash")))
+    return own.shown(left.withColumn("g_nth", nth).where("g_nth <= copies"))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from korvane.llm.common import keyed, mix64, trimming
+from korvane.llm.common import Hidden, keyed, mix64, trimming
 from korvane.llm.passages import passage_dedup
 from korvane.session import cut, pick
 
@@ -106,41 +106,42 @@ def covered(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 
 def line_dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """docs with text rebuilt, and the columns n_lines and n_removed after its own; windows of fewer words than least do not count."""
-    hit = covered(docs, least).toDF("c_id", "c_hash", "c_starts")
+    own = Hidden(docs, "doc_id", "text")
+    hit = covered(own.df, least).toDF("c_id", "c_hash", "c_starts")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n, gone = [], [], []
-            for text, starts in zip(batch.column("l_text"), batch.column("c_starts"), strict=True):
+            for text, starts in zip(batch.column("text"), batch.column("c_starts"), strict=True):
                 t, s = text.as_py(), starts.as_py()
                 lines = split_lines(t or "")
                 out = {p + j for p in s or () for j in range(min(WINDOW, len(lines)))}
                 texts.append("".join(x for i, x in enumerate(lines) if i not in out) if out else t)
                 n.append(len(lines))
                 gone.append(len(out))
-            rest = [batch.column(i) for i in range(batch.num_columns - 2)]
-            yield pa.record_batch([*rest, pa.array(texts, pa.string()), pa.array(n, pa.int32()), pa.array(gone, pa.int32())], names=[*batch.schema.names[:-2], "text", "n_lines", "n_removed"])
+            rest = [batch.column(c) for c in kept]
+            yield pa.record_batch([*rest, pa.array(texts, pa.string()), pa.array(n, pa.int32()), pa.array(gone, pa.int32())], names=[*kept, "text", "n_lines", "n_removed"])
 
-    joined = keyed(docs).join(hit, (F.col("k_id") == F.col("c_id")) & (F.col("k_hash") == F.col("c_hash")), "left")
-    others = [c for c in docs.columns if c != "text"]
-    flat = joined.select(*[F.col(c).alias(f"o_{i}") for i, c in enumerate(others)], F.col("text").alias("l_text"), "c_starts")
-    schema = ", ".join([*(f"o_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(others)), "text string", "n_lines int", "n_removed int"])
-    got = flat.mapInArrow(trimming(rebuild), schema)
-    names = {c: F.col(f"o_{i}") for i, c in enumerate(others)} | {"text": F.col("text")}
-    return got.select(*[names[c].alias(c) for c in docs.columns], "n_lines", "n_removed")
+    kept = [c for c in own.private if c != "text"]
+    joined = keyed(own.df).join(hit, (F.col("k_id") == F.col("c_id")) & (F.col("k_hash") == F.col("c_hash")), "left")
+    got = joined.select(*kept, "text", "c_starts").mapInArrow(trimming(rebuild), own.schema(*kept, text="string", n_lines="int", n_removed="int"))
+    return own.shown(got, "n_lines", "n_removed")
 
 
 def line_dedup_report(docs: DataFrame) -> DataFrame:
-    return line_dedup(docs.select("doc_id", "text")).select("doc_id", "text", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"))
+    return line_dedup(pick(docs, "doc_id", "text")).select("doc_id", "text", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"))
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """docs without repeated windows that have any word, then without repeated passages (see passages); documents of which nothing but white space is left go, n_chars is counted anew."""
-    got = passage_dedup(cut(line_dedup(docs, 1), "lines"))
+    own = Hidden(docs, "doc_id", "text")
+    got = passage_dedup(cut(line_dedup(own.df, 1), "lines"))
     same = (F.col("n_removed") == 0) & (F.col("n_cut") == 0)
     got = got.where(same | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
-    out = {"n_chars": F.when(same, F.col("n_chars")).otherwise(F.length("text")).cast("long")} if "n_chars" in docs.columns else {}
-    return got.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
+    if "n_chars" not in docs.columns:
+        return own.shown(got)
+    before = F.col(own.private[docs.columns.index("n_chars")])
+    return own.shown(got, changed={"n_chars": F.when(same, before).otherwise(F.length("text")).cast("long")})
 
 
 ORACLE = r"""

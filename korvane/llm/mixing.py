@@ -9,30 +9,40 @@ through that pass's keyed Feistel permutation of n block indices, to a block; sl
 and blocks then meet in an equi-join on (source, block). The last slot of a source
 is trimmed so that its words are the target, rounded.
 
+The mixed corpus (mix_documents) is written as it was drawn: shard by shard, in each the
+slots of all sources in a pseudorandom order, in each slot the pieces of its block's documents.
+
 Nothing gathers a source in one task: prefix sums are made within hash buckets of
-documents and over bucket totals.
+documents and over bucket totals. The driver and every task that draws hold a row per
+source; so sources should be named corpora, thousands or some hundred thousands of them.
 
 Defined cases: null text has size 0; a null source is a source of its own, the last;
-rows equal in doc_id and text are separate rows, numbered among themselves; empty
-tables give no rows; other columns are ignored.
+rows equal in doc_id, text and source are separate rows, numbered among themselves;
+empty tables give no rows; other columns, whatever their names, are ignored by the report
+and kept by the corpus.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from korvane.llm.common import WORD, doc_id_of, keyed, mix64
-from korvane.session import cut, pick
+from korvane.llm.common import WORD, Hidden, doc_id_of, keyed, mix64, trimming
+from korvane.llm.shingles import word_bounds
+from korvane.session import cut, few, pick
 
 #: Words in a block.
-BLOCK = 64
+BLOCK = 1024
 #: Slots in an output shard.
-SHARD_SLOTS = 4096
+SHARD_SLOTS = 256
+#: Bytes of text in a batch that the corpus hands on, about.
+BATCH_BYTES = 4 << 20
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
 #: All targets together, as a share of all words; a source's target is at most CAP times its words.
@@ -41,15 +51,15 @@ SEED = 20260101
 
 
 def targets(sizes: list[int], weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> list[float]:
-    """Targets by weight; the excess over cap times the size is dealt again until none is above."""
+    """Targets by weight; the excess over cap times the size is dealt again until none is above.
+
+    In order of cap * size / weight the sources that end at their cap come first, so one pass settles all.
+    """
     w = [weights[i % len(weights)] for i in range(len(sizes))]
-    out, left, free = [0.0] * len(sizes), share * sum(sizes), {i for i, s in enumerate(sizes) if s}
-    while free:
-        whole = sum(w[i] for i in free)
-        over = {i for i in free if left * w[i] / whole > cap * sizes[i]}
-        for i in over or free:
-            out[i] = cap * sizes[i] if over else left * w[i] / whole
-        left, free = left - sum(out[i] for i in over), free - over if over else set()
+    out, left, whole = [0.0] * len(sizes), share * sum(sizes), sum(x for x, s in zip(w, sizes, strict=True) if s)
+    for i in sorted((i for i, s in enumerate(sizes) if s), key=lambda i: cap * sizes[i] / w[i]):
+        out[i] = min(cap * sizes[i], left * w[i] / whole)
+        left, whole = left - out[i], whole - w[i]
     return out
 
 
@@ -89,30 +99,45 @@ def plan_source(size: int, target: float, source: int, block: int, seed: int) ->
     return blocks, epoch * blocks + m, words(m) - rest
 
 
+def _hypergeometric(good: int, bad: int, drawn: int, rng: np.random.Generator) -> int:
+    """How many of the drawn are good. numpy draws from up to 10^9; beyond, the same law is inverted over all values of more than double precision's weight."""
+    total = good + bad
+    if total < 10**9:
+        return int(rng.hypergeometric(good, bad, drawn))
+    mean, p = drawn * good / total, good / total
+    reach = int(40 * (drawn * p * (1 - p) * (total - drawn) / (total - 1)) ** 0.5) + 40
+    lo, hi = max(0, drawn - bad, int(mean) - reach), min(good, drawn, int(mean) + reach)
+    k = np.arange(lo + 1, hi + 1, dtype=np.float64)
+    logs = np.append(0.0, np.cumsum(np.log((good - k + 1) * (drawn - k + 1)) - np.log(k * (bad - drawn + k))))
+    sums = np.cumsum(np.exp(logs - logs.max()))
+    return lo + int(np.searchsorted(sums, rng.random() * sums[-1], side="right").clip(0, hi - lo))
+
+
 def _split(counts: np.ndarray, left: int, rng: np.random.Generator) -> np.ndarray:
     """How many of each source's slots fall into the left `left` of all slots."""
     out, rest = np.zeros_like(counts), int(counts.sum())
-    for i, c in enumerate(counts.tolist()):
-        if not left or not c:
-            continue
-        if rest < 10**9:
-            got = int(rng.hypergeometric(c, rest - c, left)) if rest > c else left
-        else:  # too large for exact draws: the normal limit, held within what is possible
-            p = c / rest
-            got = round(rng.normal(left * p, (left * p * (1 - p) * (rest - left) / (rest - 1)) ** 0.5))
-        out[i] = got = min(max(got, left - (rest - c)), c, left)
+    for i in np.flatnonzero(counts).tolist():
+        if not left:
+            break
+        c = int(counts[i])
+        out[i] = got = _hypergeometric(c, rest - c, left, rng) if rest > c else left
         left, rest = left - got, rest - c
     return out
 
 
+@lru_cache(1 << 12)
+def _half(lo: int, hi: int, counts: bytes, size: int, whole: int, seed: int) -> np.ndarray:
+    """The draw of a node of the tree; the upper ones are those of very many shards."""
+    return _split(np.frombuffer(counts, np.int64), min((lo + hi) // 2 * size, whole) - lo * size, np.random.default_rng([seed, lo, hi]))
+
+
 def shard_draw(shard: int, shards: int, slots: np.ndarray, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(first slot, slots) of each source in a shard, by walking the tree of splits from the root."""
-    lo, hi, start, counts = 0, shards, np.zeros_like(slots), slots
+    lo, hi, start, counts = 0, shards, np.zeros_like(slots), slots.astype(np.int64)
     whole = int(slots.sum())
     while hi - lo > 1:
         mid = (lo + hi) // 2
-        rng = np.random.default_rng([seed, lo, hi])
-        left = _split(counts, min(mid * size, whole) - lo * size, rng)
+        left = _half(lo, hi, counts.tobytes(), size, whole, seed)
         if shard < mid:
             hi, counts = mid, left
         else:
@@ -136,8 +161,9 @@ def sizes(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(rows, taken). rows: k_id, k_hash, copy, source, size, source_size, target.
 
-    taken, the mix itself: shard, slot (within its source), epoch, block, and the row's
-    words from word_from up to word_to (counted from 0) that this slot puts out.
+    taken, the mix itself: shard, s and slot (the slot's source and its number there), place (the
+    slot's in its shard), epoch, block, and the row's words from word_from up to word_to (counted from 0)
+    that this slot puts out, the block's word block_at being the first of them.
     """
     spark = docs.sparkSession
     slim = cut(sizes(docs), "sizes")
@@ -147,7 +173,8 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, wei
     buckets = 1 + int(sum(r.n for r in by) ** 0.5 / 2)  # as many rows in a bucket as buckets, about: both stay small
 
     names = spark.createDataFrame([(s, r.source, r.source_size, t) for s, (r, t) in enumerate(zip(by, target, strict=True))], "s int, source string, source_size long, target double")
-    rows = slim.join(F.broadcast(names.withColumnRenamed("source", "s_name")), F.col("source").eqNullSafe(F.col("s_name"))).drop("s_name")
+    known = names.withColumnRenamed("source", "s_name")
+    rows = slim.join(F.broadcast(known) if len(by) <= 100_000 else known, F.col("source").eqNullSafe(F.col("s_name"))).drop("s_name")
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("k_id", "k_hash", F.lit(seed)), F.lit(buckets)).cast("int"))
 
     totals = rows.groupBy("s", "bucket").agg(F.sum("size").alias("words"))
@@ -172,6 +199,7 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, wei
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            out = []
             for shard in batch["id"].tolist():
                 start, counts = shard_draw(shard, shards, slots, shard_slots, seed)
                 for s in np.flatnonzero(counts).tolist():
@@ -180,7 +208,12 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, wei
                     at = np.empty_like(j)
                     for e in np.unique(epoch).tolist():
                         at[epoch == e] = permute(j[epoch == e] % blocks[s], int(blocks[s]), seed, s, e)
-                    yield pd.DataFrame({"shard": shard, "slot": j, "m_s": s, "epoch": epoch, "m_block": at, "trim": np.where(j == slots[s] - 1, trims[s], 0)})
+                    out.append(pd.DataFrame({"shard": shard, "slot": j, "m_s": s, "epoch": epoch, "m_block": at, "trim": np.where(j == slots[s] - 1, trims[s], 0)}))
+                if len(out) >= 1000:
+                    yield pd.concat(out)
+                    out = []
+            if out:
+                yield pd.concat(out)
 
     drawn = spark.range(shards, numPartitions=max(1, min(shards, 8 * spark.sparkContext.defaultParallelism))).mapInPandas(draw, "shard long, slot long, m_s int, epoch long, m_block long, trim long")
     # A trimmed slot loses the words at the end of its block.
@@ -191,7 +224,10 @@ def mix(docs: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, wei
         .join(F.broadcast(end), F.col("s") == F.col("e_s"), "left")
         .withColumn("word_to", F.when(F.col("trim") > 0, F.least(F.col("word_to"), F.col("e_end") - F.col("trim") - F.col("p_first"))).otherwise(F.col("word_to")))
         .where("word_to > word_from")
-        .select("shard", "slot", "s", "epoch", "block", "k_id", "k_hash", "copy", "size", "word_from", "word_to")
+        .select(
+            "shard", F.xxhash64("s", "slot", F.lit(seed)).alias("place"), "s", "slot", "epoch", "block", "k_id", "k_hash", "copy", "size",
+            (F.col("p_first") + F.col("word_from") - F.col("block") * b).cast("int").alias("block_at"), "word_from", "word_to",
+        )
     )
     return rows.select("k_id", "k_hash", "copy", "source", "size", "source_size", "target"), taken
 
@@ -205,37 +241,55 @@ def mix_report(docs: DataFrame) -> DataFrame:
     )
 
 
-def slice_words(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text from the first to the last word of each span; spans that touch are one."""
-    import re
-
-    at = [m.span() for m in re.finditer(WORD, text)]
-    runs: list[list[int]] = []
-    for a, b in sorted(spans):
-        if runs and a <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], b)
-        else:
-            runs.append([a, b])
-    if len(runs) == 1 and runs[0] == [0, len(at)]:
-        return text
-    return "\n".join(text[at[a][0] : at[b - 1][1]] for a, b in runs)
-
-
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """The mixed corpus with the columns of docs: each pass over a document gives a row that holds the words taken in it."""
-    _, taken = mix(docs)
-    spans = taken.groupBy("k_id", "k_hash", "copy", "epoch").agg(F.collect_list(F.struct("word_from", "word_to")).alias("m_spans"))
-    spans = spans.withColumnsRenamed({"k_id": "m_id", "k_hash": "m_hash"})
-    # Equal rows are numbered alike on both sides: copy c of a key goes with the c-th of its rows.
-    base = _keyed(docs)
-    same = Window.partitionBy("k_id", "k_hash").orderBy("k_id")
-    base = base.withColumn("m_row", F.row_number().over(same))
-
-    @F.pandas_udf("string")
-    def words(text: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([slice_words(t, [(s["word_from"], s["word_to"]) for s in x]) for t, x in zip(text, spans, strict=True)], dtype=object)
-
-    got = base.join(spans, (F.col("k_id") == F.col("m_id")) & (F.col("k_hash") == F.col("m_hash")) & (F.col("m_row") == F.col("copy")))
-    got = got.withColumn("m_text", words("text", "m_spans"))
-    out = {"text": F.col("m_text"), "n_chars": F.length("m_text").cast("long")}
-    return got.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
+    """The mixed corpus with the columns of docs: a row for each piece of a document in a slot, shards in partitions, slots and pieces in their order.
+
+    The text of a row is the piece; blocks' words are in the rows as they follow one another.
+    """
+    own = Hidden(docs, "doc_id", "text", "source")
+    rows, taken = mix(docs)
+    span = F.struct("shard", "place", "s", "slot", "block_at", "word_from", "word_to")
+    spans = taken.groupBy("k_id", "k_hash", "copy").agg(F.collect_list(span).alias("m_spans")).withColumnsRenamed({"k_id": "m_id", "k_hash": "m_hash"})
+    # Copy c of a key goes with the c-th of its rows; only rows that repeat must be numbered.
+    base = _keyed(own.df)
+    twice = cut(rows.where("copy = 2").select(F.col("k_id").alias("t_id"), F.col("k_hash").alias("t_hash")), "repeated-rows")
+    twice = F.broadcast(twice) if few(twice) else twice
+    repeats = (F.col("k_id") == F.col("t_id")) & (F.col("k_hash") == F.col("t_hash"))
+    nth = F.row_number().over(Window.partitionBy("k_id", "k_hash").orderBy("k_id"))
+    base = base.join(twice, repeats, "left_anti").withColumn("m_row", F.lit(1)).unionByName(base.join(twice, repeats, "left_semi").withColumn("m_row", nth))
+    kept = [c for c in own.private if c != "text"]
+    both = base.join(spans, (F.col("k_id") == F.col("m_id")) & (F.col("k_hash") == F.col("m_hash")) & (F.col("m_row") == F.col("copy")))
+    order = ["shard", "place", "s", "slot", "block_at"]
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, row, texts, size = batch.schema.names, [], [], 0
+            lists = batch.column(names.index("m_spans"))
+            ends, flat = lists.offsets.to_numpy(), lists.values
+            first, last = flat.field("word_from").to_numpy(), flat.field("word_to").to_numpy()
+            done = int(ends[0])
+
+            def out(upto: int, row=row, texts=texts, batch=batch, names=names, flat=flat) -> pa.RecordBatch:
+                at = pa.array(row, pa.int32())
+                part = flat.slice(done, upto - done)
+                made = pa.record_batch([*(batch.column(names.index(c)).take(at) for c in kept), pa.array(texts, pa.string()), *(part.field(c) for c in order)], names=[*kept, "text", *order])
+                row.clear()
+                texts.clear()
+                return made
+
+            for i, text in enumerate(batch.column(names.index("text"))):
+                data = text.as_py().encode("utf-8", "surrogatepass")
+                starts, stops = word_bounds(data)
+                for k in range(ends[i], ends[i + 1]):
+                    texts.append(data[starts[first[k]] : stops[last[k] - 1]])
+                    row.append(i)
+                    size += len(texts[-1])
+                    if size >= BATCH_BYTES:
+                        yield out(k + 1)
+                        done, size = k + 1, 0
+            if row:
+                yield out(int(ends[-1]))
+
+    got = both.select(*kept, "text", "m_spans").mapInArrow(trimming(pieces), own.schema(*kept, "text", shard="long", place="long", s="int", slot="long", block_at="int"))
+    got = got.repartition("shard").sortWithinPartitions(*order)
+    return own.shown(got, changed={"n_chars": F.length("text").cast("long")} if "n_chars" in docs.columns else None)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from korvane.llm.common import WORD, keyed, mix64, trimming
+from korvane.llm.common import WORD, Hidden, keyed, mix64, trimming
 from korvane.llm.shingles import word_hashes
 from korvane.session import cut, pick
 
@@ -159,18 +159,16 @@ def without(text: str, starts: list[int]) -> tuple[str, int]:
 
 def passage_dedup(docs: DataFrame) -> DataFrame:
     """docs with text rebuilt, and the column n_cut, the words removed, after its own."""
-    hit = covered(docs).toDF("c_id", "c_hash", "c_starts")
+    own = Hidden(docs, "doc_id", "text")
+    hit = covered(own.df).toDF("c_id", "c_hash", "c_starts")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [without(t.as_py(), s.as_py()) if s.is_valid else (t.as_py(), 0) for t, s in zip(batch.column("l_text"), batch.column("c_starts"), strict=True)]
-            rest = [batch.column(i) for i in range(batch.num_columns - 2)]
-            yield pa.record_batch([*rest, pa.array([t for t, _ in got], pa.string()), pa.array([n for _, n in got], pa.int32())], names=[*batch.schema.names[:-2], "text", "n_cut"])
-
-    joined = keyed(docs).join(hit, (F.col("k_id") == F.col("c_id")) & (F.col("k_hash") == F.col("c_hash")), "left")
-    others = [c for c in docs.columns if c != "text"]
-    flat = joined.select(*[F.col(c).alias(f"o_{i}") for i, c in enumerate(others)], F.col("text").alias("l_text"), "c_starts")
-    schema = ", ".join([*(f"o_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(others)), "text string", "n_cut int"])
-    got = flat.mapInArrow(trimming(rebuild), schema)
-    names = {c: F.col(f"o_{i}") for i, c in enumerate(others)} | {"text": F.col("text")}
-    return got.select(*[names[c].alias(c) for c in docs.columns], "n_cut")
+            got = [without(t.as_py(), s.as_py()) if s.is_valid else (t.as_py(), 0) for t, s in zip(batch.column("text"), batch.column("c_starts"), strict=True)]
+            rest = [batch.column(c) for c in kept]
+            yield pa.record_batch([*rest, pa.array([t for t, _ in got], pa.string()), pa.array([n for _, n in got], pa.int32())], names=[*kept, "text", "n_cut"])
+
+    kept = [c for c in own.private if c != "text"]
+    joined = keyed(own.df).join(hit, (F.col("k_id") == F.col("c_id")) & (F.col("k_hash") == F.col("c_hash")), "left")
+    got = joined.select(*kept, "text", "c_starts").mapInArrow(trimming(rebuild), own.schema(*kept, text="string", n_cut="int"))
+    return own.shown(got, "n_cut")

@@ -32,6 +32,14 @@ def _powers(base: int, n: int) -> np.ndarray:
 _POW, _INV = _powers(_P, PIECE + 1), _powers(pow(_P, -1, 2**64), PIECE + 1)
 
 
+def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of UTF-8 text begins and ends, in bytes."""
+    inside = np.zeros(len(text) + 2, np.int8)
+    inside[1:-1] = ~_SPACE[np.frombuffer(text, np.uint8)]
+    edge = np.flatnonzero(np.diff(inside))
+    return edge[::2], edge[1::2]
+
+
 def word_hashes(low: bytes) -> np.ndarray:
     """A hash for each word of lower-cased UTF-8 text, in order."""
     global _POW, _INV

@@ -26,12 +26,11 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from korvane.llm.common import trim, trimming
+from korvane.llm.common import Hidden, trim, trimming
 from korvane.llm.langid import held_out
 from korvane.llm.shingles import shingle_set
 from korvane.session import pick
@@ -292,18 +291,36 @@ def train(labelled: DataFrame, most: int = TRAIN_ROWS, seed: int = 5) -> Model:
     return Model(weights, fit(x, got.column("y").to_numpy()), spared)
 
 
-def score_texts(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with score and hits (start, stop, term, edits, quotation) after its own columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _scored(own: Hidden, model: Model, with_hits: bool) -> DataFrame:
+    """The hidden frame with t_score, and with t_hits where asked for."""
+    shared = own.df.sparkSession.sparkContext.broadcast(model)
+    kinds = {"start": pa.int32(), "stop": pa.int32(), "term": pa.string(), "edits": pa.int32(), "quotation": pa.float64()}
 
-    @F.pandas_udf("struct<score:double,hits:array<struct<start:int,stop:int,term:string,edits:int,quotation:double>>>")
-    def each(texts: pd.Series) -> pd.DataFrame:
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        all_ = [m.hits(t) if t else [] for t in texts]
+        for texts in batches:
+            hits = [m.hits(t.as_py()) if t.is_valid else [] for t in texts]
+            scores = pa.array([m.score(h) for h in hits], pa.float64())
+            if not with_hits:
+                yield scores
+                continue
+            flat = [x for h in hits for x in h]
+            fields = [pa.array([x[i] for x in flat], kind) for i, kind in enumerate(kinds.values())]
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, hits)]), pa.int32()), pa.StructArray.from_arrays(fields, names=list(kinds)))
+            yield pa.StructArray.from_arrays([scores, lists], names=["score", "hits"])
         trim()
-        return pd.DataFrame({"score": [m.score(h) for h in all_], "hits": [[dict(zip(("start", "stop", "term", "edits", "quotation"), x, strict=True)) for x in h] for h in all_]})
 
-    return docs.withColumn("t_got", each(F.col("text"))).select(*docs.columns, "t_got.*")
+    each.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    if not with_hits:
+        return own.df.withColumn("t_score", F.arrow_udf(each, "double")("text"))
+    got = F.arrow_udf(each, "struct<score:double,hits:array<struct<start:int,stop:int,term:string,edits:int,quotation:double>>>")("text")
+    return own.df.withColumn("t_got", got).select(*own.private, F.col("t_got.score").alias("t_score"), F.col("t_got.hits").alias("t_hits"))
+
+
+def score_texts(docs: DataFrame, model: Model) -> DataFrame:
+    """docs with score and hits (start, stop, term, edits, quotation) after its own columns."""
+    own = Hidden(docs, "text")
+    return own.shown(_scored(own, model, True).withColumnsRenamed({"t_score": "score", "t_hits": "hits"}), "score", "hits")
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -326,10 +343,11 @@ def trained(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, n_hits."""
-    got = score_texts(docs.select("doc_id", "text"), trained(docs, labels))
+    got = score_texts(pick(docs, "doc_id", "text"), trained(docs, labels))
     return got.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("hits").cast("long").alias("n_hits"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without the rows that score 0.5 or more."""
-    return score_texts(docs, trained(docs, labels)).where("score < 0.5").select(*docs.columns)
+    own = Hidden(docs, "text")
+    return own.shown(_scored(own, trained(docs, labels), False).where("t_score < 0.5"))
