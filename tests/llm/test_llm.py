@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -537,36 +538,69 @@ def test_language_spans_and_odd_rows(spark, odd, none):
     assert langid.language_report(none).count() == 0
 
 
-def test_language_scores_every_letter_of_long_runs():
+def _language_model(said):
     counts = Counter()
-    said = {"en": "the house and the water were there when this thing with that ", "de": "das haus und der mann nicht mit einer frau zwischen ", "ja": "これはわたしのいえです漢字", "zh": "這是我的房子漢字"}
     for lang, text in said.items():
-        for w in langid.words_of(text)[0]:
-            counts[lang, "#" + langid.script_of(w)] += 9 * len(w)
-            for g in langid._grams(w):
-                counts[lang, g] += 9
-    model = langid.Model(pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["lang", "gram", "n"]))
-    joined = {x: said[x].replace(" ", "") for x in ("en", "de")}
-    runs = ["the" + joined["de"] * 5, joined["en"] * 3 + joined["de"] * 3, "房" + said["ja"] * 9, "漢" * 41]
+        for w in re.split(r"[\W\d_]+", text):
+            for script, part in langid.runs_of(w):
+                counts[lang, "#" + script] += 9 * len(part)
+                for g in langid.grams_of(part):
+                    counts[lang, g] += 9
+    return langid.Model(pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["lang", "gram", "n"]))
+
+
+def _spans(model, text):
+    ((_, first, last, lang, letters),) = model.spans(pa.array([text], pa.string()))
+    return [(a, b, model.langs[c], d) for a, b, c, d in zip(first.tolist(), last.tolist(), lang.tolist(), letters.tolist(), strict=True)]
+
+
+SAID = {"en": "the house and the water were there when this thing with that ", "de": "das haus und der mann nicht mit einer frau zwischen ", "ja": "これはわたしのいえです漢字", "zh": "這是我的房子漢字", "ru": "это было когда она пришла домой и он тоже"}
+
+
+def test_language_scores_every_letter_of_long_runs():
+    model = _language_model(SAID)
+    joined = {x: SAID[x].replace(" ", "") for x in ("en", "de")}
+    runs = ["the" + joined["de"] * 5, joined["en"] * 3 + joined["de"] * 3, "房" + SAID["ja"] * 9, "漢" * 41, "x" * 5000]
     for r in runs:
-        assert "".join(langid.pieces(r)) == r and max(map(len, langid.pieces(r))) <= langid.PIECE
-        assert sum(n for *_, n in model.spans(r)) == len(r)
-    assert model.spans(runs[0])[-1][2] == "de" and [x[2] for x in model.spans(runs[1])] == ["en", "de"] and "ja" in {x[2] for x in model.spans(runs[2])}
-    assert model.spans(f"1 {runs[1]} haus")[-1][:2] == (0, 1)
-    assert langid.pieces("домhouse") == ("дом", "house") and langid.pieces("water") == ("water",)
+        assert "".join(part for _, part in langid.runs_of(r)) == r
+        assert sum(n for *_, n in _spans(model, r)) == len(r)
+    assert _spans(model, runs[0])[-1][2] == "de" and [x[2] for x in _spans(model, runs[1])] == ["en", "de"] and "ja" in {x[2] for x in _spans(model, runs[2])}
+    assert _spans(model, f"1 {runs[1]} haus")[-1][:2] == (0, 1)
+
+
+def test_language_steps_of_a_word_hold_its_grams_once():
+    model = _language_model(SAID)
+    word = "dashausundder" * 9
+    logs = {g: row for k, (keys, rows_) in enumerate(zip(model.keys, model.logs, strict=True)) for g, row in zip(keys.tolist(), rows_, strict=False)}
+    want = sum(logs.get(int(langid._key(*langid._codes(g).reshape(-1, 1))[0]), 0) for g in langid.grams_of(word))
+    assert model.scores([word], [0, 40, 80]).sum(0) == pytest.approx(want, rel=1e-5)
 
 
-def test_viterbi_equals_plain_search():
+def test_language_scripts_narrow_the_candidates():
+    model = _language_model(SAID)
+    assert [x[2] for x in _spans(model, "the house and домой the water were")] == ["en", "ru", "en"]
+    assert langid.runs_of("домhouse") == [("cyrillic", "дом"), ("latin", "house")] and langid.runs_of("water") == [("latin", "water")]
+    assert langid.runs_of("cafe\u0301s") == [("latin", "cafe\u0301s")] and langid.runs_of("\u0301") == []
+    assert langid.runs_of("किताब") == [("devanagari", "किताब")] and langid.runs_of("หนังสือ") == [("thai", "หนังสือ")]
+    assert _spans(model, "cafe\u0301s \u0301 was")[-1][:2] == (0, 1)  # a word keeps its marks, marks alone are none
+
+
+@pytest.mark.parametrize("few", [langid.FEW, 0])
+def test_viterbi_equals_search_over_all_paths(monkeypatch, few):
+    monkeypatch.setattr(langid, "FEW", few)
     rng = np.random.default_rng(0)
-    for _ in range(200):
+    for t in range(300):
         n, k = int(rng.integers(1, 9)), 3
         s = -np.round(rng.random((n, k)) * 10, 2)
+        if t % 3 == 0:
+            s[rng.random((n, k)) < 0.3] = -langid.NEVER
         s[np.arange(n), rng.integers(0, k, n)] = 0
         got = langid.viterbi(s.copy(), 4.0)
         value = lambda p, s=s: s[np.arange(len(p)), p].sum() - 4.0 * (np.diff(p) != 0).sum()
-        top, every = s.argmax(1), np.array(np.meshgrid(*[range(k)] * n)).T.reshape(-1, n)
-        best = max(value(p) for p in every if all(p[i] == p[i + 1] or top[i] != top[i + 1] for i in range(n - 1)))
-        assert value(got) == pytest.approx(best)
+        every = np.array(np.meshgrid(*[range(k)] * n)).T.reshape(-1, n)
+        assert value(got) == pytest.approx(max(value(p) for p in every))
+    s = np.vstack([np.tile([-9.0, 0, -9], (4, 1)), np.tile([0, -0.1, -10], (20, 1)), np.tile([0, -10, -0.1], (20, 1)), np.tile([-9.0, -9, 0], (4, 1))])
+    assert langid.viterbi(s, 14.0).tolist() == [1] * 24 + [2] * 24
 
 
 # ---- 10 toxicity
