@@ -82,6 +82,39 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Bits of a bitmap for each key that is to be in it; binary logarithms of the fewest and the most bits (128 MB), and of those of a chunk.
+ROOM, LEAST_BITS, MOST_BITS, CHUNK_BITS = 16, 20, 30, 16
+
+
+def bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of the values of a column of longs, as bytes: has() then tells which keys it surely lacks.
+
+    Its size grows with the keys up to 2^MOST_BITS bits; beyond, more keys that are not in it pass. It is
+    made in chunks by the executors, so the driver gets its bytes and no keys.
+    """
+    log = min(MOST_BITS, max(LEAST_BITS, (ROOM * keys.count() - 1).bit_length()))
+    at = keys.select(F.pmod(column, F.lit(1 << log)).alias("at")).distinct()
+
+    def pack(group: pa.Table) -> pa.Table:
+        at = group.column("at").to_numpy()
+        bits = np.zeros(1 << CHUNK_BITS, bool)
+        bits[at & ((1 << CHUNK_BITS) - 1)] = True
+        return pa.table({"chunk": pa.array([int(at[0]) >> CHUNK_BITS], pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()])})
+
+    chunks = at.groupBy(F.shiftright("at", CHUNK_BITS).alias("chunk")).applyInArrow(pack, "chunk int, bits binary").toArrow()
+    out = np.zeros((1 << log) // 8, np.uint8)
+    size = (1 << CHUNK_BITS) // 8
+    for chunk, bits in zip(chunks.column("chunk").to_pylist(), chunks.column("bits"), strict=True):
+        out[chunk * size : (chunk + 1) * size] = np.frombuffer(bits.as_py(), np.uint8)
+    return out
+
+
+def has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of these 64-bit keys a bitmap lets through."""
+    at = keys.view(np.uint64) & np.uint64(len(bits) * 8 - 1)
+    return bits[at >> np.uint64(3)] >> (7 - (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
 @cache
 def _libc():
     try:

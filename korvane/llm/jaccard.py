@@ -6,10 +6,14 @@ Jaccard similarity is at least THRESHOLD per cent. Steps:
 1. Frequent shingles: every task counts shingles within blocks of documents and hands
    on those met more than once; their sums give the HOT_MAX most frequent ones, a table
    of bounded size. It only ranks tokens; no token is left out.
-2. Equal sets form classes; one class row goes on, copies follow their class.
-3. Order 1 ranks by (frequency, hash), so passages and lines that many documents share
-   come last. Linked sets share a token of their prefixes, the first n - ceil(0.75 n) + 1
-   tokens. Postings of prefix tokens are dealt by token; tokens of one class fall away.
+2. Equal sets form classes; one class row goes on, copies follow their class. Each row keeps
+   its prefixes, the first n - ceil(0.75 n) + 1 tokens, under three orders of all tokens:
+   by (frequency, hash), so that passages and lines that many documents share come last, and
+   by two other hashes, of which only 16 bits a token are kept. Linked sets share a token of
+   their prefixes under every order, and more the more alike they are.
+3. Postings of the first prefixes meet by token. Tokens of step 1's table are known to be
+   shared; the others, which no task can have many of, are dealt by token, and those of one
+   class fall away.
 4. Classes that meet under a token are candidates. Runs of at most SHORT classes give
    all pairs within the length bound, at most SHORT / 2 for a posting. With the count c
    of shared prefix tokens, overlap is at most c + n - prefix for one side or the other,
@@ -19,8 +23,9 @@ Jaccard similarity is at least THRESHOLD per cent. Steps:
    a hash of the class) meet the others, verified links merge components, and only pairs
    of different components go to the next round with four times the hubs, until a run is
    in one component or all its pairs are done. No link between components is lost.
-5. A candidate must also share enough prefix tokens under orders 2 and 3 (other hashes)
-   before its intersection is counted on the whole sets.
+5. A candidate must also share enough prefix tokens under orders 2 and 3: those prefixes
+   alone are joined to the pairs. Only of pairs that pass all orders, sets are moved and the
+   intersection is counted.
 6. Verified links and classes give components; a document's is the least doc_id.
 7. The report counts every class's links, also those within components that 4 leaves out:
    a component's classes are dealt to blocks, and each pair of blocks counts its common
@@ -41,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from korvane.llm.common import Hidden, doc_id_of, keyed, mix64, trimming
+from korvane.llm.common import Hidden, bitmap, doc_id_of, has, keyed, mix64, trimming
 from korvane.llm.components import components
 from korvane.llm.shingles import set_digest, shingle_set
 from korvane.session import cut, few, pick, scratch
@@ -52,13 +57,11 @@ WIDTH, THRESHOLD = 5, 75
 HOT_MAX, BLOCK_DOCS, BLOCK_TOKENS = 1 << 20, 4000, 1 << 22
 #: Classes in a run that gives all its pairs.
 SHORT = 32
-#: Buckets of the bitmap that says whose sets are needed.
-BITMAP = 1 << 22
 #: Classes, and tokens of their sets, in a block of a component (about).
 SIDE, SIDE_TOKENS = 256, 1 << 20
 #: Tokens in a piece of a block's 0/1 matrix.
 COLUMNS = 4096
-#: Salts of the further token orders.
+#: Salts of the token orders 2 and 3.
 ORDERS = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
 
@@ -115,26 +118,44 @@ def frequent_tokens(docs: DataFrame, width: int, most: int) -> tuple[np.ndarray,
     return tokens[order], top.column("n").to_numpy()[order]
 
 
+def further_prefixes(values: np.ndarray, size: int) -> np.ndarray:
+    """16 bits of each of the first `size` tokens under orders 2 and 3, ascending in each."""
+    out = []
+    for salt in ORDERS:
+        h = mix64(values ^ np.uint64(salt))
+        first = np.partition(h, size - 1)[:size] if size < len(h) else h
+        out.append(np.sort((mix64(first) >> np.uint64(48)).astype(np.uint16)))
+    return np.concatenate(out)
+
+
 def describe(docs: DataFrame, width: int, percent: int, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """rid, k_id, k_hash, n, digest, prefix (order 1) of every row."""
+    """rid, k_id, k_hash, n, digest, frequent and prefix (tokens of order 1 that are in the table hot and that are not), further (prefixes of the other orders) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = shared.value
         for batch in batches:
-            n, digest, prefix = [], [], []
+            n, digest, frequent, prefix, further = [], [], [], [], []
             for text in batch.column(2):
                 s = shingle_set(text.as_py(), width)
+                size = prefix_size(len(s), percent) if len(s) else 0
                 n.append(len(s))
                 digest.append(set_digest(s))
+                further.append(further_prefixes(s, size).tobytes() if size else b"")
+                often = np.zeros(len(s), np.int64)
                 if len(s) and len(tokens):
                     at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
-                    s = s[np.argsort(np.where(tokens[at] == s, counts[at], 0), kind="stable")]
-                prefix.append(s[: prefix_size(len(s), percent)] if len(s) else s)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(digest, pa.binary()), _lists(prefix)], names=["k_id", "k_hash", "n", "digest", "prefix"])
+                    often = np.where(tokens[at] == s, counts[at], 0)
+                    order = np.argsort(often, kind="stable")[:size]
+                    s, often = s[order], often[order]
+                s, often = s[:size], often[:size]
+                frequent.append(s[often > 0])
+                prefix.append(s[often == 0])
+            columns = [batch.column(0), batch.column(1), pa.array(n, pa.int32()), pa.array(digest, pa.binary()), _lists(frequent), _lists(prefix), pa.array(further, pa.binary())]
+            yield pa.record_batch(columns, names=["k_id", "k_hash", "n", "digest", "frequent", "prefix", "further"])
 
-    rows = docs.select("k_id", "k_hash", "text").mapInArrow(trimming(each), "k_id long, k_hash long, n int, digest binary, prefix array<long>")
-    return rows.withColumn("rid", F.monotonically_increasing_id())
+    kind = "k_id long, k_hash long, n int, digest binary, frequent array<long>, prefix array<long>, further binary"
+    return docs.select("k_id", "k_hash", "text").mapInArrow(trimming(each), kind).withColumn("rid", F.monotonically_increasing_id())
 
 
 def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,8 +176,49 @@ def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, given = whole.slice(len(t) - 1), bool(last)
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How often each value of x, ascending, is met in y too, at most: the smaller of both counts."""
+    a, n = np.unique(x, return_counts=True)
+    b, m = np.unique(y, return_counts=True)
+    at, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    return np.repeat(at, np.minimum(n[i], m[j]))
+
+
+def shares_enough(n: np.ndarray, m: np.ndarray, x: pa.Array, y: pa.Array, percent: int) -> list[np.ndarray]:
+    """For orders 2 and 3, which pairs of sets of n and m share as many prefix tokens, of the columns further, as similar sets do at least."""
+    need = -(-percent * (n + m) // (100 + percent))
+    p, q = n - -(-percent * n // 100) + 1, m - -(-percent * m // 100) + 1
+    least = np.maximum(1, np.minimum(need - n + p, need - m + q))
+    pair, out = np.arange(len(n)), []
+
+    def keys(column: pa.Array, size: np.ndarray, order: int) -> np.ndarray:
+        _, offsets, data = column.buffers()
+        start = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column)] // 2 + order * size
+        at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.repeat(pair, size) << 16 | np.frombuffer(data, np.uint16)[at]
+
+    for order in range(len(ORDERS)):
+        common = _common(keys(x, p, order), keys(y, q, order)) if len(n) else np.empty(0, np.int64)
+        out.append(np.bincount(common >> 16, minlength=len(n)) >= least)
+    return out
+
+
+def filtered(pairs: DataFrame, further: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b), those that share enough prefix tokens under orders 2 and 3; further: c, n, further of the classes."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3))
+            hit = np.logical_and.reduce(shares_enough(n, m, batch.column(4), batch.column(5), percent))
+            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(hit))
+
+    x, y = further.toDF("x_c", "x_n", "x_further"), further.toDF("y_c", "y_n", "y_further")
+    both = pairs.join(x, F.col("a") == F.col("x_c")).join(y, F.col("b") == F.col("y_c"))
+    return both.select("a", "b", "x_n", "y_n", "x_further", "y_further").mapInArrow(trimming(each), "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b), those whose sets are similar: filters of the further orders first, then the intersection."""
+    """Of pairs (a, b), those whose sets are similar."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,15 +226,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             flat = [(c.offsets.to_numpy(), c.values.to_numpy().view(np.uint64)) for c in (batch.column(2), batch.column(3))]
             for i in range(batch.num_rows):
                 x, y = (v[o[i] : o[i + 1]] for o, v in flat)
-                n, m = len(x), len(y)
-                need, p, q = needed_overlap(n, m, percent), prefix_size(n, percent), prefix_size(m, percent)
-                for salt in ORDERS:
-                    hx, hy = mix64(x ^ np.uint64(salt)), mix64(y ^ np.uint64(salt))
-                    px, py = np.partition(hx, p - 1)[:p], np.partition(hy, q - 1)[:q]
-                    if len(np.intersect1d(px, py, assume_unique=True)) < max(1, min(need - n + p, need - m + q)):
-                        break
-                else:
-                    hit[i] = len(np.intersect1d(x, y, assume_unique=True)) >= need
+                hit[i] = len(np.intersect1d(x, y, assume_unique=True)) >= needed_overlap(len(x), len(y), percent)
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(hit))
 
     x, y = sets.toDF("x_c", "x_set"), sets.toDF("y_c", "y_set")
@@ -182,23 +236,15 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def class_sets(docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """(c, set) of the classes (c, digest), shingled again from the texts that a bitmap of their digests lets through."""
-    bucket = F.pmod(F.conv(F.hex(F.substring("digest", 1, 6)), 16, 10).cast("long"), F.lit(BITMAP)).cast("int")
-    wanted = classes.select(bucket.alias("at")).distinct().toArrow().column("at").to_numpy()  # BITMAP at most
-    bits = np.zeros(BITMAP, bool)
-    bits[wanted] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    key = F.conv(F.hex(F.substring("digest", 1, 6)), 16, 10).cast("long")
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(classes.select(key.alias("key")), "key"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            digest, sets = [], []
-            for text in batch.column(0):
-                s = shingle_set(text.as_py(), width)
-                d = set_digest(s)
-                if have[int.from_bytes(d[:6], "big") % BITMAP]:
-                    digest.append(d)
-                    sets.append(s)
-            yield pa.record_batch([pa.array(digest, pa.binary()), _lists(sets)], names=["digest", "set"])
+            sets = [shingle_set(text.as_py(), width) for text in batch.column(0)]
+            digests = [set_digest(s) for s in sets]
+            some = np.flatnonzero(has(shared.value, np.array([int.from_bytes(d[:6], "big") for d in digests], np.uint64))).tolist()
+            yield pa.record_batch([pa.array([digests[i] for i in some], pa.binary()), _lists([sets[i] for i in some])], names=["digest", "set"])
 
     found = docs.select("text").mapInArrow(trimming(each), "digest binary, set array<long>")
     one = found.withColumn("nth", F.row_number().over(Window.partitionBy("digest").orderBy("digest"))).where("nth = 1")
@@ -276,9 +322,11 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     leads = cut(rows.where("n > 0").groupBy("digest").agg(F.min("rid").alias("c")), "leads")
     slim = rows.where("n > 0").select("rid", F.col("digest").alias("r_digest"))
     copies = cut(slim.join(leads, F.col("r_digest") == F.col("digest")).where("rid <> c").select("rid"), "copies")
-    classes = rows.where("n > 0").select("rid", "n", "prefix").join(F.broadcast(copies) if few(copies) else copies, "rid", "left_anti")
-    postings = classes.select(F.explode("prefix").alias("token"), F.col("rid").alias("c"), "n").repartition("token").sortWithinPartitions("token")
-    runs = cut(postings.mapInArrow(trimming(_shared_runs), "token long, c long, n int"), "runs")
+    classes = rows.where("n > 0").select("rid", "n", "frequent", "prefix", "further").join(F.broadcast(copies) if few(copies) else copies, "rid", "left_anti")
+    further = classes.select(F.col("rid").alias("c"), "n", "further")
+    postings = lambda c: classes.select(F.explode(c).alias("token"), F.col("rid").alias("c"), "n")
+    rare = postings("prefix").repartition("token").sortWithinPartitions("token").mapInArrow(trimming(_shared_runs), "token long, c long, n int")
+    runs = cut(rare.union(postings("frequent")), "runs")
 
     length = runs.groupBy("token").agg(F.count("*").alias("k"))
     long_tokens = cut(length.where(F.col("k") > SHORT), "long")
@@ -301,10 +349,10 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     shared = x.join(y, "token").where((F.col("a") < F.col("b")) & near(F.col("a_n"), F.col("b_n"))).groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("common"))
     shared = shared.join(extra.toDF("e_a", "a_more"), F.col("a") == F.col("e_a"), "left").join(extra.toDF("e_b", "b_more"), F.col("b") == F.col("e_b"), "left")
     most = F.col("common") + F.least(F.coalesce("a_more", F.lit(0)), F.coalesce("b_more", F.lit(0)))
-    pairs = cut(shared.where(most >= need(F.col("a_n"), F.col("b_n"))).select("a", "b"), "pairs")
+    pairs = cut(filtered(shared.where(most >= need(F.col("a_n"), F.col("b_n"))).select("a", "b"), further, percent), "pairs")
 
     members = pairs.select(F.col("a").alias("p")).union(pairs.select("b")).union(extra.select("c")).distinct()
-    sets = class_sets(own, leads.join(members, F.col("c") == F.col("p"), "left_semi"), width)
+    sets = class_sets(own, cut(leads.join(members, F.col("c") == F.col("p"), "left_semi"), "members"), width)
 
     # Longer runs: a hub and the others; u orders the classes, so that each pair is met once, from its hub of smaller u.
     u = lambda c: F.pmod(F.xxhash64(c, F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
@@ -322,7 +370,7 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
         room = F.least(F.col("more") - F.col("nth"), F.col("h_more") - F.col("h_nth")) + 1 >= need(F.col("n"), F.col("h_n"))
         met = hubs.join(open_, "token").where((F.col("comp") != F.col("h_comp")) & near(F.col("n"), F.col("h_n")) & room)
         met = met.where((u(F.col("c")) > u(F.col("h"))) | ((u(F.col("c")) == u(F.col("h"))) & (F.col("c") > F.col("h"))))
-        return met.select(F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")).distinct()
+        return filtered(met.select(F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")).distinct(), further, percent)
 
     high, labels, links = 1.5, None, pairs.limit(0)
     if longest:
@@ -376,3 +424,25 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("k_id", "k_hash").orderBy("k_id"))
     left = keyed(own.df).join(keys, (F.col("k_id") == F.col("g_id")) & (F.col("k_hash") == F.col("g_hash")))
     return own.shown(left.withColumn("g_nth", nth).where("g_nth <= copies"))
+
+
+#: The report: shingles met by an equi-join, components by a recursive closure.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS x FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(v, ' ') AS sh
+  FROM (SELECT doc_id, unnest(CASE WHEN len(x) = 0 THEN [] WHEN len(x) < 5 THEN [x] ELSE list_transform(range(1, len(x) - 3), lambda i: x[i:i + 4]) END) AS v FROM w)),
+d AS (SELECT doc_id, count(*) AS n, md5(string_agg(sh, chr(10) ORDER BY sh)) AS sig FROM s GROUP BY doc_id),
+k AS (SELECT sig, min(doc_id) AS c, min(n) AS n FROM d GROUP BY sig),
+t AS (SELECT c, n, sh FROM k JOIN s ON s.doc_id = k.c),
+p AS (
+  SELECT a.c AS a, b.c AS b FROM t a JOIN t b ON a.sh = b.sh AND a.c < b.c AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT c, c AS o FROM k UNION SELECT r.c, e.b FROM r JOIN e ON e.a = r.o),
+m AS (SELECT c, min(o) AS comp FROM r GROUP BY c),
+l AS (SELECT a, count(*) AS links FROM e GROUP BY a)
+SELECT w.doc_id, coalesce(d.n, 0) AS n_shingles, coalesce(m.comp, w.doc_id) AS component_id, coalesce(l.links, 0) AS n_class_links
+FROM w LEFT JOIN d ON d.doc_id = w.doc_id LEFT JOIN k ON k.sig = d.sig LEFT JOIN m ON m.c = k.c LEFT JOIN l ON l.a = k.c
+"""

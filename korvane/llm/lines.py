@@ -10,7 +10,7 @@ merged and removed. What is removed is always still there earlier, so one copy o
 everything remains.
 
 Every window's hash (96 bits) is counted by partial aggregation; only windows met twice
-go on. Their occurrences, found again through a bitmap of fixed size, join that table by
+go on. Their occurrences, found again through a bitmap, join that table by
 an equi-join that AQE may split, so a window with very many occurrences is no single
 task's work. Texts are rebuilt after one join by document.
 
@@ -30,14 +30,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from korvane.llm.common import Hidden, keyed, mix64, trimming
+from korvane.llm.common import Hidden, bitmap, has, keyed, mix64, trimming
 from korvane.llm.passages import passage_dedup
 from korvane.session import cut, pick
 
 #: Lines in a window; least words in a window.
 WINDOW, MIN_WORDS = 3, 8
-#: Bits of the bitmap of repeated windows (2 MB).
-BITMAP = 1 << 24
 _LINE = r"[^\n.!?]*[\n.!?][\n.!? \t\r]*|[^\n.!?]+"
 _ENDS = " \t\n\r\x0b\x0c"
 _Q = [np.uint64(q) for q in (1, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -69,13 +67,12 @@ def _occurrences(docs: DataFrame, least: int, wanted=None) -> DataFrame:
     """h, h2, k_id, k_hash, pos of all windows, or of those whose hash is in the bitmap."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = None if wanted is None else np.unpackbits(wanted.value).view(bool)
         for batch in batches:
             h, h2, pos, n = [], [], [], []
             for text in batch.column(2):
                 a, b, p = windows(split_lines(text.as_py() or ""), least)
-                if have is not None and len(a):
-                    some = have[a % np.uint64(BITMAP)]
+                if wanted is not None and len(a):
+                    some = has(wanted.value, a)
                     a, b, p = a[some], b[some], p[some]
                 h.append(a)
                 h2.append(b)
@@ -95,10 +92,7 @@ def covered(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     place = F.struct("k_id", "k_hash", "pos")
     seen = _occurrences(own, least).groupBy("h", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = cut(seen.where("first < last").select(F.col("h").alias("r_h"), F.col("h2").alias("r_h2"), "first"), "repeated")
-    buckets = repeated.select(F.pmod("r_h", F.lit(BITMAP)).cast("int").alias("at")).distinct().toArrow().column("at").to_numpy()  # BITMAP at most
-    bits = np.zeros(BITMAP, bool)
-    bits[buckets] = True
-    again = _occurrences(own, least, docs.sparkSession.sparkContext.broadcast(np.packbits(bits)))
+    again = _occurrences(own, least, docs.sparkSession.sparkContext.broadcast(bitmap(repeated, "r_h")))
     later = again.join(repeated, (F.col("h") == F.col("r_h")) & (F.col("h2") == F.col("r_h2"))).where(F.struct("k_id", "k_hash", "pos") > F.col("first"))
     starts = later.select("k_id", "k_hash", "pos").distinct()
     return starts.groupBy("k_id", "k_hash").agg(F.array_sort(F.collect_list("pos")).alias("starts"))

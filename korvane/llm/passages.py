@@ -8,7 +8,7 @@ it is one long sentence, part of one, or several.
 
 Not every window is dealt. A text's samples are the least hashes of KEEP consecutive
 runs of RUN words (winnowing); LEAST words hold KEEP such runs, and equal windows have
-equal samples. Only windows that hold a sample met twice (by a bitmap of fixed size)
+equal samples. Only windows that hold a sample met twice (by a bitmap)
 are compared, by 96 bits, so what is found is the same as if all were.
 
 Defined cases: null text stays null and texts under LEAST words stay; null doc_ids come
@@ -26,15 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from korvane.llm.common import WORD, Hidden, keyed, mix64, trimming
+from korvane.llm.common import WORD, Hidden, bitmap, has, keyed, mix64, trimming
 from korvane.llm.shingles import word_hashes
 from korvane.session import cut, pick
 
 #: Words in a run that is sampled; runs of which one is kept at least; words in a window.
 RUN, KEEP = 25, 26
 LEAST = RUN + KEEP - 1
-#: Bits of the bitmap of repeated samples (2 MB).
-BITMAP = 1 << 24
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _WORD = re.compile(WORD)
 
@@ -100,7 +98,6 @@ def _windows(docs: DataFrame, wanted) -> DataFrame:
     """h, h2, k_id, k_hash, pos of the windows that hold a sample in the bitmap."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = np.unpackbits(wanted.value).view(bool)
         for batch in batches:
             h, h2, pos, n = [], [], [], np.zeros(batch.num_rows, np.int64)
             for i, text in enumerate(batch.column(2)):
@@ -108,7 +105,7 @@ def _windows(docs: DataFrame, wanted) -> DataFrame:
                 if len(words) < LEAST:
                     continue
                 a, at = samples(words)
-                at = at[have[a % np.uint64(BITMAP)]]
+                at = at[has(wanted.value, a)]
                 if not len(at):
                     continue
                 size = len(words) - LEAST + 1
@@ -132,10 +129,8 @@ def covered(docs: DataFrame) -> DataFrame:
     own = keyed(pick(docs, "doc_id", "text"))
     met = own.select("k_id", "k_hash", "text").mapInArrow(trimming(_sampled), "h long, low long, high long")
     twice = met.groupBy("h").agg(F.min("low").alias("low"), F.max("low").alias("top"), F.max(F.col("low") != F.col("high")).alias("own")).where("low < top or own")
-    buckets = twice.select(F.pmod("h", F.lit(BITMAP)).cast("int").alias("at")).distinct().toArrow().column("at").to_numpy()  # BITMAP at most
-    bits = np.zeros(BITMAP, bool)
-    bits[buckets] = True
-    found = cut(_windows(own, docs.sparkSession.sparkContext.broadcast(np.packbits(bits))), "passages")
+    twice = cut(twice.select("h"), "repeated-samples")
+    found = cut(_windows(own, docs.sparkSession.sparkContext.broadcast(bitmap(twice, "h"))), "passages")
     place = F.struct("k_id", "k_hash", "pos")
     seen = found.groupBy("h", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = cut(seen.where("first < last").select(F.col("h").alias("r_h"), F.col("h2").alias("r_h2"), "first"), "repeated-passages")
