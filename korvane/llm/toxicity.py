@@ -1,17 +1,25 @@
 """Toxicity by a learned lexicon, matched by Levenshtein automata, with context windows.
 
-The lexicon comes from a bounded sample of labelled rows, near copies counted once: words
-(and word beginnings, for families of words) that toxic rows hold and clean rows hardly
-do. It forms a trie. The Levenshtein automata of all terms are intersected with the trie
+The lexicon comes from a bounded sample of labelled rows, near copies counted once: words,
+and beginnings of families of words, that toxic rows hold more often than chance can
+explain. A candidate is tested by the rows that hold it (Chernoff's bound of the binomial
+tail against the share of toxic rows, corrected for how many candidates could pass at
+all), and its weight is the lower bound of how much more frequent it is in toxic rows. Of
+nested candidates the one stays that says most by all its occurrences. Words that no clean
+row holds and that weigh SURE or more allow edits.
+
+The lexicon forms a trie. The Levenshtein automata of all terms are intersected with the trie
 by a subset construction that is made as words call for it: a state is a set of (node,
 edits) pairs, transitions are remembered, and most words leave the automaton after a few
 letters. So misspelled terms are caught at about the price of exact lookups. Words near a
 term that clean rows hold too are no misspellings and are spared.
 
-Each hit then gets the weight of its term, less for edits, and is put to one of two
-sides by a score of its window: quotation (quote marks around it, words of reporting) or
-abuse (none of that, words of address, further hits near by). A logistic regression over
-the sums for each side, held near prior weights, gives the score.
+Each hit then gets the weight of its term, less where clean rows hold the term too and the
+text is too long for so few hits (the log likelihood of its hits as Poisson draws), and is put to one of two sides by a score of
+its window: quotation (quote marks around it, words of reporting) or abuse (none of that,
+words of address, further hits near by). Words of both kinds are given ones and those that
+the windows of hits in clean and in toxic rows tell apart. A logistic regression over the
+sums for each side and the hits' share of the text, held near prior weights, gives the score.
 
 Defined cases: null and empty texts get the score of a text without hits; without
 labelled rows the lexicon is empty; rows are handled one by one, so ties and repeats need
@@ -23,28 +31,31 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from korvane.llm.common import Hidden, trim, trimming
 from korvane.llm.langid import held_out
 from korvane.llm.shingles import shingle_set
-from korvane.session import pick
-
-#: Labelled rows to learn from, about, at most; terms in the lexicon, at most.
-TRAIN_ROWS, TERMS = 20_000, 5_000
-#: Toxic rows that must hold a term; least share of toxic rows among those that hold it.
-SUPPORT, PRECISION = 4, 0.9
-#: Lengths of word beginnings; different words that must share one.
-STEMS, STEM_WORDS = (4, 5, 6), 4
+from korvane.session import cut, pick, release
+
+#: Labelled rows to learn from, about, at most; terms in the lexicon, at most (those surest first); words spared, at most.
+TRAIN_ROWS, TERMS, SPARED = 20_000, 5_000, 50_000
+#: Chance that any term is one by accident; least toxic rows that hold it; least log of how much more frequent it is in toxic rows, and that of full weight.
+ALPHA, SUPPORT, LIFT, FULL = 0.01, 5, 2.0, 5.0
+#: Lengths of word beginnings; the share of a beginning's evidence that a longer one must keep to stand for it.
+STEMS, SAME = (3, 4, 5, 6, 7, 8), 0.9
+#: Learned words of reporting and of address, of each at most.
+CONTEXT = 200
 #: Words on each side of a hit that its window has.
 AROUND = 8
-#: Edits that a term of this length or more allows.
-EDITS = ((9, 2), (5, 1))
+#: Edits that a term of this length or more allows, and the least weight of a term that allows any.
+EDITS, SURE = ((9, 2), (4, 1)), 0.5
 #: States and words that a worker remembers.
 CACHE = 100_000
 _TOKEN = re.compile(r"[^\W_]+(?:[@$*!'’][^\W_]+)*")
@@ -53,8 +64,8 @@ SIGNS = str.maketrans("013457@$!", "oieastasi")
 QUOTES = "\"“”„«»"
 REPORT = frozenset("said says saying quote quoted quotes quoting wrote writes written called calls reported reports term word words phrase slur insult insults means definition".split())
 ADDRESS = frozenset("you your you're youre u ur yourself are such stupid go shut".split())
-#: Prior weights: base, abuse, quotation, misspelled abuse, misspelled quotation; how firmly they are held.
-PRIOR, HOLD = np.array([-3.0, 6.0, 2.2, 3.6, 0.8]), 0.02
+#: Prior weights: base, abuse, quotation, misspelled abuse, misspelled quotation, hits' share of the words; how firmly they are held.
+PRIOR, HOLD = np.array([-4.0, 5.0, 1.8, 3.6, 0.8, 1.0]), 0.02
 
 
 def edits_of(term: str) -> int:
@@ -62,16 +73,17 @@ def edits_of(term: str) -> int:
 
 
 class Automaton:
-    """The union of the Levenshtein automata of the terms, run over their trie. Terms that end in * match words that begin so."""
+    """The union of the Levenshtein automata of the terms, run over their trie. Terms that end in * match words that begin so; those and the terms exact allow no edits."""
 
-    def __init__(self, weights: dict[str, float]):
+    def __init__(self, weights: dict[str, float], exact: frozenset[str] = frozenset()):
         self.weights = weights
+        self.edits = {t: 0 if t.endswith("*") or t in exact or w < SURE else edits_of(t) for t, w in weights.items()}
         self.next: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
         self.stem: list[str | None] = [None]
         self.most: list[int] = [0]  # edits that any term below a node allows
         for term in weights:
-            word, k, at = term.rstrip("*"), 0 if term.endswith("*") else edits_of(term), 0
+            word, k, at = term.rstrip("*"), self.edits[term], 0
             self.most[0] = max(self.most[0], k)
             for c in word:
                 if c not in self.next[at]:
@@ -148,7 +160,7 @@ class Automaton:
                     got = (x, 0)
                 else:
                     term = self.term[x[0]]
-                    if term is None or x[1] > edits_of(term):
+                    if term is None or x[1] > self.edits[term]:
                         continue
                     got = (term, x[1])
                 if best is None or (got[1], got[0]) < (best[1], best[0]):
@@ -158,14 +170,14 @@ class Automaton:
 
 
 class Model:
-    """The lexicon's automaton and the weights of the logistic regression."""
+    """The lexicon's automaton, the words of context and the weights of the logistic regression."""
 
-    def __init__(self, weights: dict[str, float], beta: np.ndarray = PRIOR, spared: frozenset[str] = frozenset()):
-        """spared: words near a term that are words of clean texts."""
-        self.automaton, self.beta, self.spared = Automaton(weights), beta, spared
+    def __init__(self, weights: dict[str, float], rates: dict[str, float] | None = None, beta: np.ndarray = PRIOR, spared: frozenset[str] = frozenset(), report: frozenset[str] = REPORT, address: frozenset[str] = ADDRESS):
+        """rates: how much more often a word of toxic texts than one of clean texts is the term; spared: words near a term that are words of clean texts."""
+        self.automaton, self.rates, self.beta, self.spared, self.report, self.address = Automaton(weights, frozenset(rates or ())), rates or {}, beta, spared, report, address
 
     def __reduce__(self):
-        return Model, (self.automaton.weights, self.beta, self.spared)
+        return Model, (self.automaton.weights, self.rates, self.beta, self.spared, self.report, self.address)
 
     def word(self, token: str) -> tuple[str, int] | None:
         if token in self.spared:
@@ -177,41 +189,50 @@ class Model:
             got = got and (got[0], got[1] + 1)
         return got
 
-    def hits(self, text: str) -> list[tuple[int, int, str, int, float]]:
-        """(start, end, term, edits, quotation between 0 and 1) of every hit."""
+    def near(self, text: str) -> tuple[int, list[tuple[int, int, str, int, str, str, list[str]]]]:
+        """The count of words, and (start, end, term, edits, text before, text after, words) of every hit and its window."""
         low = text.lower()
-        known = {t: h for t in set(_TOKEN.findall(low)) if (h := self.word(t))}
+        words = _TOKEN.findall(low)
+        known = {t: h for t in set(words) if (h := self.word(t))}
         if not known:
-            return []
+            return len(words), []
         if len(low) != len(text):  # a character whose lower case is longer: offsets are those of the lowered text
             text = low
         tokens = [(m.start(), m.end(), m[0]) for m in _TOKEN.finditer(low)]
-        at = [i for i, t in enumerate(tokens) if t[2] in known]
         out = []
-        for i in at:
-            a, b, token = tokens[i]
-            lo, hi = max(0, i - AROUND), min(len(tokens), i + AROUND + 1)
-            left, right = text[tokens[lo][0] : a], text[b : tokens[hi - 1][1] + 1]
-            near = [t[2] for t in tokens[lo:hi]]
+        for i, (a, b, token) in enumerate(tokens):
+            if token in known:
+                lo, hi = max(0, i - AROUND), min(len(tokens), i + AROUND + 1)
+                out.append((a, b, *known[token], text[tokens[lo][0] : a], text[b : tokens[hi - 1][1] + 1], words[lo:hi]))
+        return len(words), out
+
+    def hits(self, text: str) -> tuple[int, list[tuple[int, int, str, int, float]]]:
+        """The count of words, and (start, end, term, edits, quotation between 0 and 1) of every hit."""
+        n, found = self.near(text)
+        out = []
+        for a, b, term, edits, left, right, words in found:
             marks = any(q in left for q in QUOTES) and any(q in right for q in QUOTES)
-            quote = 1.6 * marks + 1.2 * sum(w in REPORT for w in near) - 0.8 * sum(w in ADDRESS for w in near) - 0.8 * (sum(w in known for w in near) - 1) - 0.8
-            term, edits = known[token]
+            others = sum(not (w in self.spared or self.word(w) is None) for w in words) - 1
+            quote = 1.6 * marks + 1.2 * sum(w in self.report for w in words) - 0.8 * sum(w in self.address for w in words) - 0.8 * others - 0.8
             out.append((a, b, term, edits, 1 / (1 + math.exp(-2 * quote))))
-        return out
+        return n, out
 
-    def features(self, hits: list[tuple[int, int, str, int, float]]) -> np.ndarray:
-        """1, then the weights of hits by side, exact and misspelled, each sum bent to stay below 2."""
-        f = np.zeros(5)
+    def features(self, n: int, hits: list[tuple[int, int, str, int, float]]) -> np.ndarray:
+        """1, the weights of hits by side, exact and misspelled, each sum bent to stay below 2, and all weights to 100 words."""
+        f = np.zeros(6)
         f[0] = 1
+        k = Counter(term for _, _, term, _, _ in hits)
         for _, _, term, edits, quote in hits:
             w = self.automaton.weights[term]
+            w *= max(0.0, 1 - n * self.rates.get(term, 0.0) / (k[term] * w * FULL))
             f[1 + 2 * (edits > 0)] += w * (1 - quote)
             f[2 + 2 * (edits > 0)] += w * quote
+            f[5] += w * 100 / max(n, 50)
         f[1:] = 2 * np.tanh(f[1:] / 2)
         return f
 
-    def score(self, hits: list[tuple[int, int, str, int, float]]) -> float:
-        return float(1 / (1 + np.exp(-self.features(hits) @ self.beta)))
+    def score(self, n: int, hits: list[tuple[int, int, str, int, float]]) -> float:
+        return float(1 / (1 + np.exp(-self.features(n, hits) @ self.beta)))
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -229,66 +250,145 @@ def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return beta
 
 
-def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> tuple[dict[str, float], frozenset[str]]:
-    """Terms and weights from labelled rows (text, toxic), and words near a term that clean rows hold as often."""
+def _distinct_rows(rows: DataFrame) -> DataFrame:
+    """text, toxic of labelled rows, one row of near copies of one label: those that share their least shingle of three words."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = [int(x[0]) - 2**63 if len(x := shingle_set(t.as_py(), 3)) else None for t in batch.column(0)]
+            yield pa.record_batch([pa.array(least, pa.int64()), batch.column(0), batch.column(1)], names=["sign", "text", "toxic"])
+
+    signed = rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(trimming(sign), "sign long, text string, toxic int")
+    return signed.where("sign is not null").groupBy("sign", "toxic").agg(F.max("text").alias("text")).select("text", "toxic")
+
+
+def _counted(rows: DataFrame, terms) -> DataFrame:
+    """term, t, c (toxic and clean rows that hold it), tn, cn (how often) of terms(text), a Counter; "" counts rows and words."""
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, often = (Counter(), Counter()), (Counter(), Counter())
         for batch in batches:
-            sign, words = [], []
-            for text in batch.column(0):
-                t = text.as_py() or ""
-                s = shingle_set(t, 3)
-                sign.append(int(s[0]) - 2**63 if len(s) else None)
-                words.append(sorted(set(_TOKEN.findall(t.lower()))))
-            yield pa.record_batch([pa.array(sign, pa.int64()), pa.array(words, pa.list_(pa.string())), batch.column(1)], names=["sign", "words", "toxic"])
-
-    # The least shingle is alike in near copies: one row for each.
-    one = rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(trimming(tokens), "sign long, words array<string>, toxic int").where("sign is not null")
-    one = one.groupBy("sign", "toxic").agg(F.max("words").alias("words"))
-    words = one.select(F.explode("words").alias("word"), "toxic").where("length(word) between 3 and 40").groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
-    words = words.where("t > 0 or c > 0").persist()
-    good = words.where((F.col("t") >= SUPPORT) & (F.col("t") >= PRECISION * (F.col("t") + F.col("c"))))
-    found = {r.word: (r.t, r.c) for r in good.orderBy(F.desc("t"), "word").limit(terms).collect()}
-    stems = words.where((F.length("word") > F.lit(STEMS[0])) & F.col("word").rlike("^\\p{L}+$"))
-    stems = stems.select("t", "c", F.explode(F.array(*[F.when(F.length("word") >= n, F.substring("word", 1, n)) for n in STEMS])).alias("stem")).where("stem is not null")
-    stems = stems.groupBy("stem").agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count_if(F.col("t") > 0).alias("words"))
-    stems = stems.where((F.col("t") >= 2 * SUPPORT) & (F.col("words") >= STEM_WORDS) & (F.col("t") >= 0.97 * (F.col("t") + F.col("c"))))
-    some = {r.stem: (r.t, r.c) for r in stems.orderBy(F.desc("t"), "stem").limit(terms).collect()}
-    for s in sorted(some, key=len):  # of nested beginnings the longest that says as much; it stands for its words too
-        longer = [x for x in some if x.startswith(s) and len(x) > len(s) and some[x][0] >= 0.9 * some[s][0]]
-        if not longer and not any(f"{s[:n]}*" in found for n in STEMS if n < len(s)):
-            found = {w: v for w, v in found.items() if not w.startswith(s)} | {s + "*": some[s]}
-    weights = {w: min(1.0, 0.25 * math.log((t + 0.5) / (c + 0.5))) for w, (t, c) in found.items()}
-    shared = rows.sparkSession.sparkContext.broadcast(Model(weights))
+            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                got = terms(text.as_py() or "")
+                held[toxic].update(got.keys())
+                often[toxic].update(got)
+        own = sorted(held[0].keys() | held[1].keys())
+        yield pa.record_batch([pa.array(own, pa.string()), *(pa.array([x[w] for w in own], pa.int64()) for x in (held[1], held[0], often[1], often[0]))], names=["term", "t", "c", "tn", "cn"])
+
+    got = rows.mapInArrow(trimming(count), "term string, t long, c long, tn long, cn long")
+    return got.groupBy("term").agg(*[F.sum(x).alias(x) for x in ("t", "c", "tn", "cn")])
+
+
+def _words(text: str) -> Counter:
+    """Words of a text, beginnings of words (marked by *), and "" for all words."""
+    words = Counter(_TOKEN.findall(text.lower()))
+    out = Counter({"": words.total()})
+    for w, n in words.items():
+        if len(w) >= STEMS[0]:
+            out[w] += n
+        if w.isalpha():
+            for k in STEMS:
+                if len(w) > k:
+                    out[w[:k] + "*"] += n
+    return out
+
+
+def _evidence(base: Column) -> Column:
+    """Chernoff's bound, as a negative log, of the chance of t of t + c rows or more where each is of a kind with the share base."""
+    n = F.col("t") + F.col("c")
+    p = F.col("t") / n
+    kl = F.when(p > 0, p * F.log(p / base)).otherwise(0.0) + F.when(p < 1, (1 - p) * F.log((1 - p) / (1 - base))).otherwise(0.0)
+    return F.when(p > base, n * kl).otherwise(0.0)
+
+
+def _significant(counts: DataFrame, base: float, alpha: float) -> DataFrame:
+    """counts with evidence, of those that chance explains with less than alpha among all that could pass; toxic rows have the share base."""
+    n = F.col("t") + F.col("c")
+    size = {r.n: r["count"] for r in counts.groupBy(F.least(n, F.lit(200)).alias("n")).count().collect()}  # 200 rows
+    # Candidates of so few rows that even all of one kind would be no evidence are not tried.
+    least = next((k for k in range(1, 201) if k * -math.log(base) >= math.log(max(1, sum(v for x, v in size.items() if x >= k)) / alpha)), 201)
+    tried = max(1, sum(v for x, v in size.items() if x >= least))
+    return counts.withColumn("evidence", _evidence(F.lit(base))).where((n >= least) & (F.col("evidence") >= math.log(tried / alpha)))
+
+
+def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> tuple[dict[str, float], dict[str, float], frozenset[str]]:
+    """Terms with weights and with rates from labelled rows (text, toxic), and words near a term that clean rows hold as often."""
+    counts = _counted(rows, _words).persist()
+    all_ = counts.where("term = ''").first()
+    if all_ is None or not all_.t or not all_.c:
+        counts.unpersist()
+        return {}, {}, frozenset()
+    own = counts.where("term <> ''")
+    lift = F.log((F.col("tn") + 0.5) / (F.col("cn") + 0.5) * F.lit(all_.cn / all_.tn)) - 1.64 * F.sqrt(1 / (F.col("tn") + 0.5) + 1 / (F.col("cn") + 0.5))
+    n, base = F.col("tn") + F.col("cn"), all_.tn / (all_.tn + all_.cn)
+    gain = F.col("tn") * F.log(F.col("tn") / n / base) + F.when(F.col("cn") > 0, F.col("cn") * F.log(F.col("cn") / n / (1 - base))).otherwise(0.0)
+    good = _significant(own, all_.t / (all_.t + all_.c), ALPHA).withColumns({"lift": lift, "gain": gain}).where((F.col("lift") >= LIFT) & (F.col("t") >= SUPPORT))
+    found = {r.term: r for r in good.orderBy(F.desc("evidence"), "term").limit(terms).collect()}
+    weights: dict[str, float] = {}
+    closed: set[str] = set()  # all that is nested with a chosen term
+    for term in sorted(found, key=lambda x: (-found[x].gain, x)):
+        if term in closed:
+            continue
+        stem = term.rstrip("*")
+        longer = [x for x in found if x not in closed and x.startswith(stem) and found[x].gain >= SAME * found[term].gain] if term.endswith("*") else [term]
+        best = max(longer, key=lambda x: (not x.endswith("*"), len(x), x))
+        weights[best] = min(1.0, found[best].lift / FULL)
+        stem, family = best.rstrip("*"), best.endswith("*")
+        closed |= {x for x in found if (family and x.startswith(stem)) or (x.endswith("*") and stem.startswith(x[:-1]))} | {best}
+    rates = {x: r.tn / all_.tn - r.cn / all_.cn for x in weights if (r := found[x]).c}
+    shared = rows.sparkSession.sparkContext.broadcast(Model(weights, rates))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = [(h := shared.value.word(w.as_py())) is not None and h[1] > 0 for w in batch.column(0)]
             yield batch.filter(pa.array(hit, pa.bool_()))
 
-    clean = words.where((F.col("c") > 0) & (F.col("t") <= F.col("c"))).select("word", "c").mapInArrow(trimming(near), "word string, c long")
-    spared = frozenset(r.word for r in clean.orderBy(F.desc("c"), "word").limit(10 * terms).collect())
-    words.unpersist()
-    return weights, spared
+    clean = own.where(~F.col("term").endswith("*") & (F.col("c") > 0) & (F.col("t") <= F.col("c"))).select("term", "c").mapInArrow(trimming(near), "term string, c long")
+    spared = frozenset(r.term for r in clean.orderBy(F.desc("c"), "term").limit(SPARED).collect())
+    counts.unpersist()
+    return weights, rates, spared
+
+
+def learn_context(rows: DataFrame, model: Model, most: int = CONTEXT) -> tuple[frozenset[str], frozenset[str]]:
+    """Words of reporting and of address: REPORT and ADDRESS, and words that the windows of one term hold in clean rows (or in toxic ones) more often than chance explains, given how often that term is in rows of either kind."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def around(text: str) -> Counter:
+        m = shared.value
+        return Counter({f"{term} {w}" for _, _, term, _, _, _, words in m.near(text)[1] for w in ["", *words] if not w or m.word(w) is None})
+
+    pair = _counted(rows, around).select(F.substring_index("term", " ", 1).alias("of"), F.substring_index("term", " ", -1).alias("word"), "t", "c").persist()
+    whole = pair.where("word = ''").select(F.col("of").alias("w_of"), F.col("t").alias("wt"), F.col("c").alias("wc")).where((F.col("wt") >= SUPPORT) & (F.col("wc") >= SUPPORT))
+    own = pair.where("word <> ''").join(F.broadcast(whole), F.col("of") == F.col("w_of")).where(F.col("t") + F.col("c") >= SUPPORT)  # a row a term at most
+    tried, out = max(1, own.count()), []
+    for kind, other, given in (("c", "t", REPORT), ("t", "c", ADDRESS)):
+        same = own.select("word", F.col(kind).alias("t"), F.col(other).alias("c"), (F.col("w" + kind) / (F.col("wt") + F.col("wc"))).alias("base"))
+        best = same.withColumn("evidence", _evidence(F.col("base"))).where(F.col("evidence") >= math.log(tried / ALPHA))
+        out.append(given | {r.word for r in best.groupBy("word").agg(F.max("evidence").alias("evidence")).orderBy(F.desc("evidence"), "word").limit(most).collect()})
+    pair.unpersist()
+    return tuple(out)
 
 
 def train(labelled: DataFrame, most: int = TRAIN_ROWS, seed: int = 5) -> Model:
     """A model from a sample of labelled rows (text, toxic, and a key to sample by): about `most` of them at most."""
     total = labelled.count()
     draw = F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1_000_000)) / 1e6
-    rows = labelled.where(draw < min(1.0, most / max(1, total))).select("text", "toxic")
-    weights, spared = learn_lexicon(rows)
-    prior = Model(weights, spared=spared)
+    rows = cut(_distinct_rows(labelled.where(draw < min(1.0, most / max(1, total)))), "labelled")
+    weights, rates, spared = learn_lexicon(rows)
+    report, address = learn_context(rows, Model(weights, rates, spared=spared))
+    prior = Model(weights, rates, PRIOR, spared, report, address)
     shared = rows.sparkSession.sparkContext.broadcast(prior)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            f = np.array([shared.value.features(shared.value.hits(t.as_py() or "")) for t in batch.column(0)]).reshape(-1, 5)
-            yield pa.record_batch([pa.array(f[:, i]) for i in range(1, 5)] + [batch.column(1)], names=["f1", "f2", "f3", "f4", "y"])
+            f = np.array([shared.value.features(*shared.value.hits(t.as_py() or "")) for t in batch.column(0)]).reshape(-1, len(PRIOR))
+            yield pa.record_batch([*(pa.array(f[:, i]) for i in range(1, len(PRIOR))), batch.column(1)], names=[*names, "y"])
 
-    got = rows.select("text", F.col("toxic").cast("double").alias("y")).mapInArrow(trimming(features), "f1 double, f2 double, f3 double, f4 double, y double").toArrow()  # `most` rows of numbers
-    x = np.column_stack([np.ones(got.num_rows), *(got.column(i).to_numpy() for i in range(4))])
-    return Model(weights, fit(x, got.column("y").to_numpy()), spared)
+    names = [f"f{i}" for i in range(1, len(PRIOR))]
+    got = rows.select("text", F.col("toxic").cast("double").alias("y")).mapInArrow(trimming(features), ", ".join(f"{x} double" for x in [*names, "y"])).toArrow()  # `most` rows of numbers
+    release(rows)
+    x = np.column_stack([np.ones(got.num_rows), *(got.column(n).to_numpy() for n in names)])
+    return Model(weights, rates, fit(x, got.column("y").to_numpy()), spared, report, address)
 
 
 def _scored(own: Hidden, model: Model, with_hits: bool) -> DataFrame:
@@ -299,11 +399,12 @@ def _scored(own: Hidden, model: Model, with_hits: bool) -> DataFrame:
     def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         for texts in batches:
-            hits = [m.hits(t.as_py()) if t.is_valid else [] for t in texts]
-            scores = pa.array([m.score(h) for h in hits], pa.float64())
+            got = [m.hits(t.as_py() or "") for t in texts]
+            scores = pa.array([m.score(*x) for x in got], pa.float64())
             if not with_hits:
                 yield scores
                 continue
+            hits = [h for _, h in got]
             flat = [x for h in hits for x in h]
             fields = [pa.array([x[i] for x in flat], kind) for i, kind in enumerate(kinds.values())]
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, hits)]), pa.int32()), pa.StructArray.from_arrays(fields, names=list(kinds)))
@@ -338,7 +439,11 @@ def sample_labels(labels: DataFrame, most: int, seed: int = 5) -> DataFrame:
 def trained(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
     """A model from documents and their labels, without the held-out rows."""
     own = pick(labels, "doc_id", "toxic").where(~held_out(F.col("doc_id"), 5, 0))
-    return train(labelled_rows(docs, sample_labels(own, most)).persist(), most)
+    rows = labelled_rows(docs, sample_labels(own, most)).persist()
+    try:
+        return train(rows, most)
+    finally:
+        rows.unpersist()
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -709,13 +709,71 @@ def test_toxicity_held_out_and_odd_rows(spark, odd, none):
     assert (got.loc[want.index, "predicted"] == want).all() and got["score"].between(0, 1).all()
     assert got.loc[1000, "predicted"] == 1 and got.loc[1001, "predicted"] == 0
     quoted = toxicity.trained(d, label)
-    abuse, said = (quoted.score(quoted.hits(t)) for t in ("you are an idiot", 'he said the word "idiot" is an insult and the phrase was quoted'))
+    abuse, said = (quoted.score(*quoted.hits(t)) for t in ("you are an idiot", 'he said the word "idiot" is an insult and the phrase was quoted'))
     assert said < abuse
     assert toxicity.toxicity_report(odd, label.limit(0)).count() == odd.count()
     assert toxicity.toxicity_report(none, label).count() == 0
     assert toxicity.drop_toxic(d, label).columns == d.columns
 
 
+def _slow_hits(model, text):
+    """(start, end, term, edits) of every hit by edit distances, without automata."""
+    weights, out = model.automaton.weights, []
+    for m in toxicity._TOKEN.finditer(text.lower()):
+        token, found = m[0], None
+        plain = token.translate(toxicity.SIGNS).replace("*", "").replace("'", "").replace("’", "")
+        for word, more in ((token, 0), *([] if token.isalpha() else [(plain, 1)])):
+            near = [(0, t) for t in weights if t.endswith("*") and word.startswith(t[:-1])]
+            near += [(e, t) for t in weights if not t.endswith("*") and (e := _levenshtein(word, t)) <= model.automaton.edits[t]]
+            if near and not found:
+                e, t = min(near)
+                found = (t, e + more)
+        if found and token not in model.spared:
+            out.append((*m.span(), *found))
+    return out
+
+
+def test_toxicity_hits_and_scores_equal_a_plain_search(spark):
+    weights = {"idiot": 1.0, "scum": 1.0, "worthless": 1.0, "bocado": 0.6, "lowei*": 0.7}
+    model = toxicity.Model(weights, {"bocado": 0.001}, spared=frozenset(["worthies"]))
+    rng = random.Random(12)
+    words = [*prose(rng, 40).split(), "idiot", "idi0t", "scam", "scum", "bocado", "bocada", "loweischaft", "lowe", "worthies", "w*rthless", "worthlss", '"idiot"', "said", "you"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 60))) for _ in range(200)] + ["", None, "İdiot İdiot idiot", "x" * 5000]
+    got = {r.i: r for r in toxicity.score_texts(spark.createDataFrame(list(enumerate(texts)), "i long, text string"), model).collect()}
+    for i, t in enumerate(texts):
+        if "İ" not in (t or ""):
+            assert [tuple(h)[:4] for h in got[i].hits] == _slow_hits(model, t or "")
+        n, k = len(toxicity._TOKEN.findall((t or "").lower())), Counter(h.term for h in got[i].hits)
+        f = [1.0, 0, 0, 0, 0, 0]
+        for h in got[i].hits:
+            w = weights[h.term] * max(0, 1 - n * model.rates.get(h.term, 0) / (k[h.term] * weights[h.term] * toxicity.FULL))
+            f[1 + 2 * (h.edits > 0)] += w * (1 - h.quotation)
+            f[2 + 2 * (h.edits > 0)] += w * h.quotation
+            f[5] += w * 100 / max(n, 50)
+        z = toxicity.PRIOR[0] + sum(b * 2 * np.tanh(x / 2) for b, x in zip(toxicity.PRIOR[1:], f[1:], strict=True))
+        assert got[i].score == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_toxicity_terms_are_significant_and_context_is_learned(spark):
+    rng = random.Random(13)
+    chance = [f"chance{i}" for i in range(3000)]
+    docs = []
+    for i in range(900):
+        toxic = i % 5 == 0
+        words = prose(rng, 40, 10**6).split() + rng.sample(chance, 10)
+        if toxic:
+            words[20:20] = ["thou", rng.choice(["vermin", "grubbish", "grubling", "grubber"])]
+        elif i % 5 == 1:
+            words[20:20] = ["dixit", "vermin"] if rng.random() < 0.3 else []
+        docs.append((" ".join(words), int(toxic)))
+    rows_ = spark.createDataFrame(docs, "text string, toxic int")
+    weights, rates, spared = toxicity.learn_lexicon(rows_)
+    assert "grub*" in weights and not any(w.startswith("chance") for w in weights) and not any(w.startswith("grub") for w in weights if w != "grub*")
+    report, address = toxicity.learn_context(rows_, toxicity.Model({"vermin": 1.0}))
+    assert "dixit" in report - toxicity.REPORT and "thou" in address - toxicity.ADDRESS and "thou" not in report
+    assert toxicity.learn_lexicon(rows_.limit(0)) == ({}, {}, frozenset())
+
+
 # ---- the pipeline
 
 
