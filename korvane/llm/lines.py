@@ -1,13 +1,13 @@
 """Line dedup over overlapping windows of three lines.
 
-A text is cut into lines: the stretches up to and with a run of line ends or sentence
-ends ([\\n.!?]) and the white space after it, since one physical line may hold a whole
-passage, and words must not run together where a line goes. Lines are compared
-without white space at their ends. Every three consecutive lines with at least MIN_WORDS
-words are a window (a text of one or two lines is one window). A window's first
-occurrence, by (doc_id, position), stays; the lines that its later occurrences cover are
-merged and removed. What is removed is always still there earlier, so one copy of
-everything remains.
+A text is cut into lines, since one physical line may hold a whole passage: a line ends
+at a line end, or at sentence marks (. ! ?) that white space follows, and has the white
+space (and marks alone) after that, so that words do not run together where a line goes.
+Marks within numbers, names and addresses end nothing. Lines are compared without white
+space at their ends. Every three consecutive lines with at least MIN_WORDS words are a window (a
+text of one or two lines is one window). A window's first occurrence, by (doc_id,
+position), stays; the lines that its later occurrences cover are merged and removed, also
+where they overlap the first: of a line that repeats on and on its first occurrence stays.
 
 Every window's hash (96 bits) is counted by partial aggregation; only windows met twice
 go on. Their occurrences, found again through a bitmap, join that table by
@@ -34,9 +34,9 @@ from korvane.llm.common import Hidden, bitmap, has, keyed, mix64, trimming
 from korvane.llm.passages import passage_dedup
 from korvane.session import cut, pick
 
-#: Lines in a window; least words in a window.
-WINDOW, MIN_WORDS = 3, 8
-_LINE = r"[^\n.!?]*[\n.!?][\n.!? \t\r]*|[^\n.!?]+"
+#: Lines in a window; least words in a window (1: all but windows of white space).
+WINDOW, MIN_WORDS = 3, 1
+_LINE = r"[^\n.!?]*(?:[.!?]+[^ \t\r\n.!?][^\n.!?]*)*(?:[.!?]+[ \t\r\n]|\n)(?:[.!?]*[ \t\r\n])*|[\s\S]+"
 _ENDS = " \t\n\r\x0b\x0c"
 _Q = [np.uint64(q) for q in (1, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -129,7 +129,7 @@ def line_dedup_report(docs: DataFrame) -> DataFrame:
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """docs without repeated windows that have any word, then without repeated passages (see passages); documents of which nothing but white space is left go, n_chars is counted anew."""
     own = Hidden(docs, "doc_id", "text")
-    got = passage_dedup(cut(line_dedup(own.df, 1), "lines"))
+    got = passage_dedup(cut(line_dedup(own.df), "lines"))
     same = (F.col("n_removed") == 0) & (F.col("n_cut") == 0)
     got = got.where(same | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
     if "n_chars" not in docs.columns:
@@ -140,7 +140,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 WITH u AS (
-  SELECT doc_id, text, coalesce(regexp_extract_all(text, '[^\n.!?]*[\n.!?][\n.!? \t\r]*|[^\n.!?]+'), []) AS x FROM documents),
+  SELECT doc_id, text, coalesce(regexp_extract_all(text, '[^\n.!?]*(?:[.!?]+[^ \t\r\n.!?][^\n.!?]*)*(?:[.!?]+[ \t\r\n]|\n)(?:[.!?]*[ \t\r\n])*|(?s:.)+'), []) AS x FROM documents),
 t AS (
   SELECT doc_id, text, x, len(x) AS n, list_transform(x, lambda s: trim(s, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS y FROM u),
 w AS (
@@ -149,7 +149,7 @@ k AS (
   SELECT doc_id, n, p, list_slice(y, p, least(p + 2, n)) AS win FROM w),
 f AS (
   SELECT doc_id, n, p, row_number() OVER (PARTITION BY win ORDER BY doc_id NULLS FIRST, p) AS nth FROM k
-  WHERE len(regexp_extract_all(array_to_string(win, ' '), '[^\x20\x09-\x0D]+')) >= 8),
+  WHERE len(regexp_extract_all(array_to_string(win, ' '), '[^\x20\x09-\x0D]+')) >= 1),
 g AS (
   SELECT DISTINCT doc_id, unnest(range(p, least(p + 3, n + 1))) AS i FROM f WHERE nth > 1),
 r AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id)
