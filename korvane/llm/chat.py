@@ -9,9 +9,12 @@ assistant texts among a window's own turns only, so repeated targets are masked
 and every assistant text is a target exactly once. A turn larger than the room gets a
 window of its own, whole.
 
+Tokens of a turn are what the caller counts (`tokens`, an expression over the turns, as a
+column that a tokeniser made); by default an estimate of one for four bytes.
+
 Template: <s>ROLE newline TEXT </s> per turn, joined without separators. In roles and
-texts & < [ are written &amp; &lt; &lsb;, so no control string can occur in them, and
-unescape() gives the text back.
+texts & < [ are written &amp; &lt; &lsb;, in roles line ends &nl;, so no control string can
+occur in them, and unescape() gives the text back.
 
 Defined cases: null text is empty; a null role is empty; rows are ordered by turn
 (null first), then role and text; a null conv_id is one conversation; rows that repeat
@@ -22,7 +25,7 @@ conversations that are alike share nothing and no key but conv_id is used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from korvane.session import pick
@@ -41,12 +44,21 @@ def escape(c: Column) -> Column:
 
 def unescape(c: Column) -> Column:
     c = F.replace(F.replace(c, F.lit("&lsb;"), F.lit("[")), F.lit("&lt;"), F.lit("<"))
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+    return F.replace(F.replace(c, F.lit("&nl;"), F.lit("\n")), F.lit("&amp;"), F.lit("&"))
+
+
+def escape_role(c: Column) -> Column:
+    return F.replace(escape(c), F.lit("\n"), F.lit("&nl;"))
+
+
+def estimated(text: Column) -> Column:
+    """Tokens of a text as a byte-pair vocabulary counts on average: one for four bytes."""
+    return F.ceil(F.octet_length(F.coalesce(text, F.lit(""))) / 4)
 
 
-def turn_tokens(text: Column) -> Column:
-    """Tokens of a turn, counted as a byte-pair vocabulary does on average: one for four bytes, and its marks."""
-    return F.ceil(F.octet_length(text) / 4).cast("long") + F.lit(MARKS)
+def _let(value: Column, body) -> Column:
+    """body of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _prefix(a: Column) -> Column:
@@ -55,21 +67,26 @@ def _prefix(a: Column) -> Column:
     return F.aggregate(a, zero, lambda s, x: F.struct((s["sum"] + x).alias("sum"), F.concat(s["all"], F.array(s["sum"] + x)).alias("all")))["all"]
 
 
-def format_chat(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+def format_chat(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens: Column | None = None) -> DataFrame:
     """A row per window: conv_id, window, formatted, repeated, targets.
 
+    tokens: the tokens of a turn's text, an expression over turns (default: estimated).
     repeated: how many turns at the front were shown before (for the first window 0).
     targets: (start, length) in characters of formatted, the loss mask.
     """
     none = F.lit("")
-    rows = pick(turns, "conv_id", "turn", "role", "text").select("conv_id", F.struct(F.col("turn"), F.coalesce("role", none).alias("role"), F.coalesce("text", none).alias("text")).alias("t"))
-    conv = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    conv = conv.withColumn("tokens", F.transform("turns", lambda t: turn_tokens(t["text"])))
-    conv = conv.withColumn("ends", _prefix(F.col("tokens")))
+    counted = turns if tokens is None else turns.withColumn("__tokens", tokens)
+    names = ["conv_id", "turn", "role", "text"] + ["__tokens"] * (tokens is not None)
+    rows = pick(counted, *names)
+    cost = (estimated(F.col("text")) if tokens is None else F.coalesce("__tokens", F.lit(0))).cast("long") + F.lit(MARKS)
+    rows = rows.select("conv_id", "turn", F.coalesce("role", none).alias("role"), F.coalesce("text", none).alias("text"), cost.alias("cost"))
+    # Prefix sums of the tokens; equal rows are told apart by them, so the array has the window's order.
+    so_far = Window.partitionBy("conv_id").orderBy("turn", "role", "text", "cost").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("end", F.sum("cost").over(so_far))
+    conv = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "end"))).alias("turns"))
     has_system = F.col("turns")[0]["role"] == "system"
-    conv = conv.withColumn("system", F.when(has_system, 1).otherwise(0))
-    room = F.greatest(F.lit(budget) - F.lit(history) - F.when(has_system, F.col("tokens")[0]).otherwise(0), F.lit(1))
-    conv = conv.withColumn("room", room)
+    room = F.greatest(F.lit(budget) - F.lit(history) - F.when(has_system, F.col("turns")[0]["end"]).otherwise(0), F.lit(1))
+    conv = conv.withColumns({"system": F.when(has_system, 1).otherwise(0), "room": room, "ends": F.transform("turns", lambda t: t["end"])})
 
     # Own turns of windows: a fold over the prefix sums; spans are (from, to), to not included, counted from 0.
     start = F.struct(F.lit(0).alias("first"), F.lit(0).cast("long").alias("base"), F.array().cast("array<struct<a:int,b:int>>").alias("spans"))
@@ -84,16 +101,18 @@ def format_chat(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY)
     fold = F.aggregate(F.sequence(F.lit(0), n - 1), start, step, lambda s: F.concat(s["spans"], F.array(F.struct(s["first"].alias("a"), n.alias("b")))))
     conv = conv.withColumn("spans", fold)
 
-    won = conv.select("conv_id", "turns", "ends", "system", F.posexplode("spans").alias("window", "span"))
-    a, b, head = F.col("span.a"), F.col("span.b"), F.when(F.col("window") > 0, F.col("system")).otherwise(0)
-    # History: the longest run of turns before the span within the history budget, by the prefix sums.
-    before = F.get("ends", a - 1)
-    fits = F.filter(F.sequence(F.lit(0), a), lambda k: (k >= F.col("system")) & ((k == a) | (before - F.when(k > 0, F.get("ends", k - 1)).otherwise(0) <= history)))
-    won = won.withColumn("from", F.when(F.col("window") == 0, a).otherwise(F.array_min(fits)))
-    won = won.withColumn("repeated", head + a - F.col("from"))
-    shown = F.concat(F.slice("turns", F.lit(1), head), F.slice("turns", F.col("from") + 1, b - F.col("from")))
-    won = won.select("conv_id", "window", "repeated", shown.alias("shown"))
-    won = won.withColumn("parts", F.transform("shown", lambda t: F.struct(F.concat(F.lit(OPEN), escape(t["role"]), F.lit("\n")).alias("head"), escape(t["text"]).alias("body"))))
+    def window(s: Column, i: Column) -> Column:
+        """Its turns alone: a row of a window does not carry the conversation."""
+        a, b, head = s["a"], s["b"], F.when(i > 0, F.col("system")).otherwise(0)
+        # History: the longest run of turns before the span within the history budget; each costs MARKS at least.
+        first = F.greatest(a - F.lit(history // MARKS + 1), F.least(a, F.col("system")))
+        before = F.get("ends", a - 1)
+        fits = F.filter(F.sequence(first, a), lambda k: (k == a) | (before - F.when(k > 0, F.get("ends", k - 1)).otherwise(0) <= history))
+        shown = lambda f: F.concat(F.slice("turns", F.lit(1), head), F.slice("turns", f + 1, b - f))
+        return _let(F.when(i == 0, a).otherwise(F.array_min(fits)), lambda f: F.struct((head + a - f).alias("repeated"), shown(f).alias("shown")))
+
+    won = conv.select("conv_id", F.posexplode(F.transform("spans", window)).alias("window", "w")).select("conv_id", "window", "w.repeated", "w.shown")
+    won = won.withColumn("parts", F.transform("shown", lambda t: F.struct(F.concat(F.lit(OPEN), escape_role(t["role"]), F.lit("\n")).alias("head"), escape(t["text"]).alias("body"))))
     ends = _prefix(F.transform("parts", lambda p: (F.length(p["head"]) + F.length(p["body"]) + len(CLOSE)).cast("long")))
     won = won.withColumn("stops", ends)
     target = F.transform(
@@ -136,6 +155,7 @@ def chat_report(turns: DataFrame) -> DataFrame:
 
 
 _ESC = "replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '[', '&lsb;')"
+_ROLE = f"replace({_ESC.format('role')}, chr(10), '&nl;')"
 #: The report over `conversations` and conversation -7.
 ORACLE = f"""
 WITH RECURSIVE c AS (
@@ -143,7 +163,7 @@ WITH RECURSIVE c AS (
   UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) AS x(conv_id, turn, role, text)),
 r AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS i, CAST(ceil(octet_length(encode(text)) / 4) AS BIGINT) + {MARKS} AS tok,
-    {len(OPEN) + len(CLOSE) + 1} + length({_ESC.format('role')}) + length({_ESC.format('text')}) AS chars FROM c),
+    {len(OPEN) + len(CLOSE) + 1} + length({_ROLE}) + length({_ESC.format('text')}) AS chars FROM c),
 p AS (
   SELECT *, sum(tok) OVER (PARTITION BY conv_id ORDER BY i) AS e, CASE WHEN first_value(role) OVER (PARTITION BY conv_id ORDER BY i) = 'system' THEN 1 ELSE 0 END AS sys,
     first_value(tok) OVER (PARTITION BY conv_id ORDER BY i) AS s_tok, first_value(chars) OVER (PARTITION BY conv_id ORDER BY i) AS s_chars FROM r),
