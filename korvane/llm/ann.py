@@ -8,15 +8,22 @@ scores codes by lookup tables of its inner products with all codewords,
 |x|^2 - 2 <q, x>, and the best RERANK per query get exact distances on the original
 vectors, of which the best k stay.
 
-Queries go in blocks and codes in chunks, both of bounded size and dealt by hash, so no
-side is broadcast and a frequent vector is spread over all chunks. All rows are indexed and
-scored: the index saves bytes and multiplications, and no cell or list is left out.
+The first codes (one; two from CELL_ROWS rows a codeword on) name a vector's cell. A query
+scores the cells whose partial sums are nearest to it, as many as hold TARGET of the true
+neighbours of queries of the sample; there neighbours are farther away than among all rows,
+so all rows need no more. probes="all" scores every cell, and rerank=None then gives exact
+distances to all rows: the exact way. How much is saved is up to the data: clustered
+vectors need a few cells, vectors without structure half of all or more.
+
+Queries of a cell go in blocks and its rows in parts, both of bounded size and dealt by
+hash, so no side is broadcast and a large cell or a frequent vector is spread over tasks.
+All rows are indexed.
 
 Defined cases: vectors that are null, zero, hold null or non-finite components, or have
-another length than most take no part; the query's own rows (equal vec_id) are no
-candidates; ties go to the smaller vec_id, in codes too, where equal vectors have equal
-scores; rows that repeat are candidates each; with fewer candidates than k all are given;
-an empty table gives no rows; other columns are ignored.
+another length than most take no part, and neither do rows without vec_id; the query's own
+rows (equal vec_id) are no candidates; ties go to the smaller vec_id, in codes too, where
+equal vectors have equal scores; rows that repeat are candidates each; with fewer candidates
+than k all that are found are given; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,15 +36,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from korvane.llm.common import trimming
 from korvane.session import cut, pick
 
-CODEBOOKS, CODEWORDS, BEAM = 32, 256, 2
+CODEBOOKS, CODEWORDS, BEAM = 32, 256, 4
 #: Rows of the training sample, about; rounds of k-means.
 TRAIN, ROUNDS = 8_000, 4
 #: Candidates that get exact distances; neighbours given.
 RERANK, K = 200, 10
-#: Queries in a block, rows in a chunk, chunks at most.
-QUERY_BLOCK, CHUNK, MOST_CHUNKS = 2048, 8192, 512
+#: Share of the sample's true neighbours that the probed cells must hold; queries of the sample to find that by; rows of a cell, on average, from which cells are of two codes.
+TARGET, TRIALS, CELL_ROWS = 0.95, 400, 1 << 16
+#: Queries in a block, rows in a part.
+QUERY_BLOCK, PART = 2048, 8192
 
 
 def usable(v: Column) -> Column:
@@ -89,15 +99,51 @@ def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarr
 
 
 def scores(tables: np.ndarray, codes: np.ndarray, norms: np.ndarray) -> np.ndarray:
-    """|x|^2 - 2 <q, x> of one query's tables (books, words) against codes (rows, books)."""
+    """|x|^2 - 2 <q, x> of one query's tables (books, words) against codes (books, rows)."""
     out = norms.copy()
-    for m in range(codes.shape[1]):
-        out -= 2 * tables[m][codes[:, m]]
+    for table, column in zip(-2 * tables, codes, strict=True):
+        out += table[column]
     return out
 
 
-def index(vectors: DataFrame, books: np.ndarray) -> DataFrame:
-    """vec_id, codes, norm of every row of vectors (vec_id, v)."""
+def cell_of(codes: np.ndarray, levels: int) -> np.ndarray:
+    """The cell that the first codes name."""
+    out = np.zeros(len(codes), np.int32)
+    for m in range(levels):
+        out = out * CODEWORDS + codes[:, m]
+    return out
+
+
+def centres(books: np.ndarray, levels: int) -> np.ndarray:
+    """The partial sums of all cells, in order."""
+    out = books[0]
+    for m in range(1, levels):
+        out = (out[:, None] + books[m][None]).reshape(-1, books.shape[2])
+    return out
+
+
+def far_from(q: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    return (centre * centre).sum(1) - 2 * (q @ centre.T)
+
+
+def probes_needed(sample: np.ndarray, books: np.ndarray, levels: int, k: int, target: float = TARGET, seed: int = 5) -> int:
+    """The least number of nearest cells that hold a share `target` of the k nearest neighbours, within the sample, of some of its vectors."""
+    at = np.random.default_rng(seed).permutation(len(sample))[:TRIALS]
+    q, centre = sample[at], centres(books, levels)
+    near = far_from(q, sample)
+    near[np.arange(len(at)), at] = np.inf
+    k = min(k, len(sample) - 1)
+    if k < 1:
+        return len(centre)
+    cells = cell_of(encode(sample, books[: levels + 3])[0], levels)
+    own = cells[np.argpartition(near, k - 1, axis=1)[:, :k]]
+    far = far_from(q, centre)
+    rank = (far[:, None, :] < np.take_along_axis(far, own, 1)[:, :, None]).sum(2) if len(centre) <= CODEWORDS else far.argsort(1).argsort(1)[np.arange(len(at))[:, None], own]
+    return int(np.sort(rank, axis=None)[min(rank.size - 1, int(np.ceil(target * rank.size)) - 1)]) + 1
+
+
+def index(vectors: DataFrame, books: np.ndarray, levels: int = 1) -> DataFrame:
+    """vec_id, cell, codes, norm of every row of vectors (vec_id, v)."""
     shared = vectors.sparkSession.sparkContext.broadcast(books)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,13 +152,34 @@ def index(vectors: DataFrame, books: np.ndarray) -> DataFrame:
                 part = batch.slice(lo, 1024)
                 x = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
                 codes, norms = encode(x, shared.value)
-                yield pa.record_batch([part.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms)], names=["vec_id", "codes", "norm"])
+                yield pa.record_batch([part.column(0), pa.array(cell_of(codes, levels)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms)], names=["vec_id", "cell", "codes", "norm"])
+
+    return vectors.select("vec_id", "v").mapInArrow(trimming(each), "vec_id long, cell int, codes binary, norm float")
+
+
+def _probed(queries: DataFrame, books, levels: int, probes: int) -> DataFrame:
+    """vec_id, v, cell of queries (vec_id, v) and their nearest cells."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre = centres(books.value, levels)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                far = far_from(part.column(1).flatten().to_numpy().reshape(part.num_rows, -1).astype(np.float32), centre)
+                chosen = far <= np.partition(far, probes - 1, axis=1)[:, [probes - 1]]  # cells as near as the last of them too
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(chosen.sum(1))), pa.int32()), pa.array(np.nonzero(chosen)[1].astype(np.int32)))
+                yield pa.record_batch([part.column(0), part.column(1), lists], names=["vec_id", "v", "cells"])
+
+    got = queries.select("vec_id", "v").mapInArrow(trimming(each), "vec_id long, v array<double>, cells array<int>")
+    return got.select("vec_id", "v", F.explode("cells").alias("cell"))
 
-    return vectors.select("vec_id", "v").mapInArrow(each, "vec_id long, codes binary, norm float")
 
+def search(vectors: DataFrame, is_query: Column, k: int = K, rerank: int | None = RERANK, train: int = TRAIN, probes: int | str | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest found of every row of vectors (vec_id, embedding) that is a query.
 
-def search(vectors: DataFrame, is_query: Column, k: int = K, rerank: int = RERANK, train: int = TRAIN) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found of every row of vectors (vec_id, embedding) that is a query."""
+    probes: cells that a query scores (None: as many as the sample needs; "all": every one). rerank: candidates that
+    get exact distances (None: all that were scored).
+    """
     spark = vectors.sparkSession
     own = pick(vectors, "vec_id", "embedding").withColumn("v", F.col("embedding").cast("array<double>")).where(usable(F.col("v")) & F.col("vec_id").isNotNull()).select("vec_id", "v")
     sizes = own.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
@@ -122,18 +189,24 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, rerank: int = RERAN
     own = own.where(F.size("v") == d)
     draw = F.pmod(F.xxhash64("vec_id", F.lit(17)), F.lit(1_000_000)) / 1e6
     got = own.where(draw < min(1.0, train / n)) if n > train else own
-    sample = got.select("v").toArrow().column("v").combine_chunks().flatten().to_numpy().reshape(-1, d)  # about `train` rows
+    sample = got.select("v").toArrow().column("v").combine_chunks().flatten().to_numpy().reshape(-1, d).astype(np.float32)  # about `train` rows
     books = fit(sample) if len(sample) else np.zeros((CODEBOOKS, CODEWORDS, d), np.float32)
+    levels = 1 if n <= CELL_ROWS * CODEWORDS else 2
+    cells = CODEWORDS**levels
+    if probes is None:
+        probes = probes_needed(sample, books, levels, k)
+    probes = cells if probes == "all" else min(probes, cells)
 
-    codes = index(own, books)
-    queries = own.where(is_query)
-    blocks = -(-queries.count() // QUERY_BLOCK)
-    chunks = min(MOST_CHUNKS, -(-n // CHUNK))
-    bucket = lambda c, m, seed: F.pmod(F.xxhash64(c, F.lit(seed)), F.lit(m)).cast("int")
-    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(max(m, 1) - 1)))
-    left = queries.select("vec_id", "v", bucket("vec_id", max(blocks, 1), 1).alias("block"), every(chunks).alias("chunk"))
-    right = codes.select("vec_id", "codes", "norm", bucket("vec_id", chunks, 2).alias("chunk"), every(blocks).alias("block"))
     shared = spark.sparkContext.broadcast(books)
+    codes = cut(index(own, books, levels), "codes")
+    asked = _probed(own.where(is_query), shared, levels, probes)
+    rows = codes.groupBy(F.col("cell").alias("s_cell")).agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    blocks = asked.groupBy(F.col("cell").alias("b_cell")).agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
+    dealt = F.broadcast(cut(rows.join(blocks, F.col("s_cell") == F.col("b_cell")).select("s_cell", "parts", "blocks"), "cells"))  # 65,536 rows at most
+    bucket = lambda m, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.col(m)).cast("int")
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
+    left = asked.join(dealt, F.col("cell") == F.col("s_cell")).select("cell", "vec_id", "v", bucket("blocks", 1).alias("block"), every("parts").alias("part"))
+    right = codes.join(dealt, F.col("cell") == F.col("s_cell")).select("cell", "vec_id", "codes", "norm", bucket("parts", 2).alias("part"), every("blocks").alias("block"))
 
     def best(qs: pd.DataFrame, xs: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "c_id": pd.Series(dtype="int64"), "near": pd.Series(dtype="float32")})
@@ -141,12 +214,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, rerank: int = RERAN
             return none
         xs = xs.sort_values("vec_id", kind="stable")  # equal scores then stay in the order of ids
         ids, norms = xs["vec_id"].to_numpy(), xs["norm"].to_numpy(np.float32)
-        code = np.frombuffer(b"".join(xs["codes"]), np.uint8).reshape(len(xs), -1)
+        code = np.ascontiguousarray(np.frombuffer(b"".join(xs["codes"]), np.uint8).reshape(len(xs), -1).T)
         out = []
         for qid, v in zip(qs["vec_id"].tolist(), qs["v"], strict=True):
             s = scores(shared.value @ np.asarray(v, np.float32), code, norms)
             s[ids == qid] = np.inf
-            m = min(rerank, len(s))
+            m = min(rerank or len(s), len(s))
             edge = np.partition(s, m - 1)[m - 1]
             under = np.flatnonzero(s < edge)
             at = np.concatenate([under, np.flatnonzero(s == edge)[: m - len(under)]])
@@ -154,9 +227,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, rerank: int = RERAN
             out.append(pd.DataFrame({"query_id": qid, "c_id": ids[at], "near": s[at]}))
         return pd.concat(out)
 
-    found = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInPandas(best, "query_id long, c_id long, near float")
-    near = Window.partitionBy("query_id").orderBy("near", "c_id")
-    found = found.withColumn("nth", F.row_number().over(near)).where(F.col("nth") <= rerank).select("query_id", "c_id")
+    by = ("cell", "part", "block")
+    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(best, "query_id long, c_id long, near float")
+    if rerank:
+        near = Window.partitionBy("query_id").orderBy("near", "c_id")
+        found = found.withColumn("nth", F.row_number().over(near)).where(F.col("nth") <= rerank)
     found = cut(found.groupBy("query_id", "c_id").agg(F.count("*").alias("copies")), "candidates")
     q = own.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")).toDF("q_id", "q")
     x = own.toDF("x_id", "x")

@@ -194,6 +194,34 @@ def test_ann_recall_of_a_larger_table(spark):
     assert len(got) == len(want) and len(got & want) >= 0.9 * len(want)
 
 
+def test_ann_scores_few_cells_of_clustered_vectors_and_all_when_asked(spark):
+    rng = np.random.default_rng(6)
+    x = (rng.normal(size=(60, 24))[rng.integers(0, 60, 3000)] * 4 + rng.normal(size=(3000, 24))).astype(np.float32)
+    books = ann.fit(x[:2000])
+    assert ann.probes_needed(x[:2000], books, 1, 10) < 64
+    df = spark.createDataFrame([(i, [float(a) for a in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    want = [(i, r + 1, j) for i in range(0, 3000, 150) for r, (_, j) in enumerate(sorted((float(np.linalg.norm(x[i].astype(float) - w)), j) for j, w in enumerate(x.astype(float)) if j != i)[:10])]
+    got = [(r.query_id, r.rank, r.vec_id) for r in ann.search(df, F.col("vec_id") % 150 == 0).collect()]
+    assert len({(a, c) for a, _, c in got} & {(a, c) for a, _, c in want}) >= 0.9 * len(want)
+    exact = ann.search(df, F.col("vec_id") % 150 == 0, rerank=None, probes="all").collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in exact) == want
+
+
+def test_ann_cells_of_two_codes_and_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(ann, "CELL_ROWS", 2)
+    monkeypatch.setattr(ann, "PART", 5)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 3)
+    rng = np.random.default_rng(7)
+    x = np.vstack([rng.normal(size=(900, 8)), np.tile(rng.normal(size=(1, 8)), (100, 1))]).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(a) for a in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    got = defaultdict(list)
+    for r in ann.search(df, F.col("vec_id") % 50 == 0).orderBy("rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got[950] == [i for i in range(900, 911) if i != 950][:10]
+    want = {i: [j for _, j in sorted((float(np.linalg.norm(x[i].astype(float) - w)), j) for j, w in enumerate(x.astype(float)) if j != i)[:10]] for i in range(0, 1000, 50)}
+    assert sum(len(set(got[i]) & set(want[i])) for i in want) >= 0.9 * 200
+
+
 def test_ann_odd_vectors_and_ties(spark):
     bad = [(1, None), (2, [0.0, 0.0]), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [1.0]), (7, [])]
     good = [(10 + i, [1.0, 0.0]) for i in range(400)] + [(0, [1.0, 0.0]), (900, [0.0, 1.0]), (900, [0.0, 1.0])]
@@ -381,12 +409,33 @@ def test_line_dedup_brute(spark, odd, none):
     got = lines.line_dedup(spark.createDataFrame(docs, "doc_id long, text string"))
     assert Counter((r.doc_id, r.text) for r in got.collect()) == _lines_brute(docs)
     rest = [(r.doc_id, r.text) for r in odd.collect()]
-    assert Counter((r.doc_id, r.text) for r in lines.line_dedup(odd).collect() if r.doc_id is not None) == Counter({k: v for k, v in _lines_brute(rest).items() if k[0] is not None})
+    assert Counter((r.doc_id, r.text) for r in lines.line_dedup(odd).collect()) == _lines_brute(rest)
     assert lines.line_dedup(odd).columns == [*odd.columns, "n_lines", "n_removed"]
     assert lines.line_dedup(none).count() == 0
     assert lines.drop_repeated_lines(odd).columns == odd.columns
 
 
+def test_lines_end_at_marks_before_white_space_only(spark):
+    text = "Pi is 3.14 and see www.site.org/a.html now. Next! Ok?\n\n... so\n"
+    assert lines.split_lines(text) == ["Pi is 3.14 and see www.site.org/a.html now. ", "Next! ", "Ok?\n\n... ", "so\n"]
+    rng = random.Random(2)
+    for _ in range(2000):
+        t = "".join(rng.choice("ab.!?\n \t") for _ in range(rng.randint(0, 30)))
+        got, want, now, i = lines.split_lines(t), [], "", 0
+        while i < len(t):  # by the rule, a character at a time
+            now += t[i]
+            i += 1
+            if t[i - 1] == "\n" or (t[i - 1] in " \t" and len(now) > 1 and now[-2] in ".!?"):
+                while m := re.match(r"[.!?]*[ \t\n]", t[i:]):
+                    now += m[0]
+                    i += len(m[0])
+                want.append(now)
+                now = ""
+        assert got == want + [now] * bool(now), t
+    over = spark.createDataFrame([(1, "same line\n" * 5 + "other line\n")], "doc_id long, text string")
+    assert lines.line_dedup(over).first().text == "same line\nother line\n"
+
+
 def test_repeated_passage_on_one_line_goes(spark):
     rng = random.Random(4)
     passage = " ".join(prose(rng, 14, 10**6) + "." for _ in range(5))
@@ -457,7 +506,8 @@ def test_chat_reads_back(spark):
     for c in range(30):
         roles = (["system"] if c % 2 else []) + ["user", "assistant"] * rng.randint(1, 12)
         turns += [(c, i, r, rng.choice([*nasty, prose(rng, rng.randint(1, 200))])) for i, r in enumerate(roles)]
-    turns += [(50, 0, "system", "only"), (51, 3, None, None), (None, 0, "assistant", "no id")]
+    turns += [(50, 0, "system", "only"), (51, 3, None, None), (None, 0, "assistant", "no id"), (52, 0, "user\n&nl;<s>", "a"), (52, 1, "assistant", "b")]
+    turns += [(53, 0, "user", "again")] * 3 + [(54, i, "user" if i % 2 else "assistant", f"turn {i}") for i in range(3000)]
     df = _chat(spark, turns)
     got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.chat_report(df).collect()}
     by = defaultdict(list)
@@ -476,6 +526,20 @@ def test_chat_windows_keep_the_budget_and_the_system_turn(spark):
     assert all(tokens(w) <= chat.BUDGET for w in won)
 
 
+def test_chat_counts_the_tokens_it_is_given_and_ignores_other_columns(spark, ranks):
+    import public_tokenizers
+
+    known, rng = _tiktoken(ranks), random.Random(8)
+    turns = [(c, i, "user" if i % 2 else "assistant", prose(rng, rng.randint(1, 90))) for c in range(4) for i in range(30)]
+    own = _chat(spark, turns).withColumns({"cost": F.lit(1), "end": F.lit(1), "turns": F.lit(1)})
+    ids = bpe.digests(own.select(F.hash("conv_id", "turn").cast("long").alias("doc_id"), "text"), ranks, public_tokenizers.PATTERN).select(F.col("doc_id").alias("d"), "n_tokens")
+    counted = own.join(ids, F.hash("conv_id", "turn").cast("long") == F.col("d"))
+    won = chat.read_back(chat.format_chat(counted.select("*", F.lit("x").alias("Text")), 300, 60, F.col("n_tokens"))).collect()
+    cost = lambda w: sum(len(known.encode_ordinary(p[p.index("\n") + 1 : -4])) + chat.MARKS for p in w.formatted.split("<s>")[1:])
+    assert all(cost(w) <= 300 or len(w.turns) == 1 for w in won) and max(map(cost, won)) > 200
+    assert Counter((t.role, t.text) for w in won for t in w.turns) == Counter((r, t) for _, _, r, t in turns)
+
+
 def test_chat_runs_no_python(spark, sf):
     plan = q.op7_chat_format(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -774,6 +838,63 @@ def test_toxicity_terms_are_significant_and_context_is_learned(spark):
     assert toxicity.learn_lexicon(rows_.limit(0)) == ({}, {}, frozenset())
 
 
+# ---- foreign columns
+
+CLASH = ["Text", "DOC_ID", "k_id", "k_hash", "copy", "c_id", "score", "masked", "hits", "spans", "private", "lang_pred", "n_lines", "n_cut", "o_0", "m_row", "shard", "toxic", "a.b"]
+
+
+@pytest.fixture(scope="module")
+def clash(spark):
+    rng = random.Random(14)
+    texts = [prose(rng, 30) + ". " + prose(rng, 20) for _ in range(5)] + ["a b c d e f g h. i j k.", "a b c d e f g h. i j k.", None, "call 4111111111111111 you idiot"]
+    made = [(i, t, "en", f"s{i % 2}", len(t or ""), *(f"{c}-{i}" for c in CLASH)) for i, t in enumerate(texts)]
+    plain = spark.createDataFrame([r[:5] for r in made], "doc_id long, text string, lang string, source string, n_chars long").persist()
+    rows_ = spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"x{i} string" for i in range(len(CLASH))))
+    return plain, rows_.toDF(*plain.columns, *CLASH)
+
+
+def _labels(spark):
+    return spark.createDataFrame([(i, 1, int(i == 8), "x") for i in range(9)], "doc_id long, quality int, toxic int, hits string")
+
+
+KEEPERS = {
+    "line_dedup": lambda s, d: lines.line_dedup(d),
+    "passage_dedup": lambda s, d: passages.passage_dedup(d),
+    "drop_repeated_lines": lambda s, d: lines.drop_repeated_lines(d),
+    "drop_near_copies": lambda s, d: jaccard.drop_near_copies(d),
+    "mix_documents": lambda s, d: mixing.mix_documents(d),
+    "pseudonymise": lambda s, d: pii.pseudonymise(d, KEY),
+    "identify": lambda s, d: langid.identify(d, _language_model(SAID)),
+    "score_texts": lambda s, d: toxicity.score_texts(d, toxicity.Model({"idiot": 1.0})),
+    "drop_toxic": lambda s, d: toxicity.drop_toxic(d, _labels(s)),
+}
+
+
+@pytest.mark.parametrize("name", KEEPERS)
+def test_foreign_columns_keep_their_values(spark, clash, name):
+    plain, docs = clash
+    got, want = KEEPERS[name](spark, docs), KEEPERS[name](spark, plain)
+    added = [c for c in want.columns if c not in plain.columns]
+    assert got.columns[: len(docs.columns)] == docs.columns and len(got.columns) == len(docs.columns) + len(added)
+    assert len({c.lower() for c in got.columns[len(docs.columns) :]} | {c.lower() for c in docs.columns}) == len(got.columns) - 2  # Text, DOC_ID
+    n = len(plain.columns)
+    rows_ = [tuple(r) for r in got.toDF(*[f"z{i}" for i in range(len(got.columns))]).collect()]
+    assert rows_ and all(r[n : n + len(CLASH)] == tuple(f"{c}-{r[0]}" for c in CLASH) for r in rows_)
+    assert Counter(map(str, (r[:n] + r[n + len(CLASH) :] for r in rows_))) == Counter(str(tuple(r)) for r in want.collect())
+
+
+@pytest.mark.parametrize("name", ["mix_report", "digests", "jaccard_report", "exact_dedup", "line_dedup_report", "pii_report", "language_report", "toxicity_report"])
+def test_reports_ignore_foreign_columns(spark, clash, ranks, name):
+    import public_tokenizers
+
+    run = {
+        "mix_report": mixing.mix_report, "digests": lambda d: bpe.digests(d, ranks, public_tokenizers.PATTERN), "jaccard_report": jaccard.jaccard_report, "exact_dedup": dedup.exact_dedup,
+        "line_dedup_report": lines.line_dedup_report, "pii_report": lambda d: pii.pii_report(d, KEY), "language_report": langid.language_report, "toxicity_report": lambda d: toxicity.toxicity_report(d, _labels(spark)),
+    }[name]
+    plain, docs = clash
+    assert rows(run(docs).toPandas()) == rows(run(plain).toPandas())
+
+
 # ---- the pipeline
 
 
@@ -809,3 +930,19 @@ def test_rank_file_is_read_as_published():
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         a, b = f.readline().split()
     assert bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))[base64.b64decode(a)] == int(b)
+
+
+def test_pipeline_of_odd_rows_and_of_none(spark, odd, tmp_path, ranks):
+    import corpus_pipeline as p
+
+    spark.createDataFrame([(0, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for docs in (odd, odd.limit(0)):
+        at = docs
+        for name, stage in p.STAGES:
+            at = q_cut(stage(spark, at, str(tmp_path)), name)
+            assert name == "bpe" or at.columns == docs.columns
+            if docs is not odd:
+                assert at.count() == 0
+        if docs is odd:
+            known = _tiktoken(ranks)
+            assert at.count() and all(r.n_tokens == len(r.ids) and known.decode_bytes(r.ids) for r in at.collect())
