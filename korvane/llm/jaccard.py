@@ -21,7 +21,7 @@ Jaccard similarity is at least THRESHOLD per cent. Steps:
    Longer runs need only give the pairs that share no token of a short run, so both sides
    must have enough tokens of long runs, from the one they meet under onwards. They are resolved in rounds: a few hubs a run (by
    a hash of the class) meet the others, verified links merge components, and only pairs
-   of different components go to the next round with four times the hubs, until a run is
+   of different components go to the next round with MORE times the hubs, until a run is
    in one component or all its pairs are done. No link between components is lost.
 5. A candidate must also share enough prefix tokens under orders 2 and 3: those prefixes
    alone are joined to the pairs. Only of pairs that pass all orders, sets are moved and the
@@ -55,8 +55,8 @@ from korvane.session import cut, few, pick, scratch
 WIDTH, THRESHOLD = 5, 75
 #: Most tokens ranked by frequency (16 bytes each); documents and shingles in a counting block.
 HOT_MAX, BLOCK_DOCS, BLOCK_TOKENS = 1 << 20, 4000, 1 << 22
-#: Classes in a run that gives all its pairs.
-SHORT = 32
+#: Classes in a run that gives all its pairs; how many times the hubs a round has more than the one before.
+SHORT, MORE = 32, 8
 #: Classes, and tokens of their sets, in a block of a component (about).
 SIDE, SIDE_TOKENS = 256, 1 << 20
 #: Tokens in a piece of a block's 0/1 matrix.
@@ -358,11 +358,14 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     u = lambda c: F.pmod(F.xxhash64(c, F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
     longest = in_long.agg(F.max("k")).first()[0] or 0
 
-    def hub_pairs(low: float, high: float, labels: DataFrame | None) -> DataFrame:
+    def hub_pairs(low: float, high: float, labels: DataFrame | None) -> DataFrame | None:
+        """Pairs of hubs and others of different components; None if no run has such any more."""
         open_ = in_long.withColumn("comp", F.col("c"))
         if labels is not None:
             open_ = in_long.join(labels, F.col("c") == F.col("id"), "left").withColumn("comp", F.coalesce("comp", "c"))
             mixed = cut(open_.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token"), "mixed")
+            if mixed.isEmpty():
+                return None
             open_ = cut(open_.select("token", "c", "n", "k", "more", "nth", "comp").join(mixed, "token"), "open-runs")
         hubs = open_.where((u(F.col("c")) >= F.lit(low) / F.col("k")) & (u(F.col("c")) < F.lit(high) / F.col("k")))
         hubs = hubs.select("token", F.col("c").alias("h"), F.col("n").alias("h_n"), F.col("more").alias("h_more"), F.col("nth").alias("h_nth"), F.col("comp").alias("h_comp"))
@@ -381,8 +384,11 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
             labels = components(links)
         if high >= longest:
             break
-        low, high = high, high * 4
-        pairs = cut(hub_pairs(low, high, labels), "pairs")
+        low, high = high, high * MORE
+        pairs = hub_pairs(low, high, labels)
+        if pairs is None:
+            break
+        pairs = cut(pairs, "pairs")
     if labels is None:
         labels = links.select(F.col("a").alias("id"), F.col("a").alias("comp"))
 
