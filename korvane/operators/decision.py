@@ -39,23 +39,45 @@ def grid(spark, low: float, high: float, steps: int) -> DataFrame:
     return spark.range(steps).select(F.col("id").cast("int").alias("i"), (F.lit(low) + F.col("id") * F.lit((high - low) / (steps - 1))).alias("t"))
 
 
+def _held(scored: DataFrame, fixed: float, which: str) -> DataFrame:
+    """s1_id, cand_id, low, high: the pairs that are matches for thresholds above low (null: any) up to high, and for no others.
+
+    A candidate's rows come in claim order. Where the match threshold varies, a row wins once all rows before it
+    fall below; where the singleton threshold does, the first row wins as long as its record passes at all.
+    """
+    rows = scored.withColumn("best", F.max("score").over(Window.partitionBy("s1_id")))
+    order = Window.partitionBy("cand_id").orderBy(F.desc("best"), "s1_pos")
+    if which == "match":
+        rows = rows.where(F.col("best") >= fixed).withColumn("low", F.max("score").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+        return rows.where(F.col("low").isNull() | (F.col("score") > F.col("low"))).select("s1_id", "cand_id", "low", F.col("score").alias("high"))
+    rows = rows.where(F.col("score") >= fixed).withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    return rows.select("s1_id", "cand_id", F.lit(None).cast("double").alias("low"), F.col("best").alias("high"))
+
+
 def threshold_scores(scored: DataFrame, truth: DataFrame, thresholds: DataFrame, fixed: float, which: str = "match") -> DataFrame:
-    """i, t, macro_f05 of every threshold. truth: s1_id, matches. which: the threshold that varies; fixed: the other one.
+    """i, t, macro_f05 of every threshold, ascending by i from 0. truth: s1_id, matches. which: the threshold that varies; fixed: the other one.
 
-    The grid has a few dozen rows and is broadcast; a score's copies are filtered before any shuffle.
+    No row is copied for each threshold: a match counts from one grid point up to another, so a record's predictions
+    change at the ends of its matches only, and its score is added to the grid as the steps that it takes there.
     """
-    copies = scored.join(F.broadcast(thresholds), F.col("score") >= (F.col("t") if which == "match" else F.lit(fixed)))
-    # A record's best score does not depend on the filter as long as any of its rows passes.
-    pair = (F.col("t"), F.lit(fixed)) if which == "match" else (F.lit(fixed), F.col("t"))
-    got = _claims(copies, *pair, ["i", "t"])
+    points = [r.t for r in thresholds.orderBy("i").collect()]  # some dozens
+    below = lambda x: F.size(F.filter(F.array(*map(F.lit, points)), lambda t: t <= x))
+    held = _held(scored, fixed, which).select("s1_id", "cand_id", F.when(F.col("low").isNull(), 0).otherwise(below(F.col("low"))).alias("from"), below(F.col("high")).alias("to")).where("from < to")
     true = truth.select("s1_id", F.size("matches").alias("n_true"))
     links = truth.select("s1_id", F.explode("matches").alias("cand_id")).distinct().withColumn("hit", F.lit(1))
-    per = got.join(links, ["s1_id", "cand_id"], "left").groupBy("i", "s1_id").agg(F.count("*").alias("n_pred"), F.coalesce(F.sum("hit"), F.lit(0)).alias("tp"))
-    # Records without a prediction score 1 if they have no match either; only the others need rows.
-    per = per.join(true, "s1_id").groupBy("i").agg(F.sum(f_half(F.col("tp"), F.col("n_pred"), F.col("n_true"))).alias("sum_f"), F.count_if(F.col("n_true") == 0).alias("lost"))
+    held = held.join(links, ["s1_id", "cand_id"], "left").select("s1_id", F.explode(F.array(F.struct(F.col("from").alias("i"), F.lit(1).alias("n")), F.struct(F.col("to").alias("i"), F.lit(-1).alias("n")))).alias("e"), F.coalesce("hit", F.lit(0)).alias("hit"))
+    steps = held.groupBy("s1_id", F.col("e.i").alias("i")).agg(F.sum("e.n").alias("n"), F.sum(F.col("e.n") * F.col("hit")).alias("hits"))
+    so_far = Window.partitionBy("s1_id").orderBy("i")
+    steps = steps.withColumns({"n_pred": F.sum("n").over(so_far), "tp": F.sum("hits").over(so_far)}).join(true, "s1_id")
+    # A record without a prediction scores 1 if it has no match either.
+    without = F.when(F.col("n_true") == 0, 1.0).otherwise(0.0)
+    steps = steps.withColumns({"f": F.when(F.col("n_pred") == 0, without).otherwise(f_half(F.col("tp"), F.col("n_pred"), F.col("n_true"))), "f0": without})
+    steps = steps.withColumn("step", F.col("f") - F.coalesce(F.lag("f").over(so_far), "f0"))
+    grid_steps = steps.groupBy("i").agg(F.sum("step").alias("step"))
     whole = true.agg(F.count("*").alias("n"), F.count_if(F.col("n_true") == 0).alias("empty"))
-    f = (F.coalesce("sum_f", F.lit(0.0)) + F.col("empty") - F.coalesce("lost", F.lit(0))) / F.col("n")
-    return thresholds.join(per, "i", "left").crossJoin(F.broadcast(whole)).select("i", "t", F.when(F.col("n") > 0, f).otherwise(0.0).alias("macro_f05"))
+    sums = thresholds.join(grid_steps, "i", "left").crossJoin(F.broadcast(whole))
+    total = F.sum(F.coalesce("step", F.lit(0.0))).over(Window.orderBy("i")) + F.col("empty")  # a row for each threshold
+    return sums.select("i", "t", F.when(F.col("n") > 0, total / F.col("n")).otherwise(0.0).alias("macro_f05"))
 
 
 def _first_best(scores: DataFrame, default: float) -> float:

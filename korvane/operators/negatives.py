@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from korvane.session import cut
+
 PAIR = ["s1_id", "cand_id"]
 
 
@@ -13,6 +15,12 @@ def positives(truth: DataFrame) -> DataFrame:
     return truth.select("s1_id", F.explode("matches").alias("cand_id")).withColumn("label", F.lit(1))
 
 
+def limits(pos: DataFrame, ratio: float) -> tuple[int, int, int]:
+    """How many negatives for these positives: in all, by retrieval at most (60 %), by collision at most (20 %)."""
+    n = int(pos.count() * ratio)
+    return n, int(n * 0.6), int(n * 0.2)
+
+
 def retrieval_negatives(retrieved: DataFrame, pos: DataFrame, n: int) -> DataFrame:
     """The n best-scored retrieved pairs (s1_id, cand_id, score) that are no matches; ties by ids."""
     return retrieved.join(pos, PAIR, "left_anti").orderBy(F.desc(F.round("score", 9)), *PAIR).limit(n).select(*PAIR)
@@ -57,14 +65,14 @@ def random_negatives(s1_ids: DataFrame, pool_ids: DataFrame, barred: DataFrame,
 
 def training_pairs(s1: DataFrame, pool: DataFrame, truth: DataFrame, retrieved: DataFrame, ratio: float = 3.0, seed: int = 42) -> DataFrame:
     """All matches and ratio times as many negatives: at most 60 % by retrieval, 20 % by collision, the rest at random."""
-    pos = positives(truth).select(*PAIR, "label").persist()
-    n = int(pos.count() * ratio)
+    pos = positives(truth).select(*PAIR, "label")
+    n, by_retrieval, by_collision = limits(pos, ratio)
     known = retrieved.join(pos, PAIR, "left_anti").select(*PAIR)
-    hard = retrieval_negatives(retrieved, pos, int(n * 0.6))
+    hard = retrieval_negatives(retrieved, pos, by_retrieval)
     barred = pos.select(*PAIR).unionByName(known)  # also those retrieved that the cut leaves out
-    same = collision_negatives(s1, pool, barred, int(n * 0.2))
-    drawn = hard.unionByName(same).persist()
-    rest = random_negatives(s1.select("entity_id"), pool.select("entity_id"), barred.unionByName(same), n - drawn.count(), seed)
+    same = collision_negatives(s1, pool, barred, by_collision)
+    drawn = cut(hard.unionByName(same), "negatives")
+    rest = random_negatives(s1.select("entity_id"), pool.select("entity_id"), barred.unionByName(drawn), n - drawn.count(), seed)
     return pos.unionByName(drawn.unionByName(rest).withColumn("label", F.lit(0)))
 
 

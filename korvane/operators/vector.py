@@ -86,13 +86,24 @@ def assign_cells(vectors: DataFrame, cells: DataFrame, probes: int = 1) -> DataF
     return vectors.withColumn("cell", F.explode(near("embedding")))
 
 
-def ivf_topk(pool: DataFrame, queries: DataFrame, k: int = 100, cells: int | None = None, probes: int | None = None) -> DataFrame:
-    """Like exact_topk over the cells nearest to each query only; cells of more than BLOCK rows are split."""
-    centres = fit_cells(pool, cells).persist()
+def search_index(vectors: DataFrame, centres: DataFrame, queries: DataFrame, k: int = 100, probes: int | None = None) -> DataFrame:
+    """Like exact_topk over the cells nearest to each query only. vectors: the pool with its cells, as assign_cells gives and load_index reads.
+
+    A cell's rows and its queries are dealt to parts of BLOCK by their own counts, so a large cell is spread.
+    """
     n = centres.count()
     probes = probes or max(1, min(n // 4, 64))
-    parts = max(1, -(-pool.count() // (n * BLOCK)) * 4)
-    part = F.pmod(F.xxhash64("entity_id"), F.lit(parts)).cast("int")
-    p = assign_cells(pool, centres).withColumn("part", part)
-    q = assign_cells(queries, centres, probes).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    return top_k(_scored(q.select("entity_id", "embedding", "cell", "part"), p.select("entity_id", "embedding", "cell", "part"), ["cell", "part"], k), k)
+    p, q = vectors.select("entity_id", "embedding", F.col("cell").cast("int").alias("cell")), assign_cells(queries, centres, probes).select("entity_id", "embedding", "cell")
+    counted = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+    parts = F.broadcast(counted(p, "pn").join(counted(q, "qn"), "cell"))  # a row for each cell
+    bucket = lambda m: F.pmod(F.xxhash64("entity_id"), F.col(m)).cast("int")
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
+    q = q.join(parts, "cell").select("entity_id", "embedding", "cell", bucket("qn").alias("qb"), every("pn").alias("pb"))
+    p = p.join(parts, "cell").select("entity_id", "embedding", "cell", bucket("pn").alias("pb"), every("qn").alias("qb"))
+    return top_k(_scored(q, p, ["cell", "qb", "pb"], k), k)
+
+
+def ivf_topk(pool: DataFrame, queries: DataFrame, k: int = 100, cells: int | None = None, probes: int | None = None) -> DataFrame:
+    """search_index over an index made for the occasion."""
+    centres = fit_cells(pool, cells)
+    return search_index(assign_cells(pool, centres), centres, queries, k, probes)

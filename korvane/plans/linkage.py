@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -30,17 +31,23 @@ class Settings:
     sim_mode: str = "edit"
     seed: int = 42
     rounds: int = 20
+    #: Pool rows up to which vectors are searched exactly.
+    exact_rows: int = 100_000
     #: Loads a text encoder in a worker; without one only the lexical retriever runs.
     encoder: Callable | None = field(default=None)
 
 
-def retrieve(pool: DataFrame, queries: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, list[str]]:
+def fit_pool(pool: DataFrame, s: Settings) -> lexical.TfIdf:
+    """What retrieval keeps of a pool, made once."""
+    return lexical.fit_tfidf(pool, low=s.ngrams[0], high=s.ngrams[1], max_features=s.max_features)
+
+
+def retrieve(pool: DataFrame, queries: DataFrame, s: Settings, model: lexical.TfIdf | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """(ranked rows of all retrievers, the fused and cut candidates, names of the retrievers)."""
-    model = lexical.fit_tfidf(pool, low=s.ngrams[0], high=s.ngrams[1], max_features=s.max_features)
-    ranked, names = lexical.tfidf_topk(model, queries, s.top_k).withColumn("retriever", F.lit("lexical")), ["lexical"]
+    ranked, names = lexical.tfidf_topk(model or fit_pool(pool, s), queries, s.top_k).withColumn("retriever", F.lit("lexical")), ["lexical"]
     if s.encoder is not None:
         p, q = (vector.encode_texts(df, "combined", s.encoder) for df in (pool, queries))
-        search = vector.exact_topk if pool.count() <= 100_000 else vector.ivf_topk
+        search = vector.exact_topk if pool.count() <= s.exact_rows else vector.ivf_topk
         ranked, names = ranked.unionByName(search(p, q, s.top_k).withColumn("retriever", F.lit("embedding"))), [*names, "embedding"]
     ranked = cut(ranked.select("retriever", "qid", "cand_id", "score", "rank"), "ranked")
     fused = fusion.rrf(ranked, {n: 1.0 for n in names})
@@ -66,11 +73,12 @@ def train(s1: DataFrame, s2: DataFrame, s3: DataFrame, truth: DataFrame, s: Sett
     own = {False: cut(normalise(s1_train), "s1"), True: cut(normalise(s1_val), "s1")}
     truth_of = {v: truth.join(split.where(F.col("is_val") == v), "s1_id", "left_semi") for v in (False, True)}
 
-    ranked, candidates, names = retrieve(pool, own[False], s)
+    model = fit_pool(pool, s)
+    ranked, candidates, names = retrieve(pool, own[False], s, model)
     pairs = negatives.training_pairs(own[False], pool, truth_of[False], candidates.select(F.col("qid").alias("s1_id"), "cand_id", F.col("fused").alias("score")), s.neg_ratio, s.seed)
     rows = cut(featurise(pairs, own[False], pool, ranked, names, s), "features")
 
-    v_ranked, v_candidates, _ = retrieve(pool, own[True], s)
+    v_ranked, v_candidates, _ = retrieve(pool, own[True], s, model)
     links = truth_of[True].select("s1_id", F.explode("matches").alias("cand_id")).withColumn("label", F.lit(1))
     v_pairs = v_candidates.select(F.col("qid").alias("s1_id"), "cand_id").join(links, ["s1_id", "cand_id"], "left").na.fill(0, ["label"])
     v_rows = cut(featurise(v_pairs, own[True], pool, v_ranked, names, s), "features")
@@ -92,6 +100,13 @@ def infer(matcher: PairMatcher, s1: DataFrame, s2: DataFrame, s3: DataFrame, s:
     return decision.with_singletons(matches, own.select(F.col("entity_id").alias("s1_id"))), candidates
 
 
+def _named(encoder: str | None) -> Callable | None:
+    if encoder is None:
+        return None
+    module, _, name = encoder.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description="Links records of source 1 to sources 2 and 3.")
     p.add_argument("--mode", choices=("train", "inference", "full"), default="full")
@@ -102,8 +117,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--sample-size", type=int)
     p.add_argument("--stress-test", action="store_true")
     p.add_argument("--keep-top1", action="store_true")
+    p.add_argument("--encoder", help="MODULE:FUNCTION that makes a text encoder in a worker; adds the embedding retriever")
     a = p.parse_args(argv)
-    spark, s = local_session(), Settings(val_fraction=a.val_fraction, neg_ratio=a.neg_ratio, keep_top1=a.keep_top1)
+    spark, s = local_session(), Settings(val_fraction=a.val_fraction, neg_ratio=a.neg_ratio, keep_top1=a.keep_top1, encoder=_named(a.encoder))
     if a.mode in ("train", "full"):
         s1, s2, s3, truth = records.load_train(spark, a.data)
         if a.sample_size:

@@ -14,6 +14,7 @@ from korvane.functions import similarity as sim
 from korvane.functions import text, vocab
 from korvane.operators import decision, evaluate, features, fusion, lexical, negatives, profile, stress, vector
 from korvane.operators.matcher import PairMatcher
+from korvane.plans.linkage import Settings
 from korvane.plans.registry import query
 from korvane.session import cut, table
 
@@ -305,25 +306,28 @@ def pair_features(spark: SparkSession, d: str) -> DataFrame:
 
 @query("collision_negatives", """
 WITH p AS (SELECT p_partkey AS k, p_name AS n, p_type AS a FROM part), x AS (SELECT a.k AS s1, b.k AS c, CASE WHEN a.n = b.n THEN 0 ELSE 1 END AS kind FROM p a JOIN p b ON (a.n = b.n OR a.a = b.a) AND a.k <> b.k)
-SELECT concat('A', s1) AS s1_id, concat('B', c) AS cand_id FROM (SELECT *, row_number() OVER (ORDER BY concat('A', s1), kind, concat('B', c)) AS nth FROM x) WHERE nth <= 5000""")
+SELECT concat('A', s1) AS s1_id, concat('B', c) AS cand_id FROM (SELECT *, row_number() OVER (ORDER BY concat('A', s1), kind, concat('B', c)) AS nth FROM x)
+WHERE nth <= (SELECT floor(floor(count(*) * CAST(3.0 AS DOUBLE)) * CAST(0.2 AS DOUBLE)) FROM p)""")
 def collision_negatives(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part")
     side = lambda x: p.select(F.concat(F.lit(x), "p_partkey").alias("entity_id"), F.col("p_name").alias("name_clean"), F.col("p_type").alias("addr_clean"))
     same = p.select(F.concat(F.lit("A"), "p_partkey").alias("s1_id"), F.concat(F.lit("B"), "p_partkey").alias("cand_id"))
-    return negatives.collision_negatives(side("A"), side("B"), same, 5000)
+    return negatives.collision_negatives(side("A"), side("B"), same, negatives.limits(same, Settings().neg_ratio)[2])
 
 
 @query("retrieval_negatives", f"""
 WITH s AS ({_SCORED}), t AS ({_TRUE_PAIRS})
-SELECT s1_id, cand_id FROM s ANTI JOIN t USING (s1_id, cand_id) ORDER BY round(score, 9) DESC, s1_id, cand_id LIMIT 3000""")
+SELECT s1_id, cand_id FROM s ANTI JOIN t USING (s1_id, cand_id) ORDER BY round(score, 9) DESC, s1_id, cand_id
+LIMIT (SELECT CAST(floor(floor(count(*) * CAST(3.0 AS DOUBLE)) * CAST(0.6 AS DOUBLE)) AS BIGINT) FROM t)""")
 def retrieval_negatives(spark: SparkSession, d: str) -> DataFrame:
-    return negatives.retrieval_negatives(_scored(spark, d), _sql(spark, d, _TRUE_PAIRS, "lineitem"), 3000)
+    true = _sql(spark, d, _TRUE_PAIRS, "lineitem")
+    return negatives.retrieval_negatives(_scored(spark, d), true, negatives.limits(true, Settings().neg_ratio)[1])
 
 
 @query("training_pairs")
 def training_pairs(spark: SparkSession, d: str) -> DataFrame:
     s1, pool = (cut(_named(df), "records") for df in _records(spark, d))
-    got = lexical.tfidf_topk(lexical.fit_tfidf(pool), s1, 20).select(F.col("qid").alias("s1_id"), "cand_id", "score")
+    got = lexical.tfidf_topk(lexical.fit_tfidf(pool), s1, Settings().top_k).select(F.col("qid").alias("s1_id"), "cand_id", "score")
     return negatives.training_pairs(s1, pool, _truth(spark, d), cut(got, "retrieved"))
 
 
@@ -397,9 +401,8 @@ def blocking_quality(spark: SparkSession, d: str) -> DataFrame:
 @query("match_lists", f"""{_CLAIMED} SELECT s_suppkey AS s1_id, coalesce(string_agg(CAST(cand_id AS VARCHAR), ',' ORDER BY score DESC, cand_id), '') AS matches FROM supplier LEFT JOIN m ON m.s1_id = s_suppkey GROUP BY s_suppkey""")
 def match_lists(spark: SparkSession, d: str) -> DataFrame:
     ids = table(spark, d, "supplier").select(F.col("s_suppkey").alias("s1_id"))
-    m = decision.decide(_scored(spark, d))
-    by = m.groupBy("s1_id").agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("k"), "cand_id"))), lambda x: x["cand_id"]).alias("l"))
-    return ids.join(by, "s1_id", "left").select("s1_id", F.coalesce(F.array_join(F.col("l").cast("array<string>"), ","), F.lit("")).alias("matches"))
+    got = decision.with_singletons(decision.decide(_scored(spark, d)), ids)
+    return got.select("s1_id", F.array_join("matches", ",").alias("matches"))
 
 
 # ---- profiles
@@ -477,6 +480,9 @@ def stress_corrupt(spark: SparkSession, d: str) -> DataFrame:
 @query("gbt_scores")
 def gbt_scores(spark: SparkSession, d: str) -> DataFrame:
     s1, pool = (cut(text.normalise(df), "records") for df in _records(spark, d))
-    pairs = negatives.training_pairs(s1, pool, _truth(spark, d), cut(lexical.tfidf_topk(lexical.fit_tfidf(pool), s1, 20).select(F.col("qid").alias("s1_id"), "cand_id", "score"), "retrieved"))
+    pairs = negatives.training_pairs(s1, pool, _truth(spark, d), cut(lexical.tfidf_topk(lexical.fit_tfidf(pool), s1, Settings().top_k).select(F.col("qid").alias("s1_id"), "cand_id", "score"), "retrieved"))
     rows = cut(features.pair_features(pairs, s1, pool), "features")
-    return PairMatcher.train(rows, rounds=10).score(rows).select("s1_id", "cand_id", "label", _r("score"))
+    parts = profile.stratified_split(_truth(spark, d), s1, Settings().val_fraction).select(F.col("s1_id").alias("v_id"), "is_val")
+    rows = rows.join(parts, F.col("s1_id") == F.col("v_id"))
+    model = PairMatcher.train(rows.where("not is_val"), rows.where("is_val"), rounds=Settings().rounds)
+    return model.score(rows).select("s1_id", "cand_id", "label", _r("score"))

@@ -1,31 +1,145 @@
 """Fusion, cut, decision, evaluation, features, sources and the pipelines on small fixtures."""
 
+import difflib
 import random
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from korvane.functions import similarity as sim
 from korvane.operators import decision, evaluate, features, fusion, lexical, negatives, profile, stress, vector
+from korvane.operators.matcher import PairMatcher
 from korvane.plans import linkage
 from korvane.sources import records
 from korvane.streaming.arrivals import match_arrivals
 
 
-def test_features_of_the_golden_pair(spark):
+def _lev(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        prev, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
+    return 1 - row[-1] / max(len(a), len(b))
+
+
+def _jaro_winkler(a, b):
+    far = max(0, max(len(a), len(b)) // 2 - 1)
+    used, left = [False] * len(b), []
+    for i, x in enumerate(a):
+        j = next((j for j in range(max(0, i - far), min(len(b), i + far + 1)) if not used[j] and b[j] == x), None)
+        if j is not None:
+            used[j] = True
+            left.append(x)
+    right = [y for j, y in enumerate(b) if used[j]]
+    m = len(left)
+    jaro = (m / len(a) + m / len(b) + (m - sum(x != y for x, y in zip(left, right, strict=True)) // 2) / m) / 3 if m else 0.0
+    same = next((i for i, (x, y) in enumerate(zip(a[:4], b[:4], strict=False)) if x != y), min(4, len(a), len(b)))
+    return jaro + 0.1 * same * (1 - jaro)
+
+
+def _jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_features_of_a_pair(spark):
     cols = "entity_id string, name_clean string, addr_clean string, country_clean string"
-    s1 = spark.createDataFrame([("S1-1", "custom wealth services", "5559 orville avenue columbus oh", "us")], cols)
-    pool = spark.createDataFrame([("S2-1", "custom wealth svcs", "5559 orville ave columbus oh", "us")], cols)
-    pairs = spark.createDataFrame([("S1-1", "S2-1")], "s1_id string, cand_id string")
-    got = features.pair_features(pairs, s1, pool).first()
-    want = {
-        "name_levenshtein": 0.818182, "name_jaro_winkler": 0.963636, "addr_levenshtein": 0.903226, "addr_jaro_winkler": 0.952074, "name_token_jaccard": 0.5, "addr_token_jaccard": 4 / 6,
-        "name_char3gram_jaccard": 13 / 23, "addr_char3gram_jaccard": 25 / 30, "name_char4gram_jaccard": 12 / 22, "addr_length_ratio": 28 / 31, "name_length_ratio": 18 / 22,
-        "addr_number_agreement": 1.0, "country_match": 1.0, "addr_pin_zip_match": 0.5, "source_is_s2": 1.0, "source_is_s3": 0.0, "addr_both_empty": 0.0, "addr_one_empty": 0.0,
-    }
-    assert {k: round(got[k], 6) for k in want} == {k: round(v, 6) for k, v in want.items()}
-    old = features.pair_features(pairs, s1, pool, "difflib").first()
-    assert (round(old.name_levenshtein, 6), round(old.addr_levenshtein, 6), round(old.name_token_set, 6), old.addr_token_set) == (0.9, 0.949153, 0.666667, 0.8)
+    x, y = ("granite harbour holdings", "817 saffron avenue dayton oh"), ("granite harbor hldgs", "817 saffron ave dayton oh")
+    s1, pool = spark.createDataFrame([("S1-1", *x, "us")], cols), spark.createDataFrame([("S2-1", *y, "us")], cols)
+    pairs = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", "S2-9")], "s1_id string, cand_id string")
+    got = features.pair_features(pairs.limit(1), s1, pool).first()
+    grams = lambda t, n: {t[i : i + n] for i in range(len(t) - n + 1)}
+    want = {"addr_number_agreement": 1.0, "country_match": 1.0, "addr_pin_zip_match": 0.5, "source_is_s2": 1.0, "source_is_s3": 0.0, "addr_both_empty": 0.0, "addr_one_empty": 0.0}
+    for side, a, b in (("name", x[0], y[0]), ("addr", x[1], y[1])):
+        want |= {f"{side}_levenshtein": _lev(a, b), f"{side}_jaro_winkler": _jaro_winkler(a, b), f"{side}_token_jaccard": _jaccard(set(a.split()), set(b.split()))}
+        want |= {f"{side}_char3gram_jaccard": _jaccard(grams(a, 3), grams(b, 3)), f"{side}_length_ratio": min(len(a), len(b)) / max(len(a), len(b))}
+        want[f"{side}_token_sort"] = None
+    want |= {"name_char4gram_jaccard": _jaccard(grams(x[0], 4), grams(y[0], 4))}
+    assert {k: round(got[k], 6) for k, v in want.items() if v is not None} == {k: round(v, 6) for k, v in want.items() if v is not None}
+    old = features.pair_features(pairs.limit(1), s1, pool, "difflib").first()
+    ratio = lambda a, b: difflib.SequenceMatcher(None, a, b).ratio()
+    assert old.name_levenshtein == pytest.approx(ratio(x[0], y[0])) and old.addr_jaro_winkler == pytest.approx(ratio(x[1], y[1]))
+    lone = features.pair_features(pairs.where("cand_id = 'S2-9'"), s1, pool).first()  # no such record
+    assert (lone.addr_one_empty, lone.country_match, lone.name_token_jaccard) == (1.0, 0.5, 0.0)
+
+
+def test_suffix_and_acronym_match(spark):
+    rows = [("limited", "limited", 1.0), ("limited", "llc", 0.0), ("", "llc", 0.5), ("", "", 0.5)]
+    got = spark.createDataFrame(rows, "x string, y string, want double").select("want", sim.suffix_match(F.col("x"), F.col("y")).alias("got"))
+    assert all(r.want == r.got for r in got.collect())
+    rows = [("ab", "ab", 1.0), ("ab", "abc", 0.0), ("a", "ab", 0.5), ("", "ab", 0.5)]
+    got = spark.createDataFrame(rows, "x string, y string, want double").select("want", sim.acronym_match(F.col("x"), F.col("y")).alias("got"))
+    assert all(r.want == r.got for r in got.collect())
+
+
+def test_cut_and_prediction_summaries(spark):
+    fused = fusion.rrf(_ranked(spark), {"L": 0.5, "E": 0.5})
+    r = fusion.cut_summary(fused, fusion.adaptive_k(fused)).first()
+    assert (r.queries, r.mean_before, r.mean_after) == (1, 4.0, 3.0)
+    pred = spark.createDataFrame([("a", ["x", "y"]), ("b", []), ("c", ["z"])], "s1_id string, matches array<string>")
+    r = profile.prediction_summary(pred).first()
+    assert (r.matched, r.singletons, r.total_matches, r.mean_matches) == (2, 1, 3, 1.5)
+
+
+def test_samples(spark):
+    ids = lambda p, n: spark.createDataFrame([(f"{p}{i:02}",) for i in range(n)], "entity_id string")
+    truth = spark.createDataFrame([("a00", ["b19", "c18"]), ("a01", []), ("a05", ["b17"])], "s1_id string, matches array<string>")
+    s1, s2, s3 = profile.sample_training(ids("a", 10), ids("b", 20), ids("c", 20), truth, 3)
+    get = lambda df: sorted(r.entity_id for r in df.collect())
+    assert get(s1) == ["a00", "a01", "a02"] and get(s2) == [f"b{i:02}" for i in range(6)] + ["b19"] and get(s3) == [f"c{i:02}" for i in range(6)] + ["c18"]
+    assert [len(get(x)) for x in profile.sample_test(ids("a", 10), ids("b", 20), ids("c", 20), 4)] == [4, 8, 8]
+
+
+def test_text_pairs(spark):
+    cols = "entity_id string, combined string"
+    pairs = spark.createDataFrame([("a", "b", 1)], "s1_id string, cand_id string, label int")
+    assert tuple(negatives.text_pairs(pairs, spark.createDataFrame([("a", "one")], cols), spark.createDataFrame([("b", "two")], cols)).first()[3:]) == ("one", "two")
+
+
+@pytest.mark.parametrize("which", ["match", "singleton"])
+def test_threshold_scores_agree_with_every_threshold_on_its_own(spark, which):
+    rng = random.Random(17)
+    rows = list({(a, c): (f"s{a}", f"c{c}", round(rng.random(), 2), a) for a, c in ((rng.randint(0, 25), rng.randint(0, 20)) for _ in range(150))}.values())
+    scored = spark.createDataFrame(rows, "s1_id string, cand_id string, score double, s1_pos int")
+    truth = spark.createDataFrame([(f"s{i}", [f"c{j}" for j in rng.sample(range(21), rng.randint(0, 3))]) for i in range(30)], "s1_id string, matches array<string>").persist()
+    points = decision.grid(spark, 0.05, 0.95, 10)
+    for r in decision.threshold_scores(scored, truth, points, 0.4, which).collect():
+        pred = decision.decide(scored, *((r.t, 0.4) if which == "match" else (0.4, r.t)))
+        assert r.macro_f05 == pytest.approx(evaluate.macro_f05(decision.with_singletons(pred, truth), truth).first()[0])
+
+
+def test_search_over_a_saved_index(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(2000, 16)) + 3 * rng.normal(size=(12, 16))[rng.integers(0, 12, 2000)]
+    v[:700] = v[0]  # one cell holds a third of all rows
+    v[:700] += 0.01 * rng.normal(size=(700, 16))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "entity_id long, embedding array<float>").persist()
+    centres = vector.fit_cells(df, 16)
+    records.save_index(vector.assign_cells(df, centres), centres, str(tmp_path / "index"))
+    old, vector.BLOCK = vector.BLOCK, 150
+    try:
+        ids = lambda x: {(r.qid, r.cand_id) for r in x.collect()}
+        queries = df.where("entity_id % 20 = 0")
+        got, want = ids(vector.search_index(*records.load_index(spark, str(tmp_path / "index")), queries, 5)), ids(vector.exact_topk(df, queries, 5))
+    finally:
+        vector.BLOCK = old
+    assert len(got & want) >= 0.9 * len(want)
+
+
+def hashing_encoder():
+    """A stand-in for a text encoder: counts of hashed words."""
+
+    def encode(texts):
+        out = np.zeros((len(texts), 64), np.float32)
+        for i, t in enumerate(texts):
+            for w in t.split():
+                out[i, zlib.crc32(w.encode()) % 64] += 1
+        return out
+
+    return encode
 
 
 def _ranked(spark):
@@ -206,3 +320,15 @@ def test_pipelines_end_to_end(spark, folder, tmp_path):
     assert {(r.s1_id, tuple(r.matches)) for r in spark.read.parquet(str(tmp_path / "matched")).collect()} == {(r.s1_id, tuple(r.matches)) for r in pred.collect()}
     claimed = [c for x in lines[1:] for c in x.split("\t")[1].split(",") if c]
     assert len(claimed) == len(set(claimed)) > 20
+
+
+def test_command_line_with_embeddings_noise_and_samples(spark, folder, tmp_path, capfd):
+    assert linkage.main(["--data", str(folder), "--out", str(tmp_path), "--sample-size", "50", "--stress-test", "--keep-top1", "--encoder", "tests.test_linkage:hashing_encoder"]) == 0
+    assert "macro_f05" in capfd.readouterr().out
+    for name, column in (("matching_results", "matched_entity_ids"), ("candidate_pairs", "candidate_entity_ids")):
+        got = spark.read.option("sep", "\t").option("header", True).csv(f"{tmp_path}/{name}.tsv")
+        assert got.columns == ["source1_entity_id", column] and [r[0] for r in got.collect()] == sorted(r[0] for r in got.collect())
+    matcher = PairMatcher.load(f"{tmp_path}/matcher")
+    assert {"retrieval_lexical_rank", "retrieval_embedding_score", "retrieval_found_in_n"} <= set(matcher.columns)
+    gains = matcher.importance()
+    assert [n for n, _ in gains] and gains == sorted(gains, key=lambda x: (-x[1], x[0])) and sum(g for _, g in gains) == pytest.approx(1)

@@ -14,7 +14,7 @@ def test_equals_sql(spark, sf, duck, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES) - {"gbt_scores", "training_pairs"}))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_runs(spark, sf, name):
     assert registry.QUERIES[name](spark, sf).count() > 0
 

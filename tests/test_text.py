@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from korvane.functions import text
 
 NAMES = [
-    ("Custom Wealth Services LLC", "custom wealth services llc", "custom wealth services", "llc", "", "cws"),
-    ("Pvt. EFS Print Ventures Ltd.", "pvt. efs print ventures ltd.", "pvt. efs print ventures", "limited", "", "epv"),
-    ("SHIVSHAKTI VIDYALAYA OVERSEAS CORPORATION | www.shivshakti.com", "shivshakti vidyalaya overseas corporation", "shivshakti vidyalaya overseas corporation", "", "", "svoc"),
+    ("Granite Harbour Holdings LLC", "granite harbour holdings llc", "granite harbour holdings", "llc", "", "ghh"),
+    ("Pvt. Quill Paper Mills Ltd.", "pvt. quill paper mills ltd.", "pvt. quill paper mills", "limited", "", "qpm"),
+    ("MEERA TEXTILES EXPORTS CORPORATION | www.meera.com", "meera textiles exports corporation", "meera textiles exports corporation", "", "", "mtec"),
     ("Acme Pvt. Ltd.", "acme pvt. ltd.", "acme", "private limited", "", "a"),
     ("Acme P.L.C.", "acme p.l.c.", "acme p.l.c.", "", "", "a"),
     ("Co Ltd", "co ltd", "", "company limited", "", ""),
@@ -21,8 +21,8 @@ NAMES = [
     (None, "", "", "", "", ""),
 ]
 ADDRESSES = [
-    ("1795 Westchester Dr, High Point, NC", "1795 westchester drive high point, nc", ["1795"], "", "", None),
-    ("797, Lake Town Block A, Kolkata, Howrah, West Bengal", "797, lake town block a, kolkata, howrah, west bengal", ["797"], "", "", None),
+    ("248 Larkspur Dr, Cedar Ridge, TX", "248 larkspur drive cedar ridge, tx", ["248"], "", "", None),
+    ("63, Palm Grove Block C, Mysuru, Hassan, Karnataka", "63, palm grove block c, mysuru, hassan, karnataka", ["63"], "", "", None),
     ("All Saints Rd., Apt 5", "allee saints road appartement 5", ["5"], "", "", None),
     ("P.O. Box 9", "p.o. box 9", ["9"], "", "", None),
     ("Shop 4 near City Mall Main Rd Delhi", "shop 4 near city mall main road delhi", ["4"], "", "City Mall Main Rd", "shop 4 delhi"),
