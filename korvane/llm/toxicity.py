@@ -241,11 +241,21 @@ def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     if not len(y) or y.min() == y.max():
         return beta
     w = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
-    for _ in range(25):
+
+    def loss(b: np.ndarray) -> float:
+        z = x @ b
+        return float((w * (np.logaddexp(0, z) - y * z)).sum() + HOLD / 2 * ((b - PRIOR) ** 2).sum())
+
+    for _ in range(50):
         p = 1 / (1 + np.exp(-x @ beta))
         grad = x.T @ (w * (p - y)) + HOLD * (beta - PRIOR)
         step = np.linalg.solve((x * (w * p * (1 - p))[:, None]).T @ x + HOLD * np.eye(len(beta)), grad)
-        beta = beta - step
+        size = 1.0
+        while size > 1e-6 and loss(beta - size * step) > loss(beta):  # a whole step may go too far
+            size /= 2
+        beta = beta - size * step
+        if np.abs(size * step).max() < 1e-9:
+            break
     beta[1:] = np.maximum(beta[1:], 0)  # a hit never speaks for a clean text
     return beta
 

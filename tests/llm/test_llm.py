@@ -780,6 +780,17 @@ def test_toxicity_held_out_and_odd_rows(spark, odd, none):
     assert toxicity.drop_toxic(d, label).columns == d.columns
 
 
+def test_fit_finds_the_least_loss_and_spares_texts_without_hits():
+    rng = np.random.default_rng(3)
+    for n, share in ((9, 0.1), (200, 0.5), (500, 0.02)):
+        y = (np.arange(n) < max(1, n * share)).astype(float)
+        x = np.column_stack([np.ones(n), *(rng.random((5, n)) * (rng.random((5, n)) < 0.2 + 0.5 * y) if n > 9 else np.zeros((5, n)))])
+        beta = toxicity.fit(x, y)
+        assert np.isfinite(beta).all() and beta[0] < 0
+        if n > 9:
+            assert (1 / (1 + np.exp(-x[y == 1] @ beta))).mean() > (1 / (1 + np.exp(-x[y == 0] @ beta))).mean()
+
+
 def _slow_hits(model, text):
     """(start, end, term, edits) of every hit by edit distances, without automata."""
     weights, out = model.automaton.weights, []
