@@ -9,11 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from korvane.session import cut
+from korvane.session import cut, scratch
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, comp) for every id of edges (a long, b long); comp is the least id reachable."""
+    with scratch() as keep:
+        return keep(_contracted(edges))
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
     cur = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
     ids = cur.select(F.col("hi").alias("id")).union(cur.select("lo")).distinct()
     labels = cut(ids.select("id", F.col("id").alias("comp")), "labels")

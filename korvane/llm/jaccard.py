@@ -49,16 +49,16 @@ from pyspark.sql import functions as F
 from korvane.llm.common import Hidden, bitmap, doc_id_of, has, keyed, mix64, trimming
 from korvane.llm.components import components
 from korvane.llm.shingles import set_digest, shingle_set
-from korvane.session import cut, few, pick, scratch
+from korvane.session import cut, few, pick, release, scratch
 
 #: Words in a shingle; per cent of similarity.
 WIDTH, THRESHOLD = 5, 75
 #: Most tokens ranked by frequency (16 bytes each); documents and shingles in a counting block.
 HOT_MAX, BLOCK_DOCS, BLOCK_TOKENS = 1 << 20, 4000, 1 << 22
 #: Classes in a run that gives all its pairs; how many times the hubs a round has more than the one before.
-SHORT, MORE = 32, 8
+SHORT, MORE = 32, 32
 #: Classes, and tokens of their sets, in a block of a component (about).
-SIDE, SIDE_TOKENS = 256, 1 << 20
+SIDE, SIDE_TOKENS = 1024, 1 << 20
 #: Tokens in a piece of a block's 0/1 matrix.
 COLUMNS = 4096
 #: Salts of the token orders 2 and 3.
@@ -113,6 +113,7 @@ def frequent_tokens(docs: DataFrame, width: int, most: int) -> tuple[np.ndarray,
             break
         room -= steps[step]
     top = sums.where(F.floor(F.log2("n") * 4) >= least).toArrow()
+    release(sums)
     tokens = top.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], top.column("n").to_numpy()[order]
@@ -316,13 +317,14 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     """
     own = keyed(pick(docs, "doc_id", "text"))
     hot = frequent_tokens(own, width, HOT_MAX)
-    rows = cut(describe(own, width, percent, hot), "described")
+    described = cut(describe(own, width, percent, hot), "described")
+    rows = cut(described.select("rid", "k_id", "k_hash", "n", "digest"), "rows")
 
     # One row of a class goes on; the others are taken out by a table that is broadcast only if it is small.
     leads = cut(rows.where("n > 0").groupBy("digest").agg(F.min("rid").alias("c")), "leads")
     slim = rows.where("n > 0").select("rid", F.col("digest").alias("r_digest"))
     copies = cut(slim.join(leads, F.col("r_digest") == F.col("digest")).where("rid <> c").select("rid"), "copies")
-    classes = rows.where("n > 0").select("rid", "n", "frequent", "prefix", "further").join(F.broadcast(copies) if few(copies) else copies, "rid", "left_anti")
+    classes = described.where("n > 0").select("rid", "n", "frequent", "prefix", "further").join(F.broadcast(copies) if few(copies) else copies, "rid", "left_anti")
     further = classes.select(F.col("rid").alias("c"), "n", "further")
     postings = lambda c: classes.select(F.explode(c).alias("token"), F.col("rid").alias("c"), "n")
     rare = postings("prefix").repartition("token").sortWithinPartitions("token").mapInArrow(trimming(_shared_runs), "token long, c long, n int")
@@ -349,10 +351,14 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
     shared = x.join(y, "token").where((F.col("a") < F.col("b")) & near(F.col("a_n"), F.col("b_n"))).groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("common"))
     shared = shared.join(extra.toDF("e_a", "a_more"), F.col("a") == F.col("e_a"), "left").join(extra.toDF("e_b", "b_more"), F.col("b") == F.col("e_b"), "left")
     most = F.col("common") + F.least(F.coalesce("a_more", F.lit(0)), F.coalesce("b_more", F.lit(0)))
-    pairs = cut(filtered(shared.where(most >= need(F.col("a_n"), F.col("b_n"))).select("a", "b"), further, percent), "pairs")
-
-    members = pairs.select(F.col("a").alias("p")).union(pairs.select("b")).union(extra.select("c")).distinct()
-    sets = class_sets(own, cut(leads.join(members, F.col("c") == F.col("p"), "left_semi"), "members"), width)
+    candidates = cut(shared.where(most >= need(F.col("a_n"), F.col("b_n"))).select("a", "b"), "candidates")
+    ends = lambda pairs: pairs.select(F.col("a").alias("p")).union(pairs.select("b")).union(extra.select("c")).distinct()
+    further = cut(further.join(ends(candidates), F.col("c") == F.col("p"), "left_semi"), "further")
+    release(described, runs, long_tokens)
+    pairs = cut(filtered(candidates, further, percent), "pairs")
+    members = cut(leads.join(ends(pairs), F.col("c") == F.col("p"), "left_semi"), "members")
+    sets = class_sets(own, members, width)
+    release(candidates, members, extra)
 
     # Longer runs: a hub and the others; u orders the classes, so that each pair is met once, from its hub of smaller u.
     u = lambda c: F.pmod(F.xxhash64(c, F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
@@ -360,7 +366,7 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
 
     def hub_pairs(low: float, high: float, labels: DataFrame | None) -> DataFrame | None:
         """Pairs of hubs and others of different components; None if no run has such any more."""
-        open_ = in_long.withColumn("comp", F.col("c"))
+        open_, mixed = in_long.withColumn("comp", F.col("c")), None
         if labels is not None:
             open_ = in_long.join(labels, F.col("c") == F.col("id"), "left").withColumn("comp", F.coalesce("comp", "c"))
             mixed = cut(open_.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token"), "mixed")
@@ -373,14 +379,18 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
         room = F.least(F.col("more") - F.col("nth"), F.col("h_more") - F.col("h_nth")) + 1 >= need(F.col("n"), F.col("h_n"))
         met = hubs.join(open_, "token").where((F.col("comp") != F.col("h_comp")) & near(F.col("n"), F.col("h_n")) & room)
         met = met.where((u(F.col("c")) > u(F.col("h"))) | ((u(F.col("c")) == u(F.col("h"))) & (F.col("c") > F.col("h"))))
-        return filtered(met.select(F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")).distinct(), further, percent)
+        found = cut(filtered(met.select(F.least("c", "h").alias("a"), F.greatest("c", "h").alias("b")).distinct(), further, percent), "pairs")
+        if mixed is not None:
+            release(mixed, open_)
+        return found
 
-    high, labels, links = 1.5, None, pairs.limit(0)
+    high, labels, links = 1.5, None, docs.sparkSession.createDataFrame([], "a long, b long")
     if longest:
         pairs = cut(pairs.union(hub_pairs(0.0, high, None)).distinct(), "pairs")
     while True:
         if not pairs.isEmpty():
-            links = cut(links.union(verified(pairs, sets, percent)), "links")
+            before, links = links, cut(links.union(verified(pairs, sets, percent)), "links")
+            release(before, pairs, *([labels] if labels is not None else []))
             labels = components(links)
         if high >= longest:
             break
@@ -388,14 +398,12 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Data
         pairs = hub_pairs(low, high, labels)
         if pairs is None:
             break
-        pairs = cut(pairs, "pairs")
     if labels is None:
         labels = links.select(F.col("a").alias("id"), F.col("a").alias("comp"))
 
     leads = cut(leads.join(labels, F.col("c") == F.col("id"), "left").select("digest", "c", F.coalesce("comp", "c").alias("comp")), "labelled")
-    mine = rows.select("rid", "k_id", "k_hash", "n", "digest")
-    worded = mine.where("n > 0").join(leads.withColumnRenamed("digest", "l_digest"), F.col("digest") == F.col("l_digest"))
-    wordless = mine.where("n = 0").select("rid", "k_id", "k_hash", "n", F.col("rid").alias("c"), F.col("rid").alias("comp"))
+    worded = rows.where("n > 0").join(leads.withColumnRenamed("digest", "l_digest"), F.col("digest") == F.col("l_digest"))
+    wordless = rows.where("n = 0").select("rid", "k_id", "k_hash", "n", F.col("rid").alias("c"), F.col("rid").alias("comp"))
     return worded.select("rid", "k_id", "k_hash", "n", "c", "comp").unionByName(wordless), links, leads, sets
 
 
