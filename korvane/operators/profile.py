@@ -71,7 +71,8 @@ def sample_matches(truth: DataFrame, s1: DataFrame, pool: DataFrame, n: int = 15
 
 
 def draw(key: Column, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), key)
+    """A digest of the key, as hexadecimal digits, that orders keys at random and alike in any engine."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
 def stratified_split(truth: DataFrame, s1: DataFrame, fraction: float = 0.2, seed: int = 42) -> DataFrame:
@@ -82,7 +83,7 @@ def stratified_split(truth: DataFrame, s1: DataFrame, fraction: float = 0.2, see
     """
     size = F.least(F.size("matches"), F.lit(3))
     rows = truth.join(s1.select(F.col("entity_id").alias("s1_id"), "country"), "s1_id").select("s1_id", F.concat_ws("|", F.coalesce("country", F.lit("")), size.cast("string")).alias("stratum"))
-    rows = rows.withColumn("h", draw(F.col("s1_id"), seed)).withColumn("bucket", F.shiftrightunsigned("h", 54).cast("int"))
+    rows = rows.withColumn("h", draw(F.col("s1_id"), seed)).withColumn("bucket", F.substring("h", 1, 3))
     counts = rows.groupBy("stratum", "bucket").agg(F.count("*").alias("m"))
     w = Window.partitionBy("stratum")
     counts = counts.select("stratum", "bucket", (F.sum("m").over(w.orderBy("bucket")) - F.col("m")).alias("base"), F.sum("m").over(w).alias("whole"))

@@ -467,7 +467,10 @@ def sample_pairs(spark: SparkSession, d: str) -> DataFrame:
     return profile.sample_matches(_truth(spark, d), *_records(spark, d)).withColumn("pos", F.col("pos").cast("long"))
 
 
-@query("stratified_split")
+@query("stratified_split", f"""
+WITH t AS ({_S1}), l AS (SELECT s1_id, count(*) AS n FROM ({_LINKS}) GROUP BY s1_id),
+r AS (SELECT entity_id AS s1_id, concat(country, '|', least(coalesce(n, 0), 3)) AS stratum, md5(concat('42:', entity_id)) AS h FROM t LEFT JOIN l ON l.s1_id = entity_id)
+SELECT s1_id, row_number() OVER (PARTITION BY stratum ORDER BY h, s1_id) <= round_even(CAST(0.2 AS DOUBLE) * count(*) OVER (PARTITION BY stratum), 0) AS is_val FROM r""")
 def stratified_split(spark: SparkSession, d: str) -> DataFrame:
     return profile.stratified_split(_truth(spark, d), _records(spark, d)[0])
 
