@@ -278,12 +278,16 @@ def _degrees(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percen
 
 def link_counts(leads: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """d_c, n_links: how many other classes each class (c, comp) of components of several is similar to."""
-    own = sets.join(leads.select(F.col("c").alias("l_c"), "comp"), F.col("c") == F.col("l_c")).select("comp", "c", "set")
+    size = sets.select(F.col("c").alias("z_c"), F.size("set").alias("t"))
     blocks = F.ceil(F.greatest(F.col("m") / SIDE, F.col("t") / SIDE_TOKENS)).cast("int")
-    sums = cut(own.groupBy(F.col("comp").alias("s_comp")).agg(F.count("*").alias("m"), F.sum(F.size("set")).alias("t")).where("m > 1").withColumn("blocks", blocks), "blocks")
+    sums = leads.join(size, F.col("c") == F.col("z_c")).groupBy(F.col("comp").alias("s_comp")).agg(F.count("*").alias("m"), F.sum("t").alias("t"))
+    sums = cut(sums.where("m > 1").withColumn("blocks", blocks), "blocks")
     two = leads.join(sums.where("m = 2"), F.col("comp") == F.col("s_comp")).select(F.col("c").alias("d_c"), F.lit(1).cast("long").alias("n_links"))
+    # Only sets of larger components are met; where these are few, they are picked out without moving any other.
+    many = cut(leads.join(sums.where("m > 2"), F.col("comp") == F.col("s_comp")).select(F.col("c").alias("l_c"), "comp", "blocks"), "larger")
+    own = sets.join(F.broadcast(many) if few(many) else many, F.col("c") == F.col("l_c"))
     b, o = F.pmod(F.xxhash64("c", F.lit(11)), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = own.join(sums.where("m > 2"), F.col("comp") == F.col("s_comp")).withColumn("b", b).withColumn("o", o)
+    dealt = own.withColumn("b", b).withColumn("o", o)
     dealt = dealt.select("comp", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "c", "set")
 
     def each(group: pa.Table) -> pa.Table:
