@@ -37,9 +37,54 @@ def collision_pairs(s1: DataFrame, pool: DataFrame) -> DataFrame:
     return found.groupBy(*PAIR).agg(F.min("kind").alias("kind"))
 
 
+def leading(df: DataFrame, n: int, *by: str, weight: str | None = None) -> DataFrame:
+    """The first rows of df in a total order, up to that at which `weight` (one a row, where none is named) sums to n.
+
+    Ranges are summed first and only the last is walked through, so no task orders all rows.
+    """
+    if n <= 0:
+        return df.limit(0)
+    dealt = cut(df.withColumn("w_", F.col(weight) if weight else F.lit(1)).repartitionByRange(*by).withColumn("range_", F.spark_partition_id()), "ranges")
+    last, before = -1, 0
+    for r in sorted(dealt.groupBy("range_").agg(F.sum("w_").alias("s")).collect()):
+        last = r.range_
+        if before + r.s >= n:
+            break
+        before += r.s
+    upto = F.sum("w_").over(Window.partitionBy("range_").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0))
+    inner = dealt.where(F.col("range_") == last).withColumn("upto_", upto - F.col("w_")).where(F.col("upto_") < n - before)
+    return dealt.where(F.col("range_") < last).select(*df.columns).unionByName(inner.select(*df.columns))
+
+
+def enough(s1: DataFrame, pool: DataFrame, barred: DataFrame, n: int) -> DataFrame:
+    """The first records of s1, in order of id, that surely have n collisions outside `barred`; all of s1 if none are sure.
+
+    A record has as many collisions as its name or its address has ids in the pool, or more; those barred are taken off.
+    """
+    each = None
+    for column in ("name_clean", "addr_clean"):
+        sizes = pool.where(F.col(column) != "").groupBy(F.col(column).alias("key")).agg(F.count_distinct("entity_id").alias("m"))
+        got = s1.where(F.col(column) != "").select(F.col("entity_id").alias("id_"), F.col(column).alias("key")).join(sizes, "key").select("id_", "m")
+        each = got if each is None else each.unionByName(got)
+    off = barred.groupBy(F.col("s1_id").alias("off_")).agg(F.count("*").alias("less"))
+    each = each.groupBy("id_").agg(F.max("m").alias("m")).join(off, F.col("id_") == F.col("off_"), "left")
+    sure = each.select("id_", (F.col("m") - F.coalesce("less", F.lit(0))).alias("sure")).where("sure > 0 AND id_ IS NOT NULL")
+    got = leading(sure, n, "id_", weight="sure").agg(F.max("id_").alias("id_"), F.sum("sure").alias("sure")).first()
+    if (got.sure or 0) < n:
+        return s1
+    return s1.where(F.col("entity_id").isNull() | (F.col("entity_id") <= F.lit(got.id_)))
+
+
 def collision_negatives(s1: DataFrame, pool: DataFrame, barred: DataFrame, n: int) -> DataFrame:
-    """At most n collisions outside `barred`, in order of s1 and kind."""
-    return collision_pairs(s1, pool).join(barred, PAIR, "left_anti").orderBy("s1_id", "kind", "cand_id").limit(n).select(*PAIR)
+    """At most n collisions outside `barred`, in order of s1 and kind.
+
+    Only the first records that surely have as many are joined, so that the pairs made are about n and those barred,
+    not the squares of frequent names and addresses.
+    """
+    if n <= 0:
+        return barred.select(*PAIR).limit(0)
+    pairs = collision_pairs(enough(s1, pool, barred, n), pool).join(barred, PAIR, "left_anti")
+    return leading(pairs, n, "s1_id", "kind", "cand_id").select(*PAIR)
 
 
 def random_negatives(s1_ids: DataFrame, pool_ids: DataFrame, barred: DataFrame, n: int, seed: int = 42, tries: int = 10) -> DataFrame:

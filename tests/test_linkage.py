@@ -245,6 +245,29 @@ def test_split_is_exact_in_every_stratum(spark):
     assert [(r.n, r.m) for r in got.collect()] == [(10, 50)] * 6
 
 
+def test_collisions_join_only_the_records_needed(spark, monkeypatch):
+    rng = random.Random(5)
+    cols = "entity_id string, name_clean string, addr_clean string"
+    make = lambda p, n: [(f"{p}{i}", rng.choice(["oak", "elm", "ash", "", f"only {i}"]), rng.choice(["hill", "dale", "", None, f"{i} lane"])) for i in range(n)]
+    a, b = make("a", 300), [*make("b", 300), ("b7", "oak", "dale")]
+    barred = [(x[0], y[0]) for x in a for y in b[:290] if x[0] < "a13" and x[1] == y[1] != ""]
+    want = {}
+    for x in a:
+        for y in b:
+            kinds = [k for k in (0, 1) if x[k + 1] and x[k + 1] == y[k + 1]]
+            if kinds:
+                want[x[0], y[0]] = min(kinds[0], want.get((x[0], y[0]), 1))
+    gone = set(barred)
+    order = [p for _, p in sorted(((s, k, c), (s, c)) for (s, c), k in want.items() if (s, c) not in gone)]
+    s1, pool, out = spark.createDataFrame(a, cols), spark.createDataFrame(b, cols), spark.createDataFrame(barred, "s1_id string, cand_id string")
+    joined, plain = [], negatives.collision_pairs
+    monkeypatch.setattr(negatives, "collision_pairs", lambda s, p: joined.append(s.count()) or plain(s, p))
+    for n in (0, 1, 700, 10**6):
+        got = [(r.s1_id, r.cand_id) for r in negatives.collision_negatives(s1, pool, out, n).collect()]
+        assert len(got) == len(set(got)) and set(got) == set(order[:n])
+    assert joined[0] < 60 and joined[1] < 150 and joined[2] == 300
+
+
 def test_stress_changes_scores_and_repeats(spark):
     df = spark.createDataFrame([("S1-1", "Acme Engineering Works Limited Company", "12 Main Rd, Some Town, Some State", "us")], records.RECORD)
     a, b = stress.corrupt(df, 0.5, 1.0).first(), stress.corrupt(df, 0.5, 1.0).first()
