@@ -245,6 +245,46 @@ def test_split_is_exact_in_every_stratum(spark):
     assert [(r.n, r.m) for r in got.collect()] == [(10, 50)] * 6
 
 
+def test_tfidf_makes_no_pairs_and_loses_none(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "QUERIES", 16)
+    rng = random.Random(3)
+    name = lambda: " ".join(["works", *(rng.choice("amber birch cedar delta ember flint grove haven".split()) + rng.choice(["", str(rng.randrange(40))]) for _ in range(rng.randrange(3)))])
+    rows = lambda p, n: [(f"{p}{i}", name(), rng.choice(["", None, name(), "12 hill"])) for i in range(n)]
+    cols = "entity_id string, name_clean string, addr_clean string"
+    pool, asked = [*rows("p", 500), ("p7", "amber1 twice", "same id"), (None, "works", "no id")], rows("q", 50)
+    model = lexical.fit_tfidf(spark.createDataFrame(pool, cols), max_features=10**9)
+
+    def vectors(rows):
+        out = {}
+        for i, *texts in rows:
+            for f, text in enumerate(texts):
+                for w in (text or "").split():
+                    w = f" {w} "
+                    for g in (w[j : j + n] for n in (3, 4) for j in range(len(w) - n + 1)):
+                        own = out.setdefault(i, ({}, {}))[f]
+                        own[g] = own.get(g, 0) + 1
+        return out
+
+    p, q = vectors(pool), vectors(asked)
+    idf = [{}, {}]
+    for f in (0, 1):
+        df = {}
+        for v in p.values():
+            for g in v[f]:
+                df[g] = df.get(g, 0) + 1
+        idf[f] = {g: np.log((1 + len(pool)) / (1 + n)) + 1 for g, n in df.items() if n >= 2}
+    weigh = lambda v: [{g: w / np.sqrt(sum(x * x for x in raw.values())) for g, w in raw.items()} for raw in ({g: (1 + np.log(n)) * idf[f][g] for g, n in v[f].items() if g in idf[f]} for f in (0, 1))]
+    p, q = {i: weigh(v) for i, v in p.items() if i}, {i: weigh(v) for i, v in q.items()}
+    for k in (3, 60):
+        frame = lexical.tfidf_topk(model, spark.createDataFrame(asked, cols), k)
+        assert "Join" not in frame._jdf.queryExecution().executedPlan().toString()
+        want = []
+        for a, x in q.items():
+            s = {b: sum(c * sum(w * y[f].get(g, 0.0) for g, w in x[f].items()) for f, c in ((0, 0.6), (1, 0.4))) for b, y in p.items()}
+            want += [(a, b, n) for n, b in enumerate(sorted((b for b in s if s[b] > 0), key=lambda b: (-round(s[b], 9), b))[:k], 1)]
+        assert sorted((r.qid, r.cand_id, r["rank"]) for r in frame.collect()) == sorted(want)
+
+
 def test_collisions_join_only_the_records_needed(spark, monkeypatch):
     rng = random.Random(5)
     cols = "entity_id string, name_clean string, addr_clean string"
