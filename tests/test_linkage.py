@@ -285,6 +285,25 @@ def test_tfidf_makes_no_pairs_and_loses_none(spark, monkeypatch):
         assert sorted((r.qid, r.cand_id, r["rank"]) for r in frame.collect()) == sorted(want)
 
 
+def test_token_block_joins_only_the_first_ids_of_a_token(spark, monkeypatch):
+    rng = random.Random(8)
+    cols = "entity_id string, name_clean string, addr_clean string"
+    rows = [(f"p{i}", f"{rng.choice(['oak', 'elm', 'ash'])} own{i}", rng.choice([None, "hill", "everywhere"]) if i % 2 else "everywhere") for i in range(900)]
+    rows += rows[:30]
+    asked = [("q1", "oak hill", ""), ("q2", "elm own7 ash", None), ("q3", "everywhere", "own8"), ("q4", "none", ""), ("q5", None, None)]
+    tokens = lambda r: {w for x in r[1:] for w in (x or "").split() if len(w) >= 3}
+    df = {}
+    for r in rows:
+        for w in tokens(r):
+            df[w] = df.get(w, 0) + 1
+    want = {(q[0], c) for q in asked for c in sorted({r[0] for r in rows if any(df[w] < 0.5 * len(df) for w in tokens(q) & tokens(r))})[:20]}
+    joined, plain = [], type(spark.range(0)).distinct
+    monkeypatch.setattr(type(spark.range(0)), "distinct", lambda df: joined.append(df.count()) or plain(df))
+    got = lexical.token_block(spark.createDataFrame(rows, cols), spark.createDataFrame(asked, cols), most=20, common=0.5).collect()
+    assert len(got) == len(set(got)) and {tuple(r) for r in got} == want
+    assert joined[0] <= 7 * 25
+
+
 def test_collisions_join_only_the_records_needed(spark, monkeypatch):
     rng = random.Random(5)
     cols = "entity_id string, name_clean string, addr_clean string"
