@@ -207,6 +207,16 @@ def test_ann_scores_few_cells_of_clustered_vectors_and_all_when_asked(spark):
     assert sorted((r.query_id, r.rank, r.vec_id) for r in exact) == want
 
 
+def test_ann_candidates_do_not_grow_with_cells(spark, monkeypatch):
+    x = np.random.default_rng(4).normal(size=(1500, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    made, kind = [], type(df)
+    plain = kind.withColumn
+    monkeypatch.setattr(kind, "withColumn", lambda self, name, col: (made.append(self.count()) if name == "nth" else None) or plain(self, name, col))
+    got = ann.search(df, F.col("vec_id") % 100 == 0, k=3, rerank=5, train=1000, probes="all").collect()
+    assert len(got) == 45 and made == [15 * 5]
+
+
 def test_ann_cells_of_two_codes_and_many_parts(spark, monkeypatch):
     monkeypatch.setattr(ann, "CELL_ROWS", 2)
     monkeypatch.setattr(ann, "PART", 5)
