@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from korvane.operators.features import FEATURE_COLUMNS, NOT_FOUND, RETRIEVAL_FEATURE_COLUMNS
+from korvane.session import cut, release
+
+#: Rows of a part in training.
+PART = 1 << 16
 
 
 def feature_columns(df: DataFrame) -> list[str]:
@@ -28,19 +32,26 @@ class PairMatcher:
 
     @classmethod
     def train(cls, train: DataFrame, val: DataFrame | None = None, rounds: int = 20, depth: int = 5, step: float = 0.1, seed: int = 42) -> PairMatcher:
-        """Either label weighs the same in all. val, if given, says when to stop."""
+        """Either label weighs the same in all. val, if given, says when to stop.
+
+        The trees read the rows again and again, pair them with errors by position and draw the candidates of splits by
+        position, so the rows are written once in an order of their values: what order they come in changes nothing.
+        """
         columns = feature_columns(train)
-        n, pos = train.agg(F.count("*"), F.sum("label")).first()
-        weight = F.when(F.col("label") == 1, n / (2 * max(1, pos or 0))).otherwise(n / (2 * max(1, n - (pos or 0))))
         rows = train.select(*columns, "label").withColumn("is_val", F.lit(False))
         if val is not None:
             rows = rows.unionByName(val.select(*columns, "label").withColumn("is_val", F.lit(True)))
+        n_all, n, pos = rows.agg(F.count("*"), F.count_if(~F.col("is_val")), F.sum(F.when(~F.col("is_val"), F.col("label")))).first()
+        weight = F.when(F.col("label") == 1, n / (2 * max(1, pos or 0))).otherwise(n / (2 * max(1, n - (pos or 0))))
+        rows = cut(rows.repartition(max(1, -(-n_all // PART)), *rows.columns).sortWithinPartitions(*rows.columns), "training")
         gbt = GBTClassifier(
             labelCol="label", featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=step, minInstancesPerNode=5, featureSubsetStrategy="0.8", seed=seed, weightCol="weight",
             **({"validationIndicatorCol": "is_val", "validationTol": 0.0} if val is not None else {}),
         )
         made = VectorAssembler(inputCols=columns, outputCol="features").transform(rows.withColumn("weight", weight))
-        return cls(PipelineModel([VectorAssembler(inputCols=columns, outputCol="features"), gbt.fit(made)]), columns)
+        model = PipelineModel([VectorAssembler(inputCols=columns, outputCol="features"), gbt.fit(made)])
+        release(rows)
+        return cls(model, columns)
 
     def score(self, df: DataFrame) -> DataFrame:
         """df with score. Columns that the model knows and df lacks (a retriever that was not run) count as not found."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from korvane.functions.text import normalise
 from korvane.operators import decision, evaluate, features, fusion, lexical, negatives, profile, stress, vector
 from korvane.operators.matcher import PairMatcher
-from korvane.session import cut, local_session
+from korvane.session import cut, local_session, release
 from korvane.sources import records
 
 
@@ -44,12 +44,14 @@ def fit_pool(pool: DataFrame, s: Settings) -> lexical.TfIdf:
 
 def retrieve(pool: DataFrame, queries: DataFrame, s: Settings, model: lexical.TfIdf | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """(ranked rows of all retrievers, the fused and cut candidates, names of the retrievers)."""
-    ranked, names = lexical.tfidf_topk(model or fit_pool(pool, s), queries, s.top_k).withColumn("retriever", F.lit("lexical")), ["lexical"]
+    best = lexical.tfidf_topk(model or fit_pool(pool, s), queries, s.top_k)
+    ranked, names = best.withColumn("retriever", F.lit("lexical")), ["lexical"]
     if s.encoder is not None:
         p, q = (vector.encode_texts(df, "combined", s.encoder) for df in (pool, queries))
         search = vector.exact_topk if pool.count() <= s.exact_rows else vector.ivf_topk
         ranked, names = ranked.unionByName(search(p, q, s.top_k).withColumn("retriever", F.lit("embedding"))), [*names, "embedding"]
     ranked = cut(ranked.select("retriever", "qid", "cand_id", "score", "rank"), "ranked")
+    release(best)
     fused = fusion.rrf(ranked, {n: 1.0 for n in names})
     return ranked, cut(fusion.adaptive_k(fused, s.min_k, s.max_k, s.gap, keep_top1=s.keep_top1), "cut"), names
 

@@ -3,6 +3,7 @@
 import difflib
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from korvane.functions import similarity as sim
 from korvane.operators import decision, evaluate, features, fusion, lexical, negatives, profile, stress, vector
 from korvane.operators.matcher import PairMatcher
-from korvane.plans import linkage
+from korvane.plans import linkage, queries
+from korvane.session import run_dir
 from korvane.sources import records
 from korvane.streaming.arrivals import match_arrivals
 
@@ -285,6 +287,48 @@ def test_tfidf_makes_no_pairs_and_loses_none(spark, monkeypatch):
         assert sorted((r.qid, r.cand_id, r["rank"]) for r in frame.collect()) == sorted(want)
 
 
+def _left(spark):
+    """Names of the cuts that lie in the shared folder."""
+    at = Path(run_dir(spark).removeprefix("file://"))
+    return {x.name for x in at.iterdir()} if at.exists() else set()
+
+
+def _kinds(names):
+    return sorted(x.rpartition("-")[0] for x in names)
+
+
+def test_tfidf_leaves_its_best_alone(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "QUERIES", 2)
+    cut, plans = lexical.cut, []
+    monkeypatch.setattr(lexical, "cut", lambda df, *more: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df, *more))
+    pool = spark.createDataFrame([(f"p{i}", f"birch {i % 3} works", "") for i in range(20)], "entity_id string, name_clean string, addr_clean string")
+    model, before = lexical.fit_tfidf(pool), _left(spark)
+    got = lexical.tfidf_topk(model, pool, 30)
+    assert _kinds(_left(spark) - before) == ["best"] and got.count() == 400
+    assert not any("Join" in p for p in plans)
+
+
+def test_gbt_scores_keeps_only_its_rows(spark, sf, monkeypatch):
+    before, during, train = _left(spark), [], PairMatcher.train
+    monkeypatch.setattr(PairMatcher, "train", lambda *a, **b: during.append(_left(spark) - before) or train(*a, **b))
+    got = queries.gbt_scores(spark, sf)
+    assert _kinds(during[0]) == _kinds(_left(spark) - before) == ["features"]
+    assert got.columns == ["s1_id", "cand_id", "label", "score"] and got.where("label = 1").count() == got.count() / 4 > 0
+
+
+def test_training_is_the_same_in_any_order_of_rows(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.random(), rng.random(), rng.random(), rng.random() < 0.2) for i in range(14_000)]
+    rows = [(*r, int(r[1] + 0.5 * r[2] + rng.gauss(0, 0.3) > 1)) for r in rows]
+    df = spark.createDataFrame(rows, "id int, name_levenshtein double, name_jaro_winkler double, addr_levenshtein double, is_val boolean, label int")
+    got = []
+    for seed in (1, 2):
+        own = df.repartition(3 + seed, F.xxhash64(F.lit(seed), "id")).sortWithinPartitions(F.xxhash64(F.lit(seed + 5), "id"))
+        model = PairMatcher.train(own.where("not is_val"), own.where("is_val"), rounds=4, depth=3)
+        got.append({r.id: r.score for r in model.score(df.select("id", *model.columns)).collect()})
+    assert got[0] == got[1]
+
+
 def test_token_block_joins_only_the_first_ids_of_a_token(spark, monkeypatch):
     rng = random.Random(8)
     cols = "entity_id string, name_clean string, addr_clean string"
